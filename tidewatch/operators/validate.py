@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A finite amount lies strictly between these.
-_INF = float("inf")
+INFINITY = float("inf")
+
+
+def finite_amount() -> Column:
+    """True or NULL-free false. NaN sorts above infinity, so it is not finite."""
+    finite = (F.col("amount") > F.lit(-INFINITY)) & (F.col("amount") < F.lit(INFINITY))
+    return F.col("amount").isNotNull() & finite
 
 
 def reject_reason() -> Column:
@@ -15,18 +20,17 @@ def reject_reason() -> Column:
     A NaN amount would pass ``amount > limit`` and a NULL one would fall out of
     both sides of the routing, so both are rejected by name.
     """
-    amount_ok = (
-        F.col("amount").isNotNull()
-        & ~F.isnan("amount")
-        & (F.col("amount") < F.lit(_INF))
-        & (F.col("amount") > F.lit(-_INF))
+    nothing = (
+        F.col("transaction_id").isNull()
+        & F.col("user_id").isNull()
+        & F.col("amount").isNull()
+        & F.col("event_time").isNull()
     )
-    nothing = F.coalesce("transaction_id", "user_id", F.col("amount").cast("string")).isNull()
     return (
-        F.when(nothing & F.col("event_time").isNull(), "malformed_message")
+        F.when(nothing, "malformed_message")
         .when(F.col("transaction_id").isNull(), "missing_transaction_id")
         .when(F.col("user_id").isNull(), "missing_user_id")
-        .when(~amount_ok, "invalid_amount")
+        .when(~finite_amount(), "invalid_amount")
         .when(F.col("event_time").isNull(), "invalid_event_time")
     )
 
@@ -36,8 +40,13 @@ def with_reject_reason(df: DataFrame) -> DataFrame:
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    """The rows that can be scored."""
-    return df.filter(reject_reason().isNull())
+    """The rows without a reject reason, as plain predicates a scan can take over."""
+    return df.filter(
+        F.col("transaction_id").isNotNull()
+        & F.col("user_id").isNotNull()
+        & F.col("event_time").isNotNull()
+        & finite_amount()
+    )
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:

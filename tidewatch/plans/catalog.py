@@ -376,8 +376,8 @@ def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Previous location and distance from state kept between micro-batches."""
     out = work_dir(spark, "stream_location")
     stream = events.stream_events(streaming_session(spark), sf_dir)
-    parsed = pipeline.parse_stream(events.to_messages(events.to_transactions(stream)))
-    located = with_previous_location(parsed)
+    raw = events.to_messages(events.to_transactions(stream))
+    located = with_previous_location(project_records(raw))
     flagged = rules.flag_distance(located, TABLE_RULES).select(
         "transaction_id",
         "user_id",

@@ -25,9 +25,9 @@ CITIES = (
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
-    rows = [(index, *city) for index, city in enumerate(CITIES)]
-    return spark.createDataFrame(
-        rows, "city_idx int, city string, city_latitude double, city_longitude double"
+    values = ", ".join(f"({i}, '{city}', {lat}D, {lon}D)" for i, (city, lat, lon) in enumerate(CITIES))
+    return spark.sql(
+        f"SELECT * FROM VALUES {values} AS cities(city_idx, city, city_latitude, city_longitude)"
     )
 
 

@@ -41,16 +41,17 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def to_transactions(events: DataFrame) -> DataFrame:
     """The message fields, plus ``event_time``."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    cities = len(CITIES)
-    away = F.when(k >= 90, k % cities).otherwise(F.col("user_id") % cities).cast("int")
-    keyed = events.select("*", k.alias("k"), away.alias("city_idx"))
+    k, cities = F.col("k"), len(CITIES)
+    home = F.col("user_id") % cities
+    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn(
+        "city_idx", F.when(k >= 90, k % cities).otherwise(home).cast("int")
+    )
 
     def near(center: str, modulus: int, shift: int) -> Column:
         step = (F.col("event_id") % modulus - shift).cast("double")
         return F.col(center) + step / F.lit(100.0)
 
-    return lookup_city(keyed, on="city_idx").select(
+    return lookup_city(keyed, on="city_idx", how="left").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("value").alias("amount"),

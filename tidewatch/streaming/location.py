@@ -5,46 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tidewatch.streaming.location_state import PreviousLocation
+from tidewatch.functions.messages import parse_transactions
+from tidewatch.operators.validate import with_reject_reason
+from tidewatch.streaming.location_state import REJECTED, STATE, previous_location
 
-REJECT_GROUPS = 1024  # rejects carry no user; spread them evenly over the tasks
+REJECT_GROUPS = 1024  # rejects may carry no user; spread them evenly over the tasks
 
+_ADDED = [
+    T.StructField("prev_lat", T.DoubleType()),
+    T.StructField("prev_lon", T.DoubleType()),
+    T.StructField("out_of_order", T.BooleanType()),
+]
 
-def with_previous_location(checked: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Add ``prev_lat, prev_lon, out_of_order`` to a stream with ``reject_reason``.
+
+def with_previous_location(records: DataFrame) -> DataFrame:
+    """``json_str, kafka_ts`` to typed rows with ``reject_reason`` and, for the
+    sound ones, ``prev_lat, prev_lon, out_of_order``.
 
     State lives in the state store, one small row per user, so nothing is lost
-    between micro-batches. Times travel as numbers and text: a far-off date that
-    Spark can hold must not fail the batch on its way through pandas.
+    between micro-batches. Only the ordering fields and the message text travel
+    through Python; the message is parsed again on the way out, which costs less
+    than carrying its fields, and a far-off date that Spark can hold does not
+    fail the batch in pandas.
     """
-    user = F.concat(F.lit("u:"), F.col("user_id"))
-    spread = F.concat(
-        F.lit("r:"), F.pmod(F.xxhash64("raw_message", "kafka_ts"), F.lit(REJECT_GROUPS))
-    )
-    keyed = (
-        checked.withColumn("event_us", F.coalesce(F.unix_micros("event_time"), F.lit(0)))
-        .withColumn("state_key", F.when(F.col("reject_reason").isNull(), user).otherwise(spread))
-        .withColumn("kafka_ts", F.col("kafka_ts").cast("string"))
-        .drop("event_time")
-    )
-    out = T.StructType(
-        [f for f in keyed.schema.fields if f.name != "state_key"]
-        + [
-            T.StructField("prev_lat", T.DoubleType()),
-            T.StructField("prev_lon", T.DoubleType()),
-            T.StructField("out_of_order", T.BooleanType()),
-        ]
-    )
-    scored = keyed.groupBy("state_key").transformWithStateInPandas(
-        PreviousLocation(ttl_ms),
-        outputStructType=out,
-        outputMode="Append",
-        timeMode="ProcessingTime" if ttl_ms else "None",
+    checked = with_reject_reason(parse_transactions(records, keep_raw=True))
+    sound = F.col("reject_reason").isNull()
+    spread = F.pmod(F.xxhash64("raw_message", "kafka_ts"), F.lit(REJECT_GROUPS)).cast("string")
+    keyed = checked.select(
+        F.when(sound, F.lit("user")).otherwise(F.lit(REJECTED)).alias("state_group"),
+        F.when(sound, F.col("user_id")).otherwise(spread).alias("state_key"),
+        F.coalesce(F.when(sound, F.unix_micros("event_time")), F.lit(0)).alias("event_us"),
+        "transaction_id",
+        "latitude",
+        "longitude",
+        F.col("raw_message").alias("json_str"),
+        F.col("kafka_ts").cast("string").alias("kafka_ts"),
     )
-    timed = F.col("reject_reason").isNull() | (F.col("event_us") != 0)
-    return (
-        scored.withColumn("event_time", F.when(timed, F.timestamp_micros("event_us")))
-        .withColumn("kafka_ts", F.col("kafka_ts").cast("timestamp"))
-        .drop("event_us")
+    located = keyed.groupBy("state_group", "state_key").applyInPandasWithState(
+        previous_location,
+        outputStructType=T.StructType(keyed.schema.fields + _ADDED),
+        stateStructType=T._parse_datatype_string(STATE),
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     )
+    added = [field.name for field in _ADDED]
+    back = located.select("json_str", F.col("kafka_ts").cast("timestamp"), *added)
+    parsed = parse_transactions(back, keep_raw=True, keep=added)
+    return with_reject_reason(parsed)

@@ -4,65 +4,58 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql.streaming import StatefulProcessor
 
 # Ship this small module with the query, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDER = ["event_us", "transaction_id", "latitude", "longitude"]
 STATE = "event_us bigint, transaction_id string, latitude double, longitude double"
+REJECTED = "rejected"
 
 
-class PreviousLocation(StatefulProcessor):
-    """Adds ``prev_lat, prev_lon, out_of_order`` to the rows of one user.
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    times = rows["event_us"].to_numpy()
+    if len(np.unique(times)) == len(times):
+        return rows.iloc[np.argsort(times)]
+    return rows.sort_values(ORDER, kind="stable", na_position="first")
 
-    State is the newest row seen. A row older than it has lost its true
-    predecessor: it is marked ``out_of_order``, gets no previous location, and
-    does not move the state back. Rejected rows pass through untouched.
-    """
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
-        self.ttl_ms = ttl_ms
+def _optional(value: float) -> float | None:
+    return None if np.isnan(value) else float(value)
 
-    def init(self, handle) -> None:
-        self.last = handle.getValueState("last", STATE, self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues):
-        if key[0].startswith("r:"):
-            for chunk in rows:
-                yield chunk.drop(columns="state_key").assign(
-                    prev_lat=float("nan"), prev_lon=float("nan"), out_of_order=False
-                )
-            return
-        # One user's share of one micro-batch; the trigger limit bounds it.
-        users = pd.concat(list(rows), ignore_index=True).drop(columns="state_key")
-        users = users.sort_values(ORDER, kind="stable", na_position="first", ignore_index=True)
-        known = self.last.get() if self.last.exists() else None
-        late = pd.Series(False, index=users.index)
-        if known is not None:
-            late = (users["event_us"] < known[0]) | (
-                (users["event_us"] == known[0]) & (users["transaction_id"] < known[1])
-            )
-        in_order = users[~late]
-        lat, lon = in_order["latitude"].shift(), in_order["longitude"].shift()
-        if known is not None and len(in_order):
-            lat.iloc[0], lon.iloc[0] = known[2], known[3]
-        yield users.assign(
-            prev_lat=lat.reindex(users.index),
-            prev_lon=lon.reindex(users.index),
-            out_of_order=late,
-        )
-        if len(in_order):
-            newest = in_order.iloc[-1]
-            self.last.update(
-                (
-                    int(newest["event_us"]),
-                    newest["transaction_id"],
-                    *(None if pd.isna(newest[c]) else float(newest[c]) for c in ORDER[2:]),
-                )
-            )
+def previous_location(key, chunks, state):
+    """Add ``prev_lat, prev_lon, out_of_order`` to the rows of one user.
 
-    def close(self) -> None:
-        pass
+    State is the newest row seen. A row older than it has lost its true
+    predecessor: it is marked ``out_of_order``, gets no previous location, and
+    does not move the state back. Rejected rows pass through untouched.
+    """
+    group, user = key
+    if group == REJECTED:
+        for chunk in chunks:
+            yield chunk.assign(prev_lat=np.nan, prev_lon=np.nan, out_of_order=False)
+        return
+    # One user's share of one micro-batch; the trigger limit bounds it.
+    rows = _in_order(pd.concat(list(chunks), ignore_index=True))
+    times, ids = rows["event_us"].to_numpy(), rows["transaction_id"].to_numpy()
+    lat, lon = (rows[c].to_numpy(dtype=float, na_value=np.nan) for c in ORDER[2:])
+    late, before = 0, (np.nan, np.nan)
+    if state.exists:
+        last_time, last_id, *before = state.get
+        before = [np.nan if c is None else c for c in before]
+        # Rows are in order, so the late ones lead.
+        late = int(np.searchsorted(times, last_time))
+        while late < len(times) and times[late] == last_time and ids[late] < last_id:
+            late += 1
+    known = np.full(late, np.nan)
+    yield rows.assign(
+        prev_lat=np.concatenate([known, before[:1], lat[late:-1]])[: len(rows)],
+        prev_lon=np.concatenate([known, before[1:], lon[late:-1]])[: len(rows)],
+        out_of_order=np.arange(len(rows)) < late,
+    )
+    if late < len(rows):
+        state.update((int(times[-1]), ids[-1], _optional(lat[-1]), _optional(lon[-1])))

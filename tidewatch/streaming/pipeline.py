@@ -23,9 +23,16 @@ from tidewatch.streaming.location import with_previous_location
 log = logging.getLogger(__name__)
 
 
-def parse_stream(messages: DataFrame) -> DataFrame:
-    """Broker rows to typed rows; those that cannot be scored carry a reason."""
-    parsed = with_reject_reason(parse_transactions(project_records(messages), keep_raw=True))
+def parse_stream(messages: DataFrame, rules: RuleConfig) -> DataFrame:
+    """Broker rows to typed rows with what the rules need.
+
+    Rows that cannot be scored carry a ``reject_reason`` and their raw message.
+    """
+    records = project_records(messages)
+    if "location_anomaly" in rules.rules:
+        parsed = with_previous_location(records)
+    else:
+        parsed = with_reject_reason(parse_transactions(records, keep_raw=True))
     raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
     return parsed.withColumn("raw_message", raw)
 
@@ -87,11 +94,8 @@ def start_scoring(
     """Score messages into the clean, alert, CSV and reject tables."""
     if "rapid_fire" in rules.rules:
         raise ValueError("bursts cross micro-batches; run start_rapid_fire beside this query")
-    parsed = parse_stream(messages)
-    if "location_anomaly" in rules.rules:
-        parsed = with_previous_location(parsed)
     return (
-        _ordered(parsed)
+        parse_stream(messages, rules)
         .writeStream.queryName(f"scoring {stream.output_path}")
         .foreachBatch(process_batch(rules, stream.output_path, on_metrics))
         .option("checkpointLocation", f"{stream.checkpoint_base}/main")
@@ -100,13 +104,6 @@ def start_scoring(
     )
 
 
-def _ordered(df: DataFrame) -> DataFrame:
-    """``kafka_ts, event_time`` right after the message fields, as stored."""
-    late = [c for c in df.columns if c not in REJECT_SCHEMA.fieldNames()]
-    kept = [c for c in REJECT_SCHEMA.fieldNames() if c in df.columns]
-    return df.select(*kept, *late)
-
-
 def rapid_fire_alerts(parsed: DataFrame, rules: RuleConfig, watermark: str) -> DataFrame:
     """Hot windows of a stream, each once, when the watermark has passed its end.
 
