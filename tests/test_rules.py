@@ -1,0 +1,290 @@
+import random
+from collections import defaultdict
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import FAR, HOME, START
+from tidewatch.config import RULES, RuleConfig
+from tidewatch.operators import rapid_fire, routing, rules, validate
+from tidewatch.operators.history import add_history
+from tidewatch.operators.skew import heavy_keys, left_join_on_key
+from tidewatch.plans.scoring import score_transactions
+
+LIVE = RuleConfig()
+ALL = replace(LIVE, rules=RULES)
+PLAIN = replace(ALL, segment_rows=None)
+
+
+def by_id(df, *columns):
+    return {r.transaction_id: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_amount_limit_is_strict(txns):
+    df = rules.flag_high_value(
+        txns([("a", "u", 0, HOME, 10_000.0), ("b", "u", 1, HOME, 10_000.01)]), LIVE
+    )
+    assert by_id(df, "fraud_high_value") == {"a": (False,), "b": (True,)}
+
+
+@pytest.mark.parametrize("count, flagged", [(5, False), (6, True)])
+def test_rapid_limit_is_strict(txns, count, flagged):
+    df = txns([(str(i), "u", i * 2) for i in range(count)])
+    assert set(by_id(rapid_fire.flag_rows(df, ALL), "fraud_rapid_fire").values()) == {(flagged,)}
+    assert (rapid_fire.hot_windows(df, ALL).count() > 0) == flagged
+
+
+def test_a_burst_in_two_windows_flags_each_row_once(txns):
+    df = txns([(str(i), "u", i) for i in range(6)] + [("later", "u", 5 * 3600)])
+    assert rapid_fire.hot_windows(df, ALL).count() == 2
+    by_row = by_id(rapid_fire.flag_rows(df, ALL), "fraud_rapid_fire")
+    by_user = rapid_fire.flag_users(df, ALL)
+    assert by_user.count() == 7
+    assert sorted(by_row.values()) == [(False,)] + [(True,)] * 6
+    assert by_row["later"] == (False,)
+    assert set(by_id(by_user, "fraud_rapid_fire").values()) == {(True,)}
+
+
+def test_windows_are_half_open_and_aligned(txns):
+    # START is on a minute; second 60 opens a new pane, so no window holds all six.
+    df = txns([(str(i), "u", s) for i, s in enumerate((0, 5, 10, 15, 20, 60))])
+    assert rapid_fire.hot_windows(df, ALL).count() == 0
+    df = txns([(str(i), "u", s) for i, s in enumerate((0, 5, 10, 15, 20, 59.999999))])
+    (window,) = rapid_fire.hot_windows(df, ALL).collect()
+    assert (window.window_start, window.txn_count) == (START, 6)
+
+
+def test_first_row_has_no_distance(txns):
+    df = rules.flag_location(txns([("a", "u", 0, FAR), ("b", "v", 1, HOME)]), LIVE)
+    assert set(by_id(df, "distance_km", "fraud_location_anomaly").values()) == {(0.0, False)}
+
+
+def test_a_jump_is_flagged_in_time_order(txns):
+    df = rules.flag_location(
+        txns([("c", "u", 20, HOME), ("a", "u", 0, HOME), ("b", "u", 10, FAR)]), LIVE
+    )
+    found = by_id(df, "prev_lat", "fraud_location_anomaly")
+    assert found == {"a": (None, False), "b": (HOME[0], True), "c": (FAR[0], True)}
+
+
+def test_distance_limit_is_strict(spark):
+    df = spark.createDataFrame(
+        [("a", 0.0, 0.0, 0.0, 3.0), ("b", 0.0, 0.0, 0.0, 3.001)],
+        "transaction_id string, prev_lat double, prev_lon double, latitude double, longitude double",
+    )
+    km = by_id(rules.flag_distance(df, LIVE), "distance_km")["a"][0]
+    at_limit = replace(LIVE, distance_limit_km=km)
+    assert by_id(rules.flag_distance(df, at_limit), "fraud_location_anomaly") == {
+        "a": (False,),
+        "b": (True,),
+    }
+
+
+def test_missing_coordinates_are_not_a_jump(txns):
+    df = rules.flag_location(
+        txns([("a", "u", 0, HOME), ("b", "u", 1, (None, None)), ("c", "u", 2, FAR)]), LIVE
+    )
+    assert set(by_id(df, "distance_km", "fraud_location_anomaly").values()) == {(0.0, False)}
+
+
+def test_ties_are_ordered_by_id(txns):
+    rows = [("b", "u", 0, FAR), ("a", "u", 0, HOME), ("c", "u", 0, HOME)]
+    for order in (rows, rows[::-1]):
+        found = by_id(rules.flag_location(txns(order), LIVE), "prev_lat")
+        assert found == {"a": (None,), "b": (HOME[0],), "c": (FAR[0],)}
+
+
+def test_labels_of_all_combinations(txns):
+    burst = [(f"r{i}", "burst", 100 + i) for i in range(6)]
+    df = txns(
+        [
+            ("h", "u", 0, HOME, 20_000.0),
+            ("hl", "u", 600, FAR, 20_000.0),
+            ("l", "u", 1200, HOME),
+            ("ok", "u", 1800, HOME),
+            *burst,
+        ]
+    )
+    found = by_id(score_transactions(df, ALL), "is_fraud", "fraud_reason")
+    assert found["h"] == (True, "high_value")
+    assert found["hl"] == (True, "high_value+location_anomaly")
+    assert found["l"] == (True, "location_anomaly")
+    assert found["ok"] == (False, None)
+    assert {found[tid] for tid, *_ in burst} == {(True, "rapid_fire")}
+    two = by_id(score_transactions(df, LIVE), "is_fraud")
+    assert {two[tid] for tid, *_ in burst} == {(False,)}
+
+
+def test_rejects_clean_and_alerts_are_the_input(txns):
+    nan, inf = float("nan"), float("inf")
+    df = txns(
+        [
+            ("ok", "u", 0),
+            ("far", "u", 60, FAR),
+            ("big", "v", 0, HOME, 1e6),
+            ("null", "u", 1, HOME, None),
+            ("nan", "u", 2, HOME, nan),
+            ("inf", "u", 3, HOME, inf),
+            ("time", "u", None),
+            (None, "u", 4),
+            ("user", None, 5),
+        ]
+    )
+    scored = score_transactions(df, ALL)
+    clean = by_id(routing.clean_rows(scored))
+    alerts = by_id(routing.alert_rows(scored))
+    rejects = by_id(validate.rejected_rows(df), "reject_reason")
+    assert set(clean) == {"ok"} and set(alerts) == {"far", "big"}
+    assert rejects == {
+        "null": ("invalid_amount",),
+        "nan": ("invalid_amount",),
+        "inf": ("invalid_amount",),
+        "time": ("invalid_event_time",),
+        None: ("missing_transaction_id",),
+        "user": ("missing_user_id",),
+    }
+    assert len(clean) + len(alerts) + len(rejects) == df.count()
+
+
+def test_one_shuffle_serves_all_rules(txns):
+    plan = score_transactions(txns([("a", "u", 0)]), PLAIN)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("Exchange") == 1 and text.count("Sort ") == 1
+
+
+# --- users too large for one task -------------------------------------------
+
+
+def brute_force(rows, config):
+    """id -> (previous place, largest count of the windows holding the row)."""
+    users = defaultdict(list)
+    for tid, user, second, place in rows:
+        users[user].append((second, tid, place))
+    found = {}
+    slide, size = config.rapid_slide_seconds, config.rapid_window_seconds
+    for user_rows in users.values():
+        user_rows.sort()
+        previous = (None, None)
+        for second, tid, place in user_rows:
+            first = int(second // slide) * slide
+            starts = [first - back * slide for back in range(size // slide)]
+            largest = max(
+                sum(start <= other < start + size for other, _, _ in user_rows)
+                for start in starts
+            )
+            found[tid] = (*previous, largest)
+            previous = place
+    return found
+
+
+def random_rows(seed, users, rows, span):
+    rng = random.Random(seed)
+    result = []
+    for i in range(rows):
+        # One user holds a third of all rows.
+        user = "hot" if rng.random() < 0.34 else f"u{rng.randrange(users)}"
+        place = (None, None) if rng.random() < 0.05 else (round(rng.uniform(-80, 80), 3), 10.0)
+        result.append((f"{i:05d}", user, float(rng.randrange(span)), place))
+    return result
+
+
+@pytest.mark.parametrize("panes", [1, 2, 3])
+@pytest.mark.parametrize(
+    "span, segment_rows",
+    [
+        (4000, 20),  # spread over many panes
+        (200, 10),  # several cuts in each pane
+        (1, 16),  # all rows in one second: only the id orders them
+        (4000, None),
+        (4000, 1),  # every user with two rows is split
+    ],
+)
+def test_history_matches_brute_force(txns, panes, span, segment_rows):
+    config = replace(
+        ALL, rapid_window_seconds=30 * panes, rapid_slide_seconds=30, segment_rows=segment_rows
+    )
+    rows = random_rows(panes * 100 + span, 12, 500, span)
+    df = add_history(txns(rows), config, previous=True, counts=True)
+    assert by_id(df, "prev_lat", "prev_lon", "rapid_count") == brute_force(rows, config)
+    only = add_history(txns(rows), config, previous=True)
+    assert by_id(only, "prev_lat", "prev_lon") == {
+        tid: found[:2] for tid, found in brute_force(rows, config).items()
+    }
+
+
+def test_many_cuts_in_one_pane(txns, monkeypatch):
+    """More cuts than one list holds: both lookup steps take part."""
+    from tidewatch.operators import history
+
+    monkeypatch.setattr(history, "CUTS_PER_LOOKUP", 4)
+    monkeypatch.setattr(history, "SAMPLES_PER_CUT", 2)
+    config = replace(ALL, segment_rows=4)
+    rows = random_rows(9, 3, 600, 25)
+    df = add_history(txns(rows), config, previous=True, counts=True)
+    assert by_id(df, "prev_lat", "prev_lon", "rapid_count") == brute_force(rows, config)
+
+
+def test_split_users_leave_no_large_cell(txns):
+    from tidewatch.operators import history
+
+    rows = [(f"{i:05d}", "hot", 5.0, HOME) for i in range(4000)]
+    df = txns(rows).withColumn("_pane", history._pane(30))
+    sizes = history._with_segments(df, 200).groupBy("_segment").count().agg(F.max("count"))
+    assert sizes.first()[0] < 1000
+
+
+def test_copies_keep_their_number(txns):
+    rows = [("same", "hot", 5.0, HOME)] * 300 + [("z", "hot", 6.0, FAR)]
+    df = rules.flag_location(txns(rows), replace(ALL, segment_rows=10))
+    assert df.count() == 301
+    assert df.filter("fraud_location_anomaly").count() == 1
+
+
+def test_scores_do_not_depend_on_splitting(txns):
+    rows = random_rows(3, 10, 800, 3000)
+    df = txns(rows)
+    columns = ("distance_km", "fraud_rapid_fire", "fraud_reason")
+    split = replace(ALL, segment_rows=15)
+    assert by_id(score_transactions(df, PLAIN), *columns) == by_id(
+        score_transactions(df, split), *columns
+    )
+    assert by_id(rapid_fire.flag_users(df, PLAIN), "fraud_rapid_fire") == by_id(
+        rapid_fire.flag_users(df, split), "fraud_rapid_fire"
+    )
+
+
+def test_heavy_keys(txns):
+    rows = [(str(i), "hot", i) for i in range(50)] + [("x", "cold", 0), ("y", None, 0)]
+    heavy = heavy_keys(txns(rows), "user_id", 10)
+    assert [r.user_id for r in heavy.keys.collect()] == ["hot"] and heavy.total_rows == 50
+    assert heavy_keys(txns(rows), "user_id", 50) is None
+
+
+def test_left_join_keeps_every_row(txns, spark):
+    rows = [(str(i), "hot", i) for i in range(50)] + [("x", "cold", 0), ("y", None, 0)]
+    lookup = spark.createDataFrame([("hot", 1), ("unused", 2)], "user_id string, n int")
+    found = by_id(left_join_on_key(txns(rows), lookup, "user_id", 10), "n")
+    assert len(found) == 52 and found["0"] == (1,) and found["x"] == found["y"] == (None,)
+
+
+# --- settings ----------------------------------------------------------------
+
+
+def test_config_from_environment():
+    config = RuleConfig.from_env(
+        {"FRAUD_THRESHOLD": "5", "RAPID_TXN_LIMIT": "7", "LOCATION_KM_LIMIT": "9.5"}
+    )
+    assert (config.amount_limit, config.rapid_limit, config.distance_limit_km) == (5.0, 7, 9.5)
+    assert RuleConfig.from_env({}) == RuleConfig()
+
+
+def test_config_is_checked():
+    with pytest.raises(ValueError):
+        RuleConfig(rules=("unheard_of",))
+    with pytest.raises(ValueError):
+        RuleConfig(rapid_window_seconds=60, rapid_slide_seconds=25)
+    assert RuleConfig(rules=("location_anomaly", "high_value")).ordered_rules == (
+        "high_value",
+        "location_anomaly",
+    )
