@@ -36,6 +36,13 @@ def file_stream(
     return reader.load(path)
 
 
+def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """One message per line; a message's time is that of its file, also on replay."""
+    schema = StructType().add("value", "string")
+    lines = file_stream(spark, path, schema, "text", max_files)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
+
+
 def project_records(messages: DataFrame) -> DataFrame:
     """Raw broker rows to ``json_str, kafka_ts``; the value may be binary or text."""
     return messages.select(
