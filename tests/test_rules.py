@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import FAR, HOME, START
 from tidewatch.config import RULES, RuleConfig
 from tidewatch.operators import rapid_fire, routing, rules, validate
-from tidewatch.operators.history import add_history
+from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.skew import heavy_keys, left_join_on_key
 from tidewatch.plans.scoring import score_transactions
 
@@ -178,6 +178,11 @@ def brute_force(rows, config):
     return found
 
 
+def history(df, config, counts=False):
+    heavy = heavy_users(df, config)
+    return add_history(df, config, heavy, previous=PREVIOUS_LOCATION, counts=counts)
+
+
 def random_rows(seed, users, rows, span):
     rng = random.Random(seed)
     result = []
@@ -205,9 +210,9 @@ def test_history_matches_brute_force(txns, panes, span, segment_rows):
         ALL, rapid_window_seconds=30 * panes, rapid_slide_seconds=30, segment_rows=segment_rows
     )
     rows = random_rows(panes * 100 + span, 12, 500, span)
-    df = add_history(txns(rows), config, previous=True, counts=True)
+    df = history(txns(rows), config, counts=True)
     assert by_id(df, "prev_lat", "prev_lon", "rapid_count") == brute_force(rows, config)
-    only = add_history(txns(rows), config, previous=True)
+    only = history(txns(rows), config)
     assert by_id(only, "prev_lat", "prev_lon") == {
         tid: found[:2] for tid, found in brute_force(rows, config).items()
     }
@@ -215,27 +220,30 @@ def test_history_matches_brute_force(txns, panes, span, segment_rows):
 
 def test_many_cuts_in_one_pane(txns, monkeypatch):
     """More cuts than one list holds: both lookup steps take part."""
-    from tidewatch.operators import history
+    from tidewatch.operators import history as module
 
-    monkeypatch.setattr(history, "CUTS_PER_LOOKUP", 4)
-    monkeypatch.setattr(history, "SAMPLES_PER_CUT", 2)
+    monkeypatch.setattr(module, "CUTS_PER_LOOKUP", 4)
+    monkeypatch.setattr(module, "SAMPLES_PER_CUT", 2)
     config = replace(ALL, segment_rows=4)
     rows = random_rows(9, 3, 600, 25)
-    df = add_history(txns(rows), config, previous=True, counts=True)
+    df = history(txns(rows), config, counts=True)
     assert by_id(df, "prev_lat", "prev_lon", "rapid_count") == brute_force(rows, config)
 
 
 def test_split_users_leave_no_large_cell(txns):
-    from tidewatch.operators import history
+    from tidewatch.operators import history as module
 
     rows = [(f"{i:05d}", "hot", 5.0, HOME) for i in range(4000)]
-    df = txns(rows).withColumn("_pane", history._pane(30))
-    sizes = history._with_segments(df, 200).groupBy("_segment").count().agg(F.max("count"))
+    # Copies of one transaction, told apart by the amount alone.
+    rows += [("copy", "hot", 5.0, HOME, float(i)) for i in range(4000)]
+    df = txns(rows).withColumn("_pane", module._pane(30))
+    sizes = module._with_segments(df, 200).groupBy("_segment").count().agg(F.max("count"))
     assert sizes.first()[0] < 1000
 
 
 def test_copies_keep_their_number(txns):
-    rows = [("same", "hot", 5.0, HOME)] * 300 + [("z", "hot", 6.0, FAR)]
+    rows = [("same", "hot", 5.0, HOME, float(i % 150)) for i in range(300)]
+    rows += [("z", "hot", 6.0, FAR)]
     df = rules.flag_location(txns(rows), replace(ALL, segment_rows=10))
     assert df.count() == 301
     assert df.filter("fraud_location_anomaly").count() == 1
@@ -259,12 +267,14 @@ def test_heavy_keys(txns):
     heavy = heavy_keys(txns(rows), "user_id", 10)
     assert [r.user_id for r in heavy.keys.collect()] == ["hot"] and heavy.total_rows == 50
     assert heavy_keys(txns(rows), "user_id", 50) is None
+    assert heavy_keys(txns(rows), "user_id", None) is None
 
 
 def test_left_join_keeps_every_row(txns, spark):
     rows = [(str(i), "hot", i) for i in range(50)] + [("x", "cold", 0), ("y", None, 0)]
     lookup = spark.createDataFrame([("hot", 1), ("unused", 2)], "user_id string, n int")
-    found = by_id(left_join_on_key(txns(rows), lookup, "user_id", 10), "n")
+    heavy = heavy_keys(txns(rows), "user_id", 10)
+    found = by_id(left_join_on_key(txns(rows), lookup, "user_id", heavy), "n")
     assert len(found) == 52 and found["0"] == (1,) and found["x"] == found["y"] == (None,)
 
 

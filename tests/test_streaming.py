@@ -114,8 +114,9 @@ def test_a_restarted_query_goes_on(feed):
     assert feed.found("prev_lat") == {"a": (None,), "b": (HOME[0],)}
 
 
-def test_batch_and_stream_agree(spark, tmp_path):
-    """The same rows as one batch and as five micro-batches."""
+@pytest.mark.parametrize("segment_rows", [1_000_000, 10])
+def test_batch_and_stream_agree(spark, tmp_path, segment_rows):
+    """The same rows as one batch and as five micro-batches, users split or not."""
     table = events.read_events(spark, SMALL)
     source = str(tmp_path / "events")
     for part in range(5):
@@ -123,7 +124,7 @@ def test_batch_and_stream_agree(spark, tmp_path):
         table.filter(F.floor(F.col("event_id") / 200) == part).coalesce(1).write.mode(
             "append"
         ).parquet(source)
-    rules = RuleConfig(amount_limit=150.0)
+    rules = RuleConfig(amount_limit=150.0, segment_rows=segment_rows)
     stream = file_stream(
         streaming_session(spark), source, events.EVENTS_SCHEMA, "parquet", max_files=1
     )

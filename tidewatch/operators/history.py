@@ -17,6 +17,8 @@ No rows are joined to rows; only cell summaries cross cell borders.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ from tidewatch.operators.skew import HeavyKeys, heavy_keys
 
 # Row order within a user. Coordinates only separate copies of one transaction.
 ORDER = ("event_time", "transaction_id", "latitude", "longitude")
+# Copies that differ in any other column can still be cut apart.
+SPLIT_ORDER = (*ORDER, "_row_hash")
+
+# Names for the previous row's columns, which may be any of ORDER.
+PREVIOUS_LOCATION = {"prev_lat": "latitude", "prev_lon": "longitude"}
 
 SAMPLES_PER_CUT = 8
 CUTS_PER_LOOKUP = 256  # length of the lists searched per row, in two steps
@@ -34,16 +41,27 @@ PANE_SECONDS = 3600  # pane length where no window counts ask for one
 _CELL = ("user_id", "_pane", "_segment")
 
 
+def heavy_users(df: DataFrame, config: RuleConfig) -> HeavyKeys | None:
+    return heavy_keys(df, "user_id", config.segment_rows)
+
+
 def add_history(
-    df: DataFrame, config: RuleConfig, *, previous: bool = True, counts: bool = False
+    df: DataFrame,
+    config: RuleConfig,
+    heavy: HeavyKeys | None,
+    *,
+    previous: Mapping[str, str] | None = None,
+    counts: bool = False,
 ) -> DataFrame:
-    """Add ``prev_lat, prev_lon`` and/or ``rapid_count`` to every row.
+    """Add columns of the user's previous row and/or ``rapid_count``.
 
-    ``rapid_count`` is the largest count among the sliding windows
-    (epoch-aligned, half-open) that contain the row.
+    ``previous`` maps new names to columns of the previous row; they are NULL
+    for a user's first row. ``rapid_count`` is the largest count among the
+    sliding windows (epoch-aligned, half-open) that contain the row. The users
+    in ``heavy`` are split over tasks.
     """
+    previous = previous or {}
     paned = df.withColumn("_pane", _pane(config.rapid_slide_seconds if counts else PANE_SECONDS))
-    heavy = heavy_keys(df, "user_id", config.segment_rows) if config.segment_rows else None
     if heavy is None:
         return _whole_users(paned, config, previous, counts).drop("_pane")
     light = paned.join(heavy.keys, "user_id", "left_anti")
@@ -74,24 +92,25 @@ def _window_counts(config: RuleConfig, rows: Column) -> Column:
     return F.when(F.col("_pane").isNotNull(), largest)
 
 
-def _whole_users(df: DataFrame, config: RuleConfig, previous: bool, counts: bool) -> DataFrame:
+def _whole_users(
+    df: DataFrame, config: RuleConfig, previous: Mapping[str, str], counts: bool
+) -> DataFrame:
     # The pane leads the order (it is a coarser event_time), so the sort made
     # for lag() also serves the counts: one exchange, one sort for both.
     if previous:
         user = Window.partitionBy("user_id").orderBy(*(["_pane"] if counts else []), *ORDER)
-        df = df.withColumns(
-            {
-                "prev_lat": F.lag("latitude").over(user),
-                "prev_lon": F.lag("longitude").over(user),
-            }
-        )
+        df = df.withColumns({name: F.lag(c).over(user) for name, c in previous.items()})
     if counts:
         df = df.withColumn("rapid_count", _window_counts(config, F.count("*")))
     return df
 
 
 def _split_users(
-    df: DataFrame, heavy: HeavyKeys, config: RuleConfig, previous: bool, counts: bool
+    df: DataFrame,
+    heavy: HeavyKeys,
+    config: RuleConfig,
+    previous: Mapping[str, str],
+    counts: bool,
 ) -> DataFrame:
     rows = _with_segments(df, max(config.segment_rows, heavy.total_rows // MAX_CUTS))
     cells = rows.groupBy(*_CELL).agg(
@@ -104,17 +123,13 @@ def _split_users(
         headers = headers.withColumn("rapid_count", _window_counts(config, F.sum("_rows")))
     headers = headers.select(
         *_CELL,
-        F.col("_before.latitude").alias("latitude"),
-        F.col("_before.longitude").alias("longitude"),
+        "_before.*",
         *(["rapid_count"] if counts else []),
         F.lit(False).alias("_is_row"),
     )
 
-    within = Window.partitionBy(*_CELL).orderBy("_is_row", *ORDER)
-    added = {}
-    if previous:
-        added["prev_lat"] = F.lag("latitude").over(within)
-        added["prev_lon"] = F.lag("longitude").over(within)
+    within = Window.partitionBy(*_CELL).orderBy("_is_row", *SPLIT_ORDER)
+    added = {name: F.lag(c).over(within) for name, c in previous.items()}
     if counts:
         added["rapid_count"] = F.first("rapid_count").over(within)
     return (
@@ -122,7 +137,7 @@ def _split_users(
         .unionByName(headers, allowMissingColumns=True)
         .withColumns(added)
         .filter("_is_row")
-        .drop("_is_row", "_segment")
+        .drop("_is_row", "_segment", "_row_hash")
     )
 
 
@@ -133,19 +148,20 @@ def _with_segments(df: DataFrame, segment_rows: int) -> DataFrame:
     gives the same results. Sampling distinct keys keeps copies of one row from
     swelling it.
     """
+    df = df.withColumn("_row_hash", F.xxhash64(*df.columns))
     stride = max(1, segment_rows // SAMPLES_PER_CUT)
     sample = (
-        df.select("user_id", "_pane", *ORDER)
-        .filter(F.pmod(F.xxhash64(*ORDER), F.lit(stride)) == 0)
+        df.select("user_id", "_pane", *SPLIT_ORDER)
+        .filter(F.pmod("_row_hash", F.lit(stride)) == 0)
         .distinct()
     )
-    in_pane = Window.partitionBy("user_id", "_pane").orderBy(*ORDER)
+    in_pane = Window.partitionBy("user_id", "_pane").orderBy(*SPLIT_ORDER)
     cuts = (
         sample.withColumn("_nth", F.row_number().over(in_pane))
         .filter(F.col("_nth") % SAMPLES_PER_CUT == 0)
         .withColumn("_nth", (F.col("_nth") / SAMPLES_PER_CUT).cast("int"))
         .withColumn("_coarse", F.floor(F.col("_nth") / CUTS_PER_LOOKUP))
-        .withColumn("_cut", F.struct(*ORDER))
+        .withColumn("_cut", F.struct(*SPLIT_ORDER))
     )
     leads = F.col("_nth") % CUTS_PER_LOOKUP == 0
     rows = _count_cuts(df, cuts.filter(leads).drop("_coarse"), ["user_id", "_pane"], "_coarse")
@@ -157,7 +173,7 @@ def _with_segments(df: DataFrame, segment_rows: int) -> DataFrame:
 def _count_cuts(df: DataFrame, cuts: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add ``name``: how many of the cuts listed for the row's keys are at or before it."""
     lists = cuts.groupBy(*keys).agg(F.collect_list("_cut").alias("_cuts"))
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.struct(*ORDER)))
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.struct(*SPLIT_ORDER)))
     return (
         df.join(F.broadcast(lists), keys, "left")
         .withColumn(name, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(passed).cast("long"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import RuleConfig
 from tidewatch.functions.flags import fill_flags
-from tidewatch.operators.history import add_history
+from tidewatch.operators.history import add_history, heavy_users
 from tidewatch.operators.skew import left_join_on_key
 
 
@@ -44,13 +44,13 @@ def flag_users(df: DataFrame, config: RuleConfig) -> DataFrame:
     flagged = (
         hot_windows(df, config).select("user_id", F.lit(True).alias("fraud_rapid_fire")).distinct()
     )
-    joined = left_join_on_key(df, flagged, "user_id", config.segment_rows)
+    joined = left_join_on_key(df, flagged, "user_id", heavy_users(df, config))
     return fill_flags(joined, ["fraud_rapid_fire"])
 
 
 def flag_rows(df: DataFrame, config: RuleConfig) -> DataFrame:
     """Row grain: the rows that lie in a hot window are flagged."""
-    counted = add_history(df, config, previous=False, counts=True)
+    counted = add_history(df, config, heavy_users(df, config), counts=True)
     return add_flag(counted, config)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import RuleConfig
 from tidewatch.functions.flags import fill_flags
 from tidewatch.functions.geo import haversine_km
-from tidewatch.operators.history import add_history
+from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 
 
 def flag_high_value(df: DataFrame, config: RuleConfig) -> DataFrame:
@@ -17,7 +17,7 @@ def flag_high_value(df: DataFrame, config: RuleConfig) -> DataFrame:
 
 def previous_location(df: DataFrame, config: RuleConfig) -> DataFrame:
     """Add ``prev_lat, prev_lon``: where the user's previous transaction was."""
-    return add_history(df, config, previous=True)
+    return add_history(df, config, heavy_users(df, config), previous=PREVIOUS_LOCATION)
 
 
 def flag_distance(df: DataFrame, config: RuleConfig) -> DataFrame:

@@ -20,12 +20,15 @@ class HeavyKeys:
     total_rows: int
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys | None:
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None) -> HeavyKeys | None:
     """The keys with more than ``rows_per_task`` rows; None if there are none.
 
     Counted with map-side combine over the key column alone. At most
-    ``MAX_HEAVY_KEYS`` keys (the largest) reach the driver.
+    ``MAX_HEAVY_KEYS`` keys (the largest) reach the driver. A limit of None
+    skips the count.
     """
+    if rows_per_task is None:
+        return None
     found = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
@@ -42,14 +45,13 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys | None:
 
 
 def left_join_on_key(
-    facts: DataFrame, lookup: DataFrame, key: str, rows_per_task: int | None
+    facts: DataFrame, lookup: DataFrame, key: str, heavy: HeavyKeys | None
 ) -> DataFrame:
     """``facts ⟕ lookup`` on ``key`` where ``lookup`` has one row per key.
 
     Rows of heavy keys never meet in one task: they are joined where they lie
     with the (bounded) part of ``lookup`` that concerns them.
     """
-    heavy = heavy_keys(facts, key, rows_per_task) if rows_per_task else None
     if heavy is None:
         return facts.join(lookup, key, "left")
     light_part = facts.join(heavy.keys, key, "left_anti").join(lookup, key, "left")

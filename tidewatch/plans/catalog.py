@@ -28,7 +28,6 @@ from tidewatch.sources.cities import lookup_city
 from tidewatch.sources.messages import project_records
 from tidewatch.sources.tables import load_results, read_parquet_dir
 from tidewatch.streaming import pipeline
-from tidewatch.streaming.location import with_previous_location
 
 TABLE_RULES = RuleConfig(
     amount_limit=150.0,
@@ -373,29 +372,27 @@ def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous location and distance from state kept between micro-batches."""
+    """Previous location and distance, from state kept between micro-batches."""
     out = work_dir(spark, "stream_location")
+    columns = ["transaction_id", "user_id", "prev_lat", "prev_lon", "out_of_order"]
+    columns += ["distance_km", "fraud_location_anomaly"]
+    config = replace(TABLE_RULES, rules=("location_anomaly",))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        located = pipeline.score_batch(batch, config).select(*columns)
+        located.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+
     stream = events.stream_events(streaming_session(spark), sf_dir)
     raw = events.to_messages(events.to_transactions(stream))
-    located = with_previous_location(project_records(raw))
-    flagged = rules.flag_distance(located, TABLE_RULES).select(
-        "transaction_id",
-        "user_id",
-        "prev_lat",
-        "prev_lon",
-        "out_of_order",
-        _km("distance_km"),
-        "fraud_location_anomaly",
-    )
     (
-        flagged.writeStream.format("parquet")
-        .option("path", f"{out}/rows")
+        pipeline.parse_stream(raw, config)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{out}/checkpoint")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    return spark.read.schema(flagged.schema).parquet(f"{out}/rows")
+    return spark.read.parquet(f"{out}/rows").select(*columns[:5], _km(columns[5]), columns[6])
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tidewatch.config import RuleConfig
 from tidewatch.operators import rapid_fire, rules
-from tidewatch.operators.history import add_history
+from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.routing import combine_flags, label_reason
 from tidewatch.operators.validate import valid_rows
 
@@ -21,7 +21,9 @@ def score_transactions(df: DataFrame, config: RuleConfig) -> DataFrame:
     rapid = "rapid_fire" in config.rules
     scored = valid_rows(df)
     if location or rapid:
-        scored = add_history(scored, config, previous=location, counts=rapid)
+        previous = PREVIOUS_LOCATION if location else {}
+        heavy = heavy_users(scored, config)
+        scored = add_history(scored, config, heavy, previous=previous, counts=rapid)
     return apply_rules(scored, config)
 
 

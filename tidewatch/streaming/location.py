@@ -1,56 +1,88 @@
-"""The previous location of each row of a stream."""
+"""The previous location of each row of a stream.
+
+The state store holds one small row per user: where they were last seen. Per
+micro-batch it hands out a *seed* for each known user in it. Everything else is
+done on the batch with the operators of the batch engine, so users with very
+many rows are split over tasks here as well.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tidewatch.functions.messages import parse_transactions
-from tidewatch.operators.validate import with_reject_reason
-from tidewatch.streaming.location_state import REJECTED, STATE, previous_location
-
-REJECT_GROUPS = 1024  # rejects may carry no user; spread them evenly over the tasks
+from tidewatch.config import RuleConfig
+from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
+from tidewatch.operators.skew import left_join_on_key
+from tidewatch.streaming.last_seen import LAST_SEEN, last_seen
 
-_ADDED = [
-    T.StructField("prev_lat", T.DoubleType()),
-    T.StructField("prev_lon", T.DoubleType()),
-    T.StructField("out_of_order", T.BooleanType()),
-]
 
+def with_seeds(checked: DataFrame) -> DataFrame:
+    """The rows of a stream, plus one ``is_seed`` row per user seen before.
 
-def with_previous_location(records: DataFrame) -> DataFrame:
-    """``json_str, kafka_ts`` to typed rows with ``reject_reason`` and, for the
-    sound ones, ``prev_lat, prev_lon, out_of_order``.
-
-    State lives in the state store, one small row per user, so nothing is lost
-    between micro-batches. Only the ordering fields and the message text travel
-    through Python; the message is parsed again on the way out, which costs less
-    than carrying its fields, and a far-off date that Spark can hold does not
-    fail the batch in pandas.
+    ``checked`` carries ``reject_reason``; rejected rows do not touch the state.
+    Only the ordering fields and coordinates travel through Python, with times
+    as numbers: a far-off date that Spark can hold must not fail in pandas.
     """
-    checked = with_reject_reason(parse_transactions(records, keep_raw=True))
-    sound = F.col("reject_reason").isNull()
-    spread = F.pmod(F.xxhash64("raw_message", "kafka_ts"), F.lit(REJECT_GROUPS)).cast("string")
-    keyed = checked.select(
-        F.when(sound, F.lit("user")).otherwise(F.lit(REJECTED)).alias("state_group"),
-        F.when(sound, F.col("user_id")).otherwise(spread).alias("state_key"),
-        F.coalesce(F.when(sound, F.unix_micros("event_time")), F.lit(0)).alias("event_us"),
+    sightings = checked.filter(F.col("reject_reason").isNull()).select(
+        "user_id",
+        F.unix_micros("event_time").alias("event_us"),
         "transaction_id",
         "latitude",
         "longitude",
-        F.col("raw_message").alias("json_str"),
-        F.col("kafka_ts").cast("string").alias("kafka_ts"),
     )
-    located = keyed.groupBy("state_group", "state_key").applyInPandasWithState(
-        previous_location,
-        outputStructType=T.StructType(keyed.schema.fields + _ADDED),
-        stateStructType=T._parse_datatype_string(STATE),
+    seeds = sightings.groupBy("user_id").applyInPandasWithState(
+        last_seen,
+        outputStructType=LAST_SEEN,
+        stateStructType=LAST_SEEN.replace("user_id string, ", ""),
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
-    added = [field.name for field in _ADDED]
-    back = located.select("json_str", F.col("kafka_ts").cast("timestamp"), *added)
-    parsed = parse_transactions(back, keep_raw=True, keep=added)
-    return with_reject_reason(parsed)
+    seeds = seeds.withColumn("event_time", F.timestamp_micros("event_us")).drop("event_us")
+    return checked.withColumn("is_seed", F.lit(False)).unionByName(
+        seeds.withColumn("is_seed", F.lit(True)), allowMissingColumns=True
+    )
+
+
+def locate(batch: DataFrame, config: RuleConfig) -> DataFrame:
+    """Rows and seeds of one micro-batch to rows with their previous location.
+
+    Adds ``prev_lat, prev_lon, out_of_order``. A row older than its user's seed
+    has lost its true predecessor: it is marked, and gets no previous location.
+    """
+    seeds = batch.filter("is_seed").select(
+        "user_id",
+        F.col("event_time").alias("_seed_time"),
+        F.col("transaction_id").alias("_seed_id"),
+        F.col("latitude").alias("_seed_lat"),
+        F.col("longitude").alias("_seed_lon"),
+    )
+    rows = batch.filter(~F.col("is_seed")).drop("is_seed")
+    sound = rows.filter(F.col("reject_reason").isNull())
+    heavy = heavy_users(sound, config)
+    late = F.struct("event_time", "transaction_id") < F.struct("_seed_time", "_seed_id")
+    seeded = left_join_on_key(sound, seeds, "user_id", heavy).withColumn(
+        "out_of_order", F.col("_seed_time").isNotNull() & late
+    )
+    in_order = add_history(
+        seeded.filter(~F.col("out_of_order")),
+        config,
+        heavy,
+        previous={**PREVIOUS_LOCATION, "_prev_id": "transaction_id"},
+    )
+    first = F.col("_prev_id").isNull()
+    located = in_order.withColumns(
+        {
+            "prev_lat": F.when(first, F.col("_seed_lat")).otherwise(F.col("prev_lat")),
+            "prev_lon": F.when(first, F.col("_seed_lon")).otherwise(F.col("prev_lon")),
+        }
+    ).drop("_prev_id")
+    unlocated = rows.filter(F.col("reject_reason").isNotNull()).withColumn(
+        "out_of_order", F.lit(False)
+    )
+    return (
+        located.unionByName(seeded.filter("out_of_order"), allowMissingColumns=True)
+        .drop("_seed_time", "_seed_id", "_seed_lat", "_seed_lon")
+        .unionByName(unlocated, allowMissingColumns=True)
+    )

@@ -15,30 +15,39 @@ from tidewatch.functions.messages import parse_transactions
 from tidewatch.operators.rapid_fire import hot_windows
 from tidewatch.operators.validate import valid_rows, with_reject_reason
 from tidewatch.plans.scoring import apply_rules
-from tidewatch.schema import REJECT_SCHEMA
+from tidewatch.schema import REJECT_SCHEMA, SCORED_SCHEMA
 from tidewatch.sinks import tables
 from tidewatch.sources.messages import project_records
-from tidewatch.streaming.location import with_previous_location
+from tidewatch.streaming.location import locate, with_seeds
 
 log = logging.getLogger(__name__)
 
 
 def parse_stream(messages: DataFrame, rules: RuleConfig) -> DataFrame:
-    """Broker rows to typed rows with what the rules need.
+    """Broker rows to typed rows, with seeds if the rules look at locations.
 
     Rows that cannot be scored carry a ``reject_reason`` and their raw message.
     """
-    records = project_records(messages)
-    if "location_anomaly" in rules.rules:
-        parsed = with_previous_location(records)
-    else:
-        parsed = with_reject_reason(parse_transactions(records, keep_raw=True))
+    parsed = parse_transactions(project_records(messages), keep_raw=True)
+    checked = with_reject_reason(parsed)
     raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
-    return parsed.withColumn("raw_message", raw)
+    checked = checked.withColumn("raw_message", raw)
+    return with_seeds(checked) if "location_anomaly" in rules.rules else checked
+
+
+def score_batch(batch: DataFrame, rules: RuleConfig) -> DataFrame:
+    """The scored rows of one micro-batch of ``parse_stream``, rejects included."""
+    if "is_seed" in batch.columns:
+        batch = locate(batch, rules)
+    scored = apply_rules(batch, rules).withColumn(
+        "processed_at", F.lit(datetime.now(timezone.utc))
+    )
+    stored = [c for c in SCORED_SCHEMA.fieldNames() if c in scored.columns]
+    return scored.select(*stored, *[c for c in scored.columns if c not in stored])
 
 
 def process_batch(
-    config: RuleConfig,
+    rules: RuleConfig,
     output_path: str,
     on_metrics: Callable[[tables.BatchMetrics], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
@@ -49,38 +58,37 @@ def process_batch(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        now = F.lit(datetime.now(timezone.utc))
-        held = apply_rules(batch, config).withColumn("processed_at", now).persist()
+        batch = batch.persist()
+        scored = score_batch(batch, rules).persist()
         try:
             sound = F.col("reject_reason").isNull()
-            count = held.agg(
+            count = scored.agg(
                 F.count_if(sound).alias("total"),
                 F.count_if(sound & F.col("is_fraud")).alias("alerts"),
                 F.count_if(~sound).alias("rejects"),
             ).first()
             if count["total"] + count["rejects"] == 0:
                 return
-            scored = held.filter(sound).drop("raw_message", "reject_reason")
-            rejects = held.filter(~sound).select(*REJECT_SCHEMA.fieldNames())
+            rows = scored.filter(sound).drop("raw_message", "reject_reason")
+            rejects = scored.filter(~sound).select(*REJECT_SCHEMA.fieldNames())
             clean, alerts = count["total"] - count["alerts"], count["alerts"]
-            tables.write_clean(scored, output_path, batch_id, clean)
-            tables.write_alerts(scored, output_path, batch_id, alerts)
-            tables.write_alerts_csv(
-                scored.drop("out_of_order"), output_path, batch_id, alerts
-            )
+            tables.write_clean(rows, output_path, batch_id, clean)
+            tables.write_alerts(rows, output_path, batch_id, alerts)
+            tables.write_alerts_csv(rows.drop("out_of_order"), output_path, batch_id, alerts)
             tables.write_rejects(rejects, output_path, batch_id, count["rejects"])
             metrics = tables.BatchMetrics(batch_id, **count.asDict())
             log.info("%s", metrics)
             if on_metrics:
                 on_metrics(metrics)
         finally:
-            held.unpersist()
+            scored.unpersist()
+            batch.unpersist()
 
     return run
 
 
-def _trigger(config: StreamConfig, available_now: bool) -> dict:
-    return {"availableNow": True} if available_now else {"processingTime": config.trigger}
+def _trigger(stream: StreamConfig, available_now: bool) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": stream.trigger}
 
 
 def start_scoring(
