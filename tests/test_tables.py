@@ -3,16 +3,18 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAR, HOME
+from conftest import FAR, HOME, SMALL
 from tidewatch.config import RuleConfig, StreamConfig
-from tidewatch.functions.messages import iso_string
+from tidewatch.functions.messages import iso_string, parse_transactions
 from tidewatch.plans import reports
+from tidewatch.plans.backfill import backfill
 from tidewatch.plans.scoring import score_transactions
-from tidewatch.schema import ALERT_CSV_SCHEMA, SCORED_SCHEMA
+from tidewatch.schema import ALERT_CSV_SCHEMA, REJECT_SCHEMA, SCORED_SCHEMA
 from tidewatch.session import work_dir
 from tidewatch.sinks import messages as message_sink
 from tidewatch.sinks import tables
-from tidewatch.sources.messages import kafka_options
+from tidewatch.sources import events
+from tidewatch.sources.messages import kafka_options, project_records
 from tidewatch.sources.tables import load_results, read_parquet_dir
 
 LIVE = RuleConfig()
@@ -89,10 +91,29 @@ def test_batch_folders_are_partitions(spark, scored, tmp_path):
     assert {r[0] for r in df.select("batch_id").distinct().collect()} == {3, 4}
 
 
-def test_bulk_write_is_split_by_decision(spark, scored, tmp_path):
-    tables.write_routed(scored, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/scored/is_fraud=true").count() == 3
-    assert spark.read.parquet(f"{tmp_path}/scored").count() == 10
+def test_backfill_writes_every_row_once(spark, tmp_path):
+    sent = events.damage(events.transactions(spark, SMALL))
+    config = RuleConfig(amount_limit=150.0)
+    for _ in range(2):
+        backfill(sent, config, str(tmp_path), 0)
+    clean, alerts = load_results(spark, str(tmp_path))
+    rejects = spark.read.schema(REJECT_SCHEMA).parquet(f"{tmp_path}/rejects")
+    assert clean.count() + alerts.count() + rejects.count() == 1000
+    assert alerts.count() > 0 and rejects.filter("reject_reason is null").isEmpty()
+    kinds = {r[0] for r in rejects.select("reject_reason").distinct().collect()}
+    assert len(kinds) == 5
+    want = score_transactions(
+        parse_transactions(project_records(sent)), config
+    ).select("transaction_id", "distance_km", "fraud_reason")
+    both = reports.union_results(clean, alerts).select(want.columns)
+    assert both.exceptAll(want).isEmpty() and want.exceptAll(both).isEmpty()
+
+
+def test_heavy_user_count_reads_one_column(spark):
+    plan = (
+        events.transactions(spark, SMALL).groupBy("user_id").count()._jdf.queryExecution()
+    ).executedPlan().toString()
+    assert "ReadSchema: struct<user_id:bigint>" in plan
 
 
 def test_metrics(scored):

@@ -19,6 +19,7 @@ from tidewatch.functions import flags, messages
 from tidewatch.functions.geo import haversine_km
 from tidewatch.operators import rapid_fire, routing, rules, validate
 from tidewatch.plans import reports, scoring
+from tidewatch.plans.backfill import backfill, land_messages, score_landed
 from tidewatch.schema import ALERT_CSV_SCHEMA, SCORED_SCHEMA
 from tidewatch.session import streaming_session, work_dir
 from tidewatch.sinks import messages as message_sink
@@ -77,12 +78,10 @@ def _scored(spark: SparkSession, sf_dir: str, config: RuleConfig = TABLE_RULES)
     return scoring.score_transactions(events.transactions(spark, sf_dir), config)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored messages in the layout of the result tables."""
-    scored = scoring.score_transactions(_parsed(spark, sf_dir), DEFAULT_SET)
-    return scored.withColumn("processed_at", F.current_timestamp()).select(
-        *SCORED_SCHEMA.fieldNames()
-    )
+def _stored(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    """Scored messages as the result tables hold them, at rest below ``out``."""
+    raw = events.to_messages(events.transactions(spark, sf_dir))
+    return score_landed(land_messages(raw, out, 0), DEFAULT_SET, out, 0)
 
 
 # --- sources ---------------------------------------------------------------
@@ -121,10 +120,10 @@ def src_parquet_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both result tables of a bulk run."""
     out = work_dir(spark, "src_load_results")
-    stored = _stored(spark, sf_dir)
-    tables.write_clean(stored, out, 0)
-    tables.write_alerts(stored, out, 0)
+    raw = events.to_messages(events.transactions(spark, sf_dir))
+    backfill(raw, DEFAULT_SET, out, 0)
     clean, alerts = load_results(spark, out)
     named = [
         df.select("transaction_id", "amount", "is_fraud", F.lit(name).alias("table_name"))
@@ -283,7 +282,7 @@ def union_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "sink_clean_parquet")
-    tables.write_clean(_stored(spark, sf_dir), out, 0)
+    tables.write_clean(_stored(spark, sf_dir, out), out, 0)
     back = read_parquet_dir(spark, f"{out}/transactions", SCORED_SCHEMA)
     return _plain_times(
         back.select("transaction_id", "user_id", "amount", "event_time", "is_fraud")
@@ -293,7 +292,7 @@ def sink_clean_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_alert_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "sink_alert_parquet")
-    tables.write_alerts(_stored(spark, sf_dir), out, 0)
+    tables.write_alerts(_stored(spark, sf_dir, out), out, 0)
     back = read_parquet_dir(spark, f"{out}/fraud_alerts", SCORED_SCHEMA)
     return _plain_times(
         back.select(
@@ -311,7 +310,7 @@ def sink_alert_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_alert_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "sink_alert_csv")
-    tables.write_alerts_csv(_stored(spark, sf_dir), out, 0)
+    tables.write_alerts_csv(_stored(spark, sf_dir, out), out, 0)
     back = (
         spark.read.schema(ALERT_CSV_SCHEMA)
         .option("header", "true")
@@ -379,8 +378,10 @@ def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = replace(TABLE_RULES, rules=("location_anomaly",))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         located = pipeline.score_batch(batch, config).select(*columns)
         located.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+        batch.unpersist()
 
     stream = events.stream_events(streaming_session(spark), sf_dir)
     raw = events.to_messages(events.to_transactions(stream))

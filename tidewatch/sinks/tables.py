@@ -78,13 +78,3 @@ def write_rejects(
     rejects: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:
     _write_parquet(_sized(rejects, rows), _batch_folder(output_path, "rejects", batch_id))
-
-
-def write_routed(scored: DataFrame, output_path: str) -> None:
-    """All scored rows of a bulk run in one job, split by ``is_fraud`` folders.
-
-    For inputs too large to hold while three tables are written from them.
-    """
-    scored.write.mode("overwrite").option("compression", "snappy").partitionBy(
-        "is_fraud"
-    ).parquet(f"{output_path}/scored")

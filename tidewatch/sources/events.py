@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.messages import iso_string, message_value
-from tidewatch.sources.cities import CITIES, lookup_city
+from tidewatch.sources.cities import CITIES
 from tidewatch.sources.messages import file_stream
 
 EVENTS_SCHEMA = T.StructType(
@@ -40,25 +40,30 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_transactions(events: DataFrame) -> DataFrame:
-    """The message fields, plus ``event_time``."""
+    """The message fields, plus ``event_time``.
+
+    The city is an index into literal arrays, not a join, so a query that needs
+    only some fields reads only their columns.
+    """
     k, cities = F.col("k"), len(CITIES)
     home = F.col("user_id") % cities
     keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn(
         "city_idx", F.when(k >= 90, k % cities).otherwise(home).cast("int")
     )
+    names, latitudes, longitudes = (F.array(*map(F.lit, column)) for column in zip(*CITIES))
 
-    def near(center: str, modulus: int, shift: int) -> Column:
+    def near(centers: Column, modulus: int, shift: int) -> Column:
         step = (F.col("event_id") % modulus - shift).cast("double")
-        return F.col(center) + step / F.lit(100.0)
+        return F.get(centers, F.col("city_idx")) + step / F.lit(100.0)
 
-    return lookup_city(keyed, on="city_idx", how="left").select(
+    return keyed.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("value").alias("amount"),
         iso_string(F.col("ts")).alias("timestamp"),
-        "city",
-        near("city_latitude", 21, 10).alias("latitude"),
-        near("city_longitude", 17, 8).alias("longitude"),
+        F.get(names, F.col("city_idx")).alias("city"),
+        near(latitudes, 21, 10).alias("latitude"),
+        near(longitudes, 17, 8).alias("longitude"),
         F.col("event_type").alias("transaction_type"),
         F.concat(F.lit("merchant_"), F.col("k")).alias("merchant"),
         (F.col("event_type") == "error").alias("is_seed_fraud"),
