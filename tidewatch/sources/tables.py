@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -16,33 +17,28 @@ def read_parquet_dir(
     pattern: str = "*.parquet",
     skip_unreadable: bool = True,
 ) -> DataFrame:
-    """All Parquet files at any depth below ``path``; an empty frame if none.
+    """All Parquet files at any depth below ``path``; an empty frame if none, or no folder.
 
     Files still being written (``_temporary``) are never listed. Columns taken
     from folder names, such as ``batch_id``, are not part of the result.
     """
-    return (
+    reader = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .option("ignoreCorruptFiles", str(skip_unreadable).lower())
-        .parquet(path)
     )
-
-
-def _read_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    """A table that no batch has written yet is empty, not an error."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    if folder.getFileSystem(conf).exists(folder):
-        return read_parquet_dir(spark, path, SCORED_SCHEMA)
-    return spark.createDataFrame([], SCORED_SCHEMA)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def load_results(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame]:
     """The clean and the alert table."""
     return (
-        _read_or_empty(spark, f"{output_path}/transactions"),
-        _read_or_empty(spark, f"{output_path}/fraud_alerts"),
+        read_parquet_dir(spark, f"{output_path}/transactions", SCORED_SCHEMA),
+        read_parquet_dir(spark, f"{output_path}/fraud_alerts", SCORED_SCHEMA),
     )
