@@ -67,16 +67,19 @@ class Feed:
         )
         query.awaitTermination()
 
-    def watch(self, rules):
+    def watch(self, rules, early=False):
         query = pipeline.start_rapid_fire(
-            self.messages(), rules, self.stream, available_now=True
+            self.messages(), rules, self.stream, early=early, available_now=True
         )
         query.awaitTermination()
-        path = self.out / "rapid_fire_alerts"
+        path = self.out / ("rapid_fire_early" if early else "rapid_fire_alerts")
         rows = self.spark.read.schema(
             "user_id string, window_start timestamp, window_end timestamp, txn_count bigint"
         ).parquet(str(path))
-        return {(r.user_id, (r.window_start - START).total_seconds(), r.txn_count) for r in rows.collect()}
+        return {
+            (r.user_id, (r.window_start - START).total_seconds(), r.txn_count)
+            for r in rows.collect()
+        }
 
     def results(self):
         return reports.union_results(*load_results(self.spark, str(self.out)))
@@ -238,9 +241,26 @@ def test_hot_windows_count_across_batches_and_ignore_late_rows(feed):
     assert feed.watch(LIVE) == {("u", -30.0, 6), ("u", 0.0, 6)}
 
 
-def test_open_windows_are_held_back(feed):
+def test_open_windows_are_held_back_unless_asked_for(feed):
     feed.send(*[(f"b{i}", "u", i) for i in range(6)])
+    feed.send(("b6", "u", 40))
     assert feed.watch(LIVE) == set()
+    early = feed.watch(LIVE, early=True)
+    assert early == {("u", -30.0, 6), ("u", 0.0, 6), ("u", 0.0, 7)}
+
+
+def test_a_timed_trigger_runs_until_stopped(feed):
+    feed.send(("a", "u", 0, HOME))
+    stream = replace(feed.stream, trigger="1 second")
+    query = pipeline.start_scoring(feed.messages(), LIVE, stream)
+    try:
+        query.processAllAvailable()
+        feed.send(("b", "u", 60, FAR))
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert feed.found("prev_lat") == {"a": (None,), "b": (HOME[0],)}
 
 
 def test_records_accept_text_and_binary(spark):

@@ -22,7 +22,7 @@ def score_transactions(df: DataFrame, config: RuleConfig) -> DataFrame:
     scored = valid_rows(df)
     if location or rapid:
         previous = PREVIOUS_LOCATION if location else {}
-        heavy = heavy_users(scored, config)
+        heavy = heavy_users(df, config)  # of all rows: reads the user column alone
         scored = add_history(scored, config, heavy, previous=previous, counts=rapid)
     return apply_rules(scored, config)
 

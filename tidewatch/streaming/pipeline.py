@@ -113,25 +113,40 @@ def start_scoring(
 
 
 def rapid_fire_alerts(parsed: DataFrame, rules: RuleConfig, watermark: str) -> DataFrame:
-    """Hot windows of a stream, each once, when the watermark has passed its end.
+    """Hot windows of a stream. Rows later than the watermark change none of them.
 
-    Rows later than the watermark no longer change a closed window.
+    In append mode each window comes once, when the watermark has passed its
+    end; in update mode it comes with every batch that adds to it.
     """
     return hot_windows(valid_rows(parsed).withWatermark("event_time", watermark), rules)
 
 
 def start_rapid_fire(
-    messages: DataFrame, rules: RuleConfig, stream: StreamConfig, *, available_now: bool = False
+    messages: DataFrame,
+    rules: RuleConfig,
+    stream: StreamConfig,
+    *,
+    early: bool = False,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Write the hot windows of a stream to ``rapid_fire_alerts``."""
+    """Write the hot windows of a stream to ``rapid_fire_alerts``, when they are final.
+
+    With ``early``, write them to ``rapid_fire_early`` as soon as they are hot, and
+    again when they grow: one folder per batch, replaced if the batch is replayed.
+    """
     parsed = parse_transactions(project_records(messages))
-    return (
+    name = "rapid_fire_early" if early else "rapid_fire_alerts"
+    folder = f"{stream.output_path}/{name}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+    writer = (
         rapid_fire_alerts(parsed, rules, stream.watermark)
-        .writeStream.queryName(f"rapid fire {stream.output_path}")
-        .outputMode("append")
-        .format("parquet")
-        .option("path", f"{stream.output_path}/rapid_fire_alerts")
-        .option("checkpointLocation", f"{stream.checkpoint_base}/rapid_fire")
+        .writeStream.queryName(f"{name} {stream.output_path}")
+        .option("checkpointLocation", f"{stream.checkpoint_base}/{name}")
         .trigger(**_trigger(stream, available_now))
-        .start()
     )
+    if early:
+        return writer.outputMode("update").foreachBatch(write).start()
+    return writer.outputMode("append").format("parquet").option("path", folder).start()
