@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import RuleConfig
-from tidewatch.functions.flags import fill_flags
 from tidewatch.functions.geo import haversine_km
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 
@@ -21,15 +20,15 @@ def previous_location(df: DataFrame, config: RuleConfig) -> DataFrame:
 
 
 def flag_distance(df: DataFrame, config: RuleConfig) -> DataFrame:
-    """Add distance and flag to rows that already carry ``prev_lat, prev_lon``."""
+    """Add distance and flag to rows that already carry ``prev_lat, prev_lon``.
+
+    The distance is never NULL, so neither is the flag.
+    """
     distance = haversine_km(
         F.col("prev_lat"), F.col("prev_lon"), F.col("latitude"), F.col("longitude")
     )
-    return fill_flags(
-        df.withColumn("distance_km", distance).withColumn(
-            "fraud_location_anomaly", F.col("distance_km") > F.lit(config.distance_limit_km)
-        ),
-        ["fraud_location_anomaly"],
+    return df.withColumn("distance_km", distance).withColumn(
+        "fraud_location_anomaly", F.col("distance_km") > F.lit(config.distance_limit_km)
     )
 
 

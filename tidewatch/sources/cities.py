@@ -25,7 +25,9 @@ CITIES = (
 
 
 def gazetteer(spark: SparkSession) -> DataFrame:
-    values = ", ".join(f"({i}, '{city}', {lat}D, {lon}D)" for i, (city, lat, lon) in enumerate(CITIES))
+    values = ", ".join(
+        f"({index}, '{city}', {lat}D, {lon}D)" for index, (city, lat, lon) in enumerate(CITIES)
+    )
     return spark.sql(
         f"SELECT * FROM VALUES {values} AS cities(city_idx, city, city_latitude, city_longitude)"
     )

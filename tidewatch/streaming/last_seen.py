@@ -10,7 +10,8 @@ from pyspark import cloudpickle
 # Ship this small module with the query, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LAST_SEEN = "user_id string, event_us bigint, transaction_id string, latitude double, longitude double"
+STATE = "event_us bigint, transaction_id string, latitude double, longitude double"
+LAST_SEEN = f"user_id string, {STATE}"
 FIELDS = ["event_us", "transaction_id", "latitude", "longitude"]
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidewatch.config import RuleConfig
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.skew import left_join_on_key
-from tidewatch.streaming.last_seen import LAST_SEEN, last_seen
+from tidewatch.streaming.last_seen import LAST_SEEN, STATE, last_seen
 
 
 def with_seeds(checked: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def with_seeds(checked: DataFrame) -> DataFrame:
     seeds = sightings.groupBy("user_id").applyInPandasWithState(
         last_seen,
         outputStructType=LAST_SEEN,
-        stateStructType=LAST_SEEN.replace("user_id string, ", ""),
+        stateStructType=STATE,
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
