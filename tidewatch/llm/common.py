@@ -96,6 +96,17 @@ def segments(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 
 
+def segment_sums(
+    matrix: np.ndarray, ids: np.ndarray, begin: np.ndarray, counts: np.ndarray
+) -> np.ndarray:
+    """Sums of ``matrix[ids]`` over short runs: the k-th of every run at once."""
+    total = matrix[ids[begin]]
+    for k in range(1, int(counts.max(initial=0))):
+        longer = np.flatnonzero(counts > k)
+        total[longer] += matrix[ids[begin[longer] + k]]
+    return total
+
+
 def hash_unit(*columns: Column) -> Column:
     """A number in [0, 1) that depends on nothing but the given values."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))

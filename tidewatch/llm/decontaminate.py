@@ -3,9 +3,8 @@
 Documents and benchmark items are cut into passages. The words of the benchmark
 that are rare in the corpus (and the rarest of each item, rare or not) are the index
 terms, weighted by their inverse document frequency over all passages. A
-randomised SVD of the TF-IDF passages gives a latent space; it is computed by
-passes of Spark tasks over all passages of the corpus with the benchmark's among
-them, the latter weighted so that they lead. Passages near an item by cosine are
+randomised SVD of the TF-IDF passages gives a latent space; Spark tasks multiply all
+passages of the corpus, the benchmark's are added with a weight that lets them lead. Passages near an item by cosine are
 candidates. A candidate is confirmed by the longest common subsequence of words
 with the whole item, and between ``PARAPHRASE`` and ``COPY`` by finding the item's
 answer too: what follows ``Answer:``, else its last sentence.
@@ -32,16 +31,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import words
-from tidewatch.llm.common import chunks, list_array, rest, segments, text_udf
+from tidewatch.llm.common import chunks, list_array, rest, segment_sums, segments, text_udf
 
 HALF = 32
 BLOCK_PASSAGES = 256
 #: A benchmark word in more than this share of half passages is an index term only
 #: where an item has fewer than MIN_TERMS rarer ones.
 MAX_SHARE, MIN_TERMS = 0.01, 8
-#: The benchmark's energy against the corpus's, and ranks beyond its passages.
-ITEM_ENERGY, OVERSAMPLE = 4.0, 8
-POWER_PASSES = 2
+#: The benchmark's energy against the corpus's; dimensions kept, and drawn beyond them.
+ITEM_ENERGY, RANK, OVERSAMPLE = 4.0, 128, 16
 COSINE = 0.45
 COPY, PARAPHRASE = 0.8, 0.6
 ROW_CHUNK = 512
@@ -141,13 +139,37 @@ def _term_hits(found: words.Words, terms: np.ndarray):
     return pairs // len(terms), pairs % len(terms), halves
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
-    seen, total = np.zeros(len(block.vocabulary), np.int64), 0
+INDEX_TYPE = "struct<sizes:array<int>,terms:array<int>>"
+
+
+def _index_text(column: pa.Array, vocabulary: np.ndarray) -> pa.Array:
+    """Of each text its words of the vocabulary: per half passage, each once."""
+    half, term, halves = _term_hits(words.words_of(column), vocabulary)
+    sizes = np.bincount(half, minlength=int(halves.sum()))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    last = np.cumsum(halves)
+    counts = ends[last] - ends[last - halves]
+    return pa.StructArray.from_arrays(
+        [
+            list_array(sizes.astype(np.int32), halves, pa.int32()),
+            list_array(term.astype(np.int32), counts, pa.int32()),
+        ],
+        ["sizes", "terms"],
+    )
+
+
+def index_of(docs: DataFrame, block: Block) -> DataFrame:
+    """Rows sizes, terms: the corpus as the block's vocabulary sees it."""
+    given = docs.sparkSession.sparkContext.broadcast(block.vocabulary)  # bounded by the block
+    indexed = text_udf(lambda part: _index_text(part, given.value), INDEX_TYPE)
+    return rest(docs.select(indexed(F.col("text")).alias("i")).select("i.*"), "decontaminate_index")
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    seen, total = np.zeros(width, np.int64), 0
     for batch in batches:
-        for part in chunks(batch.column(0).fill_null("")):
-            _, term, halves = _term_hits(words.words_of(part), block.vocabulary)
-            seen += np.bincount(term, minlength=len(seen))
-            total += int(halves.sum())
+        total += len(batch.column(0).flatten())
+        seen += np.bincount(batch.column(1).flatten().to_numpy(), minlength=width)
     used = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays(
         [
@@ -158,13 +180,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa
     )
 
 
-def frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
-    """How many half passages of the corpus have each word of the block, and their number."""
-    counted = docs.select("text").mapInArrow(
-        lambda batches: _count_terms(batches, block), "term long, n long"
-    )
+def frequencies(index: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """How many half passages of the corpus have each word of the vocabulary, and their number."""
+    counted = index.mapInArrow(lambda batches: _count_terms(batches, width), "term long, n long")
     rows = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # the vocabulary at most
-    seen, total = np.zeros(len(block.vocabulary), np.int64), 0
+    seen, total = np.zeros(width, np.int64), 0
     for term, n in zip(rows["term"].to_pylist(), rows["n"].to_pylist(), strict=True):
         if term < 0:
             total = n
@@ -182,42 +202,26 @@ def choose_terms(block: Block, seen: np.ndarray, total: int) -> np.ndarray:
     return np.flatnonzero(rare)
 
 
-def _index_text(column: pa.Array, terms: np.ndarray) -> pa.Array:
-    """Of each text its half passages with their index terms, as two lists."""
-    half, term, halves = _term_hits(words.words_of(column), terms)
-    first = np.cumsum(halves) - halves
-    owner = np.searchsorted(np.cumsum(halves), half, side="right")
-    counts = np.bincount(owner, minlength=len(column))
-    return pa.StructArray.from_arrays(
-        [
-            list_array((half - first[owner]).astype(np.int32), counts, pa.int32()),
-            list_array(term.astype(np.int32), counts, pa.int32()),
-        ],
-        ["half", "term"],
-    )
-
-
 def _multiply(
-    batches: Iterator[pa.RecordBatch], weight: np.ndarray, basis: np.ndarray
+    batches: Iterator[pa.RecordBatch], chosen: np.ndarray, weight: np.ndarray, basis: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """This task's share of A'A·basis, A being the passages; in chunks of rows."""
+    """This task's share of A'A·basis, A being the passages; in chunks of rows.
+
+    ``chosen`` gives a word of the vocabulary its index term, or -1.
+    """
     out = np.zeros(basis.shape, np.float32)
     mapped = (weight[:, None] * basis).astype(np.float32)
     energy = (weight**2).astype(np.float32)
     number = 0
     for batch in batches:
-        halves, terms = batch.column(0), batch.column(1)
-        counts = np.diff(halves.offsets.to_numpy())
-        flat = terms.flatten().to_numpy()
-        place = halves.flatten().to_numpy().astype(np.int64)
-        owner = segments(counts)
-        # Gaps of two between texts, so that no passage spans two of them.
-        ends = np.cumsum(counts)
-        last = np.zeros(len(counts), np.int64)
-        last[counts > 0] = place[ends[counts > 0] - 1] + 2
-        place += (np.cumsum(last) - last)[owner] if len(owner) else 0
-        for a in range(0, len(flat), 1 << 15):
-            number += _multiply_part(flat, place, a, 1 << 15, mapped, energy, weight, out)
+        sizes = batch.column(0).flatten().to_numpy()
+        halves = np.diff(batch.column(0).offsets.to_numpy())
+        term = chosen[batch.column(1).flatten().to_numpy()]
+        # A gap between texts, so that no passage spans two of them.
+        place = np.repeat(np.arange(len(sizes)) + segments(halves), sizes)
+        place, term = place[term >= 0], term[term >= 0]
+        for a in range(0, len(term), 1 << 15):
+            number += _multiply_part(term, place, a, 1 << 15, mapped, energy, weight, out)
     yield from _row_chunks(out, number)
 
 
@@ -234,7 +238,8 @@ def _multiply_part(flat, place, start, size, mapped, energy, weight, out) -> int
     reach = np.searchsorted(place, place[high - 1] + 1, side="right")
     spot, term = place[low:reach], flat[low:reach]
     own, begin = np.unique(spot, return_index=True)
-    sums = np.add.reduceat(mapped[term], begin)
+    counts = np.diff(np.append(begin, len(spot)))
+    sums = segment_sums(mapped, term, begin, counts)
     weighed = np.add.reduceat(energy[term], begin)
     mine = own <= place[high - 1]
     follows = np.zeros(len(own), bool)
@@ -247,10 +252,10 @@ def _multiply_part(flat, place, start, size, mapped, energy, weight, out) -> int
     rows[~mine] = 0
     back = rows.copy()
     back[pair + 1] += rows[pair]
-    per_entry = back[np.repeat(np.arange(len(own)), np.diff(np.append(begin, len(spot))))]
     order = np.argsort(term, kind="stable")
     used, at = np.unique(term[order], return_index=True)
-    out[used] += weight[used][:, None].astype(np.float32) * np.add.reduceat(per_entry[order], at)
+    added = np.add.reduceat(back[segments(counts)[order]], at)
+    out[used] += weight[used][:, None].astype(np.float32) * added
     return int(mine.sum())
 
 
@@ -290,9 +295,11 @@ def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CHUNK_TYPE = "chunk int, passages long, part binary"
 
 
-def _pass(index: DataFrame, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, int]:
+def _pass(
+    index: DataFrame, chosen: np.ndarray, weight: np.ndarray, basis: np.ndarray
+) -> tuple[np.ndarray, int]:
     """A'A·basis over all passages, added up in tasks, and the number of passages."""
-    given = index.sparkSession.sparkContext.broadcast((weight, basis))  # bounded by the block
+    given = index.sparkSession.sparkContext.broadcast((chosen, weight, basis))  # bounded by the block
     shares = index.mapInArrow(lambda batches: _multiply(batches, *given.value), _CHUNK_TYPE)
     parts = -(-len(basis) // ROW_CHUNK)
     # First within groups of tasks, then over all, so no task adds up every share.
@@ -309,48 +316,46 @@ def _pass(index: DataFrame, weight: np.ndarray, basis: np.ndarray) -> tuple[np.n
     return out, number
 
 
+def _leading(basis: np.ndarray, moved: np.ndarray, rank: int) -> np.ndarray:
+    """Leading directions of the matrix that took ``basis`` to ``moved``, after one pass.
+
+    The Nyström form of the randomised SVD, shifted a little to stay stable.
+    """
+    shift = 1e-9 * np.linalg.norm(moved)
+    moved = moved + shift * basis
+    core = basis.T @ moved
+    root = np.linalg.cholesky((core + core.T) / 2 + shift * np.eye(len(core)))
+    left, _, _ = np.linalg.svd(np.linalg.solve(root, moved.T).T, full_matrices=False)
+    return left[:, :rank]
+
+
 def latent_space(docs: DataFrame, block: Block, seed: int = 3) -> Space | None:
     """Randomised SVD of the corpus's and the block's passages."""
     if len(block.vocabulary) == 0:
         return None
-    seen, total = frequencies(docs, block)
+    index = index_of(docs, block)
+    seen, total = frequencies(index, len(block.vocabulary))
     chosen = choose_terms(block, seen, total)
-    terms = block.vocabulary[chosen]
     weight = np.log((2.0 + total) / (1.0 + seen[chosen]))
     number = len(block.passage_terms)
-    items = np.zeros((number, len(terms)))
+    position = np.full(len(block.vocabulary), -1)
+    position[chosen] = np.arange(len(chosen))
+    items = np.zeros((number, len(chosen)))
     for i, found in enumerate(block.passage_terms):
-        own = np.searchsorted(chosen, found)
-        own = own[chosen[np.minimum(own, len(chosen) - 1)] == found]
+        own = position[found]
+        own = own[own >= 0]
         items[i, own] = weight[own]
     items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-12)
-    index = rest(
-        docs.select(
-            text_udf(lambda part: _index_text(part, terms), "struct<half:array<int>,term:array<int>>")(
-                F.col("text")
-            ).alias("i")
-        )
-        .select("i.half", "i.term")
-        .where(F.size("term") > 1),
-        "decontaminate_index",
-    )
-    rank = min(len(terms), number + number // 4 + 16)
-    basis = np.random.default_rng(seed).normal(size=(len(terms), min(len(terms), rank + OVERSAMPLE)))
-    for step in range(POWER_PASSES):
-        basis = np.linalg.qr(basis)[0] if step else basis
-        moved, passages = _pass(index, weight, basis)
-        # Passages have length 1, so their number is the corpus's energy.
-        lead = ITEM_ENERGY * max(passages, 1) / number
-        moved += lead * (items.T @ (items @ basis))
-        if step == POWER_PASSES - 1:
-            values, turn = np.linalg.eigh(basis.T @ moved)
-            basis = basis @ turn[:, np.argsort(values)[::-1][:rank]]
-        else:
-            basis = moved
+    width = min(len(chosen), RANK + OVERSAMPLE)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(chosen), width)))[0]
+    moved, passages = _pass(index, position, weight, basis)
+    # Passages have length 1, so their number is the corpus's energy.
+    lead = ITEM_ENERGY * max(passages, 1) / number
+    basis = _leading(basis, moved + lead * (items.T @ (items @ basis)), RANK)
     project = (weight[:, None] * basis).astype(np.float32)
     targets = items @ basis
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-12)
-    return Space(block, terms, project, targets.T.astype(np.float32))
+    return Space(block, block.vocabulary[chosen], project, targets.T.astype(np.float32))
 
 
 def common_subsequence(item: np.ndarray, text: np.ndarray) -> int:
@@ -402,8 +407,8 @@ def _search(column: pa.Array, space: Space, counters: list[Counter]) -> pa.Array
     begin = np.cumsum(found.counts) - found.counts
     if len(half):
         own, at = np.unique(half, return_index=True)
-        sums = np.add.reduceat(space.project[term], at)
         met = np.diff(np.append(at, len(half)))
+        sums = segment_sums(space.project, term, at, met)
         for a in range(0, len(own), 4096):
             _search_part(column, space, counters, found, halves, first, begin, own, sums, met, a, hits)
     item = pa.struct(
