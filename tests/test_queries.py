@@ -9,7 +9,8 @@ from conftest import CHECK
 
 import __spark_entry__ as spark_entry
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+from tidewatch.plans.catalog import QUERIES
+from tidewatch.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,8 @@ def rows_of(columns, rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

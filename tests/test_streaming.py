@@ -37,7 +37,7 @@ class Feed:
         # Files are taken oldest first.
         import os
 
-        os.utime(name, (1_700_000_000 + self.files, 1_700_000_000 + self.files))
+        os.utime(name, (1_900_000_000 + self.files, 1_900_000_000 + self.files))
         self.files += 1
 
     @staticmethod
@@ -173,6 +173,7 @@ def test_out_of_order_rows_are_marked_not_flagged(feed):
     assert found["d"] == (HOME[0], True)
     late = feed.spark.read.parquet(f"{feed.out}/transactions").filter("out_of_order").collect()
     assert [r.transaction_id for r in late] == ["a"]
+    assert [m.out_of_order for m in feed.metrics] == [0, 1, 0]
 
 
 def test_ties_across_batches_follow_the_id(feed):
@@ -205,9 +206,21 @@ def test_rejects_are_kept_with_reason_and_message(feed):
         ("malformed_message", "{broken"),
         ("missing_user_id", nobody),
         ("invalid_amount", unpaid),
+        ("future_event_time", far_future),
     }
-    assert set(feed.found()) == {"big", "ok"}
-    assert (feed.metrics[0].total, feed.metrics[0].rejects) == (2, 3)
+    assert set(feed.found()) == {"big"}
+    assert (feed.metrics[0].total, feed.metrics[0].rejects) == (1, 4)
+
+
+def test_a_far_future_row_changes_nothing_else(feed):
+    burst = [(f"b{i}", "u", i) for i in range(6)]
+    feed.send(Feed.message("odd", "u", 0, FAR).replace("2026-", "9999-"))
+    feed.send(*burst)
+    feed.send(("jump", "u", 3600, FAR))
+    feed.send(("next", "v", 3601))
+    feed.score()
+    assert feed.found("prev_lat", "fraud_location_anomaly")["jump"] == (HOME[0], True)
+    assert feed.watch(LIVE) == {("u", -30.0, 6), ("u", 0.0, 6)}
 
 
 def test_an_empty_batch_writes_nothing(feed):

@@ -8,8 +8,9 @@ from tidewatch.config import RuleConfig, StreamConfig
 from tidewatch.functions.messages import iso_string, parse_transactions
 from tidewatch.plans import reports
 from tidewatch.plans.backfill import backfill
+from tidewatch.plans.catalog import QUERIES, damage
 from tidewatch.plans.scoring import score_transactions
-from tidewatch.schema import ALERT_CSV_SCHEMA, REJECT_SCHEMA, SCORED_SCHEMA
+from tidewatch.schema import ALERT_CSV_SCHEMA, REJECT_SCHEMA, RESULT_SCHEMA, stored_columns
 from tidewatch.session import work_dir
 from tidewatch.sinks import messages as message_sink
 from tidewatch.sinks import tables
@@ -36,9 +37,11 @@ def scored(txns):
         "kafka_ts": F.col("event_time"),
     }
     return (
-        score_transactions(df.withColumns(extra), LIVE)
-        .withColumn("processed_at", F.current_timestamp())
-        .select(*SCORED_SCHEMA.fieldNames())
+        stored_columns(
+            score_transactions(df.withColumns(extra), LIVE).withColumn(
+                "processed_at", F.current_timestamp()
+            )
+        )
     )
 
 
@@ -52,9 +55,10 @@ def test_tables_read_back(spark, scored, tmp_path):
     out = str(tmp_path)
     write_all(scored, out, 0)
     clean, alerts = load_results(spark, out)
-    assert clean.schema == alerts.schema == SCORED_SCHEMA
+    assert clean.schema == alerts.schema == RESULT_SCHEMA
     assert (clean.count(), alerts.count()) == (7, 3)
-    both = reports.union_results(clean, alerts).drop("processed_at")
+    assert {r[0] for r in clean.select("batch_id").distinct().collect()} == {0}
+    both = reports.union_results(clean, alerts).drop("processed_at", "batch_id")
     assert both.exceptAll(scored.drop("processed_at")).isEmpty()
 
 
@@ -73,7 +77,7 @@ def test_csv_copy(spark, scored, tmp_path):
     header, first, *_ = file.read_text().splitlines()
     assert header == ",".join(ALERT_CSV_SCHEMA.fieldNames())
     assert ".000Z" in first and "true" in first
-    back = spark.read.schema(ALERT_CSV_SCHEMA).option("header", "true").csv(str(folder))
+    back = tables.read_alerts_csv(spark, str(folder))
     want = {r.transaction_id: (r.merchant, r.fraud_reason) for r in scored.filter("is_fraud").collect()}
     assert {r.transaction_id: (r.merchant, r.fraud_reason) for r in back.collect()} == want
 
@@ -92,7 +96,7 @@ def test_batch_folders_are_partitions(spark, scored, tmp_path):
 
 
 def test_backfill_writes_every_row_once(spark, tmp_path):
-    sent = events.damage(events.transactions(spark, SMALL))
+    sent = damage(events.transactions(spark, SMALL))
     config = RuleConfig(amount_limit=150.0)
     for _ in range(2):
         backfill(sent, config, str(tmp_path), 0)
@@ -101,7 +105,8 @@ def test_backfill_writes_every_row_once(spark, tmp_path):
     assert clean.count() + alerts.count() + rejects.count() == 1000
     assert alerts.count() > 0 and rejects.filter("reject_reason is null").isEmpty()
     kinds = {r[0] for r in rejects.select("reject_reason").distinct().collect()}
-    assert len(kinds) == 5
+    assert len(kinds) == 6
+    assert not (tmp_path / "_staging" / "batch_id=0").exists()
     want = score_transactions(
         parse_transactions(project_records(sent)), config
     ).select("transaction_id", "distance_km", "fraud_reason")
@@ -121,8 +126,8 @@ def test_metrics(scored):
     assert (row.total, row.alerts, row.alert_rate) == (10, 3, pytest.approx(30.0))
     empty = tables.batch_metrics(scored.filter("false")).first()
     assert (empty.total, empty.alerts, empty.alert_rate) == (0, 0, 0.0)
-    line = str(tables.BatchMetrics(7, total=81, alerts=33))
-    assert line.startswith("batch 7: 81 records | 33 alerts | rate=40.7%")
+    line = str(tables.BatchMetrics(3, total=8, alerts=2))
+    assert line.startswith("batch_id=3 rows=8 alerts=2 alert_percent=25.0")
 
 
 # --- reading folders -----------------------------------------------------------
@@ -132,7 +137,7 @@ def test_missing_and_empty_folders_are_empty_tables(spark, tmp_path):
     (tmp_path / "transactions").mkdir()
     clean, alerts = load_results(spark, str(tmp_path))
     assert (clean.count(), alerts.count()) == (0, 0)
-    assert clean.schema == alerts.schema == SCORED_SCHEMA
+    assert clean.schema == alerts.schema == RESULT_SCHEMA
 
 
 def test_nested_unfinished_and_unreadable_files(spark, tmp_path):
@@ -141,9 +146,34 @@ def test_nested_unfinished_and_unreadable_files(spark, tmp_path):
     good.write.parquet(str(tmp_path / "_temporary" / "0"))
     (tmp_path / "a" / "broken.parquet").write_bytes(b"PAR1 not really")
     (tmp_path / "a" / "notes.txt").write_text("x")
-    assert read_parquet_dir(spark, str(tmp_path), good.schema).count() == 5
+    found = read_parquet_dir(spark, str(tmp_path), good.schema, skip_unreadable=True)
+    assert found.count() == 5
     with pytest.raises(Exception, match="broken.parquet"):
-        read_parquet_dir(spark, str(tmp_path), good.schema, skip_unreadable=False).count()
+        read_parquet_dir(spark, str(tmp_path), good.schema).count()
+
+
+def test_a_table_of_many_files_is_read_whole(spark, tmp_path):
+    events.read_events(spark, SMALL).repartition(7).write.parquet(f"{tmp_path}/events.parquet")
+    assert QUERIES["src_parquet_dir"](spark, str(tmp_path)).count() == 1000
+    assert QUERIES["src_load_results"](spark, str(tmp_path)).count() == 1000
+
+
+def test_csv_layout_and_text_do_not_depend_on_rules_or_content(spark, txns, tmp_path):
+    odd = '  Acme, "x"\nsecond line  '
+    rows = txns([("h", "v", 0, HOME, 20_000.0)]).withColumn("merchant", F.lit(odd))
+    scored = score_transactions(rows, RuleConfig(rules=("high_value",)))
+    tables.write_alerts_csv(scored, str(tmp_path), 0, 1)
+    back = tables.read_alerts_csv(spark, f"{tmp_path}/fraud_alerts_csv/batch_id=0").collect()
+    assert [(r.merchant, r.is_fraud, r.fraud_location_anomaly) for r in back] == [(odd, True, None)]
+    (file,) = (tmp_path / "fraud_alerts_csv" / "batch_id=0").glob("*.csv")
+    assert file.read_text().splitlines()[0] == ",".join(ALERT_CSV_SCHEMA.fieldNames())
+
+
+def test_messages_keep_the_amount(spark, scored):
+    exact = scored.withColumn("amount", F.lit(10000.004))
+    values = message_sink.to_values(exact).select("value", F.col("value").alias("json_str"))
+    back = parse_transactions(values.select("json_str", F.lit(None).alias("kafka_ts")))
+    assert {r.amount for r in back.collect()} == {10000.004}
 
 
 def test_reports_read_only_their_columns(spark, scored, tmp_path):
@@ -194,7 +224,8 @@ def test_latest_alerts_shows_the_columns_there_are(scored):
 
 def test_bad_times_and_places_are_left_out_of_their_reports(scored):
     bad = scored.withColumn("timestamp", F.lit("soon")).withColumn("latitude", F.lit(None))
-    assert reports.volume_by_minute(bad).isEmpty()
+    assert reports.volume_by_minute(bad.drop("event_time")).isEmpty()
+    assert reports.volume_by_minute(bad).agg(F.sum("rows")).first()[0] == 10
     assert reports.geo_points(bad).isEmpty()
 
 

@@ -6,7 +6,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-# Rule names, in label order, and the flag column of each.
+# Environment names and default limits below; rule names, in label order, and the flag column of each.
 RULES = ("high_value", "rapid_fire", "location_anomaly")
 FLAG_COLUMNS = {
     "high_value": "fraud_high_value",
@@ -16,10 +16,16 @@ FLAG_COLUMNS = {
 DEFAULT_RULES = ("high_value", "location_anomaly")
 
 
+# A row may be dated this much after its arrival, for clocks that run ahead.
+MAX_AHEAD_SECONDS = 600
+
+
 @dataclass(frozen=True)
 class RuleConfig:
     """Rule limits. All comparisons are strict (``value > limit``).
 
+    A row dated more than ``max_ahead_seconds`` after its arrival is a reject.
+
     ``segment_rows`` is the size above which one user's rows are split over
     several tasks (see ``operators.history``). ``None`` skips the check for
     such users: one pass over the input fewer, for data known to be even.
@@ -32,6 +38,7 @@ class RuleConfig:
     distance_limit_km: float = 500.0
     rules: tuple[str, ...] = DEFAULT_RULES
     segment_rows: int | None = 1_000_000
+    max_ahead_seconds: int = MAX_AHEAD_SECONDS
 
     def __post_init__(self) -> None:
         unknown = set(self.rules) - set(RULES)

@@ -49,12 +49,6 @@ def parse_transactions(
 
 
 def message_value(df: DataFrame) -> Column:
-    """The JSON text of a transaction: the message fields in order, NULLs included.
-
-    Amounts are rounded to cents, as on the wire.
-    """
-    fields = [
-        F.round("amount", 2).alias("amount") if name == "amount" else F.col(name)
-        for name in TRANSACTION_SCHEMA.fieldNames()
-    ]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    """The JSON text of a transaction: the message fields in order, NULLs included."""
+    fields = F.struct(*TRANSACTION_SCHEMA.fieldNames())
+    return F.to_json(fields, {"ignoreNullFields": "false"})

@@ -13,6 +13,8 @@ that one task's work, so such users take a second path:
    over the cell sees the neighbours it would see in the user's whole history.
 
 No rows are joined to rows; only cell summaries cross cell borders.
+
+Rows without a user are nobody's history: they get none, and are spread over tasks.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ MAX_CUTS = 100_000  # bound on the broadcast of cut points
 PANE_SECONDS = 3600  # pane length where no window counts ask for one
 
 _CELL = ("user_id", "_pane", "_segment")
+_USER = ("user_id", "_lone")
 
 
 def heavy_users(df: DataFrame, config: RuleConfig) -> HeavyKeys | None:
@@ -61,11 +64,14 @@ def add_history(
     in ``heavy`` are split over tasks.
     """
     previous = previous or {}
-    paned = df.withColumn("_pane", _pane(config.rapid_slide_seconds if counts else PANE_SECONDS))
+    seconds = config.rapid_slide_seconds if counts else PANE_SECONDS
+    lone = F.when(F.col("user_id").isNull(), F.xxhash64("event_time", "transaction_id"))
+    paned = df.withColumn("_pane", _pane(seconds)).withColumn("_lone", lone)
     if heavy is None:
         return _whole_users(paned, config, previous, counts).drop("_pane")
     light = paned.join(heavy.keys, "user_id", "left_anti")
-    split = _split_users(paned.join(heavy.keys, "user_id"), heavy, config, previous, counts)
+    theirs = paned.drop("_lone").join(heavy.keys, "user_id")
+    split = _split_users(theirs, heavy, config, previous, counts)
     return _whole_users(light, config, previous, counts).unionByName(split).drop("_pane")
 
 
@@ -83,7 +89,7 @@ def _window_counts(config: RuleConfig, rows: Column) -> Column:
     """
     slide = config.rapid_slide_seconds * 1_000_000
     panes = config.rapid_window_seconds // config.rapid_slide_seconds
-    user = Window.partitionBy("user_id").orderBy("_pane")
+    user = Window.partitionBy(*_USER).orderBy("_pane")
     totals = [
         rows.over(user.rangeBetween(-back * slide, (panes - 1 - back) * slide))
         for back in range(panes)
@@ -98,11 +104,15 @@ def _whole_users(
     # The pane leads the order (it is a coarser event_time), so the sort made
     # for lag() also serves the counts: one exchange, one sort for both.
     if previous:
-        user = Window.partitionBy("user_id").orderBy(*(["_pane"] if counts else []), *ORDER)
-        df = df.withColumns({name: F.lag(c).over(user) for name, c in previous.items()})
+        user = Window.partitionBy(*_USER).orderBy(*(["_pane"] if counts else []), *ORDER)
+        named = F.col("user_id").isNotNull()
+        df = df.withColumns(
+            {name: F.when(named, F.lag(c).over(user)) for name, c in previous.items()}
+        )
     if counts:
-        df = df.withColumn("rapid_count", _window_counts(config, F.count("*")))
-    return df
+        counted = _window_counts(config, F.count("*"))
+        df = df.withColumn("rapid_count", F.when(F.col("user_id").isNotNull(), counted))
+    return df.drop("_lone")
 
 
 def _split_users(
@@ -120,7 +130,8 @@ def _split_users(
     earlier = Window.partitionBy("user_id").orderBy("_pane", "_segment")
     headers = cells.withColumn("_before", F.lag("_last").over(earlier))
     if counts:
-        headers = headers.withColumn("rapid_count", _window_counts(config, F.sum("_rows")))
+        counted = headers.withColumn("_lone", F.lit(None).cast("long"))
+        headers = counted.withColumn("rapid_count", _window_counts(config, F.sum("_rows")))
     headers = headers.select(
         *_CELL,
         "_before.*",

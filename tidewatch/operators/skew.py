@@ -7,25 +7,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on the keys treated as heavy, hence on every broadcast of them.
-# Keys beyond it hold less than 1/100,000 of the input and stay on the plain path.
-MAX_HEAVY_KEYS = 100_000
+# The most keys that are broadcast. If more are heavy, all of them are joined by shuffle.
+MAX_BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """The keys above a row limit, as a frame small enough to broadcast."""
+    """The keys above a row limit, marked for broadcast if they are few enough."""
 
     keys: DataFrame
     total_rows: int
+    few: bool = True
 
 
 def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None) -> HeavyKeys | None:
     """The keys with more than ``rows_per_task`` rows; None if there are none.
 
     Counted with map-side combine over the key column alone. At most
-    ``MAX_HEAVY_KEYS`` keys (the largest) reach the driver. A limit of None
-    skips the count.
+    ``MAX_BROADCAST_KEYS`` keys reach the driver; more stay a table. A limit of
+    None skips the count.
     """
     if rows_per_task is None:
         return None
@@ -34,12 +34,13 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None) -> HeavyKeys
         .groupBy(key)
         .agg(F.count("*").alias("rows"))
         .filter(F.col("rows") > rows_per_task)
-        .orderBy(F.desc("rows"))
-        .limit(MAX_HEAVY_KEYS)
     )
-    rows = found.collect()
+    rows = found.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not rows:
         return None
+    if len(rows) > MAX_BROADCAST_KEYS:
+        total = found.agg(F.sum("rows")).first()[0]
+        return HeavyKeys(found.select(key), total, few=False)
     keys = df.sparkSession.createDataFrame(rows, found.schema).select(key)
     return HeavyKeys(F.broadcast(keys), sum(row["rows"] for row in rows))
 
@@ -55,6 +56,8 @@ def left_join_on_key(
     if heavy is None:
         return facts.join(lookup, key, "left")
     light_part = facts.join(heavy.keys, key, "left_anti").join(lookup, key, "left")
-    heavy_lookup = F.broadcast(lookup.join(heavy.keys, key, "left_semi"))
+    heavy_lookup = lookup.join(heavy.keys, key, "left_semi")
+    if heavy.few:
+        heavy_lookup = F.broadcast(heavy_lookup)
     heavy_part = facts.join(heavy.keys, key, "left_semi").join(heavy_lookup, key, "left")
     return light_part.unionByName(heavy_part)

@@ -3,7 +3,8 @@
 Between steps the rows rest in Parquet below ``_staging``: messages are parsed
 once although scoring reads them twice (it first counts rows per user, from one
 column), and rows are scored once although three tables are written from them.
-A lost executor costs the running step only, and a rerun replaces what it wrote.
+A lost executor costs the running step only, a rerun replaces what it wrote, and
+the folder goes when all tables are written. The raw message is kept for rejects only.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.config import RuleConfig
+from tidewatch.config import MAX_AHEAD_SECONDS, RuleConfig
 from tidewatch.functions.messages import parse_transactions
-from tidewatch.operators.validate import rejected_rows
+from tidewatch.operators.validate import with_reject_reason
 from tidewatch.plans.scoring import score_transactions
-from tidewatch.schema import SCORED_SCHEMA
+from tidewatch.schema import REJECT_SCHEMA, stored_columns
+from tidewatch.session import remove
 from tidewatch.sinks import tables
 from tidewatch.sources.messages import project_records
 
@@ -28,10 +30,19 @@ def rest(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def land_messages(messages: DataFrame, output_path: str, batch_id: int) -> DataFrame:
+def land_messages(
+    messages: DataFrame, output_path: str, batch_id: int, max_ahead: int = MAX_AHEAD_SECONDS
+) -> DataFrame:
     """Broker rows as a table of typed rows, rejects included."""
     parsed = parse_transactions(project_records(messages), keep_raw=True)
-    return rest(parsed, f"{output_path}/_staging/parsed/batch_id={batch_id}")
+    checked = with_reject_reason(parsed, max_ahead)
+    raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
+    checked = checked.withColumn("raw_message", raw)
+    return rest(checked, f"{_staging(output_path, batch_id)}/parsed")
+
+
+def _staging(output_path: str, batch_id: int) -> str:
+    return f"{output_path}/_staging/batch_id={batch_id}"
 
 
 def score_landed(
@@ -39,19 +50,19 @@ def score_landed(
 ) -> DataFrame:
     """The scored rows of a landed table, themselves at rest."""
     now = F.lit(datetime.now(timezone.utc))
-    scored = score_transactions(landed.drop("raw_message"), config).withColumn("processed_at", now)
-    stored = [c for c in SCORED_SCHEMA.fieldNames() if c in scored.columns]
-    ordered = scored.select(*stored, *[c for c in scored.columns if c not in stored])
-    return rest(ordered, f"{output_path}/_staging/scored/batch_id={batch_id}")
+    rows = landed.filter(F.col("reject_reason").isNull()).drop("raw_message", "reject_reason")
+    scored = score_transactions(rows, config).withColumn("processed_at", now)
+    return rest(stored_columns(scored), f"{_staging(output_path, batch_id)}/scored")
 
 
 def backfill(messages: DataFrame, config: RuleConfig, output_path: str, batch_id: int) -> None:
     """Write the clean, alert, CSV and reject tables of one bulk input."""
-    landed = land_messages(messages, output_path, batch_id)
+    landed = land_messages(messages, output_path, batch_id, config.max_ahead_seconds)
     scored = score_landed(landed, config, output_path, batch_id)
     tables.write_clean(scored, output_path, batch_id)
     tables.write_alerts(scored, output_path, batch_id)
     tables.write_alerts_csv(scored, output_path, batch_id)
     now = F.lit(datetime.now(timezone.utc))
-    rejects = rejected_rows(landed).withColumn("processed_at", now)
-    tables.write_rejects(rejects, output_path, batch_id)
+    rejects = landed.filter(F.col("reject_reason").isNotNull()).withColumn("processed_at", now)
+    tables.write_rejects(rejects.select(*REJECT_SCHEMA.fieldNames()), output_path, batch_id)
+    remove(messages.sparkSession, _staging(output_path, batch_id))

@@ -20,13 +20,13 @@ from tidewatch.functions.geo import haversine_km
 from tidewatch.operators import rapid_fire, routing, rules, validate
 from tidewatch.plans import reports, scoring
 from tidewatch.plans.backfill import backfill, land_messages, score_landed
-from tidewatch.schema import ALERT_CSV_SCHEMA, SCORED_SCHEMA
-from tidewatch.session import streaming_session, work_dir
+from tidewatch.schema import SCORED_SCHEMA
+from tidewatch.session import remove, streaming_session, work_dir
 from tidewatch.sinks import messages as message_sink
 from tidewatch.sinks import tables
 from tidewatch.sources import events
 from tidewatch.sources.cities import lookup_city
-from tidewatch.sources.messages import project_records
+from tidewatch.sources.messages import file_stream, project_records
 from tidewatch.sources.tables import load_results, read_parquet_dir
 from tidewatch.streaming import pipeline
 
@@ -69,8 +69,38 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.parse_transactions(project_records(raw))
 
 
+def damage(txns: DataFrame) -> DataFrame:
+    """Messages of which some cannot be scored, one defect per merchant.
+
+    Defects: no message (7), cut-off JSON (17), text amount (27), bad time (37),
+    no user (47), NaN amount (57), no id (67), dated a day ahead (77). The other
+    merchants are sound.
+    """
+    value = messages.message_value(txns)
+
+    def merchant(k: int) -> Column:
+        return F.col("merchant") == f"merchant_{k}"
+
+    def replaced(pattern: str, text: str) -> Column:
+        return F.regexp_replace(value, pattern, text)
+
+    broken = (
+        F.when(merchant(7), F.lit(None).cast("string"))
+        .when(merchant(17), F.lit('{"transaction_id'))
+        .when(merchant(27), replaced(r'"amount":[^,]*', '"amount":"oops"'))
+        .when(merchant(37), replaced(r'"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
+        .when(merchant(47), replaced(r'"user_id":"[^"]*"', '"user_id":null'))
+        .when(merchant(57), replaced(r'"amount":[^,]*', '"amount":NaN'))
+        .when(merchant(67), replaced(r'"transaction_id":"[^"]*",', ""))
+        .otherwise(value)
+    )
+    sent = F.col("event_time").cast("timestamp")
+    early = F.when(merchant(77), sent - F.expr("interval 1 day")).otherwise(sent)
+    return txns.select(broken.cast("binary").alias("value"), early.alias("timestamp"))
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = events.damage(events.transactions(spark, sf_dir))
+    raw = damage(events.transactions(spark, sf_dir))
     return messages.parse_transactions(project_records(raw))
 
 
@@ -115,7 +145,9 @@ def src_record_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_parquet_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet_dir(spark, sf_dir, events.EVENTS_SCHEMA, pattern="events.parquet")
+    """The table's folder, or file, with whatever files it has."""
+    path = events.events_path(sf_dir)
+    return read_parquet_dir(spark, path, events.EVENTS_SCHEMA)
 
 
 @query
@@ -123,10 +155,17 @@ def src_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both result tables of a bulk run."""
     out = work_dir(spark, "src_load_results")
     raw = events.to_messages(events.transactions(spark, sf_dir))
-    backfill(raw, DEFAULT_SET, out, 0)
+    backfill(raw, TABLE_RULES, out, 0)
     clean, alerts = load_results(spark, out)
     named = [
-        df.select("transaction_id", "amount", "is_fraud", F.lit(name).alias("table_name"))
+        df.select(
+            "transaction_id",
+            "amount",
+            "fraud_rapid_fire",
+            "is_fraud",
+            "batch_id",
+            F.lit(name).alias("table_name"),
+        )
         for df, name in ((clean, "transactions"), (alerts, "fraud_alerts"))
     ]
     return named[0].unionByName(named[1])
@@ -311,11 +350,7 @@ def sink_alert_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_alert_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "sink_alert_csv")
     tables.write_alerts_csv(_stored(spark, sf_dir, out), out, 0)
-    back = (
-        spark.read.schema(ALERT_CSV_SCHEMA)
-        .option("header", "true")
-        .csv(f"{out}/fraud_alerts_csv/batch_id=0")
-    )
+    back = tables.read_alerts_csv(spark, f"{out}/fraud_alerts_csv/batch_id=0")
     return _plain_times(back.drop("processed_at"))
 
 
@@ -327,11 +362,35 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 
 
-def _run_scoring(spark: SparkSession, sf_dir: str, out: str, run: str) -> None:
-    """The table as a stream of messages, scored into ``out`` by a query of its own."""
-    stream = events.stream_events(streaming_session(spark), sf_dir)
-    raw = events.to_messages(events.to_transactions(stream))
-    config = StreamConfig(output_path=out, checkpoint_path=f"{out}/_checkpoints/{run}")
+STEPS, FILES_PER_STEP = 5, 2
+#: These events reach the stream in its last step, long after their time.
+LATE_EVENTS = "event_id % 50 = 7"
+
+
+def _in_steps(spark: SparkSession, sf_dir: str, out: str, late: bool = False) -> DataFrame:
+    """The table as a stream of messages that comes in steps, each a micro-batch.
+
+    A step is a fifth of the time that the table spans. Files are taken by age, so
+    the steps are written one after the other.
+    """
+    table = events.read_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = table.agg(F.min(micros), F.max(micros)).first()
+    first, last = first or 0, last or 0
+    step = F.floor((micros - first) * STEPS / (last - first + 1)).cast("int")
+    if late:
+        step = F.when(F.expr(LATE_EVENTS), F.lit(STEPS - 1)).otherwise(step)
+    for i in range(STEPS):
+        part = table.filter(step == i).repartition(FILES_PER_STEP)
+        part.write.parquet(f"{out}/inbox/step-{i}")
+    stream = file_stream(
+        streaming_session(spark), f"{out}/inbox/*", events.EVENTS_SCHEMA, "parquet", FILES_PER_STEP
+    )
+    return events.to_messages(events.to_transactions(stream))
+
+
+def _run_scoring(raw: DataFrame, out: str) -> None:
+    config = StreamConfig(output_path=out)
     pipeline.start_scoring(raw, DEFAULT_SET, config, available_now=True).awaitTermination()
 
 
@@ -339,7 +398,7 @@ def _run_scoring(spark: SparkSession, sf_dir: str, out: str, run: str) -> None:
 def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables as the scoring stream leaves them."""
     out = work_dir(spark, "stream_foreach_batch")
-    _run_scoring(spark, sf_dir, out, "only")
+    _run_scoring(_in_steps(spark, sf_dir, out), out)
     results = reports.union_results(*load_results(spark, out))
     return _plain_times(
         results.select(
@@ -359,10 +418,17 @@ def stream_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches replayed into the same tables leave each row there once."""
+    """A batch that was written but not committed is replayed when the query restarts.
+
+    It finds the state as it was before the batch, and each row is there once.
+    """
     out = work_dir(spark, "stream_recovery")
-    _run_scoring(spark, sf_dir, out, "first")
-    _run_scoring(spark, sf_dir, out, "replay")
+    raw = _in_steps(spark, sf_dir, out)
+    _run_scoring(raw, out)
+    commits = f"{out}/_checkpoints/main/commits"
+    for name in (str(STEPS - 1), f".{STEPS - 1}.crc"):
+        remove(spark, f"{commits}/{name}")
+    _run_scoring(raw, out)
     results = reports.union_results(*load_results(spark, out))
     return results.groupBy("is_fraud", "fraud_reason").agg(
         F.count("*").alias("rows"), F.countDistinct("transaction_id").alias("transactions")
@@ -371,7 +437,7 @@ def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous location and distance, from state kept between micro-batches."""
+    """Previous location and distance, from state kept between five micro-batches."""
     out = work_dir(spark, "stream_location")
     columns = ["transaction_id", "user_id", "prev_lat", "prev_lon", "out_of_order"]
     columns += ["distance_km", "fraud_location_anomaly"]
@@ -383,8 +449,7 @@ def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
         located.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
         batch.unpersist()
 
-    stream = events.stream_events(streaming_session(spark), sf_dir)
-    raw = events.to_messages(events.to_transactions(stream))
+    raw = _in_steps(spark, sf_dir, out)
     (
         pipeline.parse_stream(raw, config)
         .writeStream.foreachBatch(write)
@@ -398,10 +463,9 @@ def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rapid_fire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hot windows of the stream that the watermark has closed."""
+    """Hot windows that the watermark has closed; late rows count only in open windows."""
     out = work_dir(spark, "stream_rapid_fire")
-    stream = events.stream_events(streaming_session(spark), sf_dir)
-    raw = events.to_messages(events.to_transactions(stream))
+    raw = _in_steps(spark, sf_dir, out, late=True)
     config = StreamConfig(output_path=out)
     pipeline.start_rapid_fire(raw, TABLE_RULES, config, available_now=True).awaitTermination()
     closed = spark.read.schema(
@@ -439,3 +503,9 @@ def report_volume_by_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_geo_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.geo_points(_scored(spark, sf_dir))
+
+
+@query
+def report_geo_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = reports.geo_grid(_scored(spark, sf_dir))
+    return grid.withColumn("amount", F.round("amount", 2))

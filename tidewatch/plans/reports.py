@@ -7,12 +7,13 @@ cluster; callers collect only what it returns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.messages import parse_event_time
 from tidewatch.sources.tables import load_results
 
+# The columns of two reports.
 LATEST_COLUMNS = ("transaction_id", "user_id", "amount", "city", "fraud_reason", "timestamp")
 GEO_COLUMNS = ("latitude", "longitude", "amount", "city", "user_id", "fraud_reason")
 LATEST_ROWS = 20
@@ -36,14 +37,19 @@ def kpis(results: DataFrame) -> DataFrame:
     )
 
 
+def event_time(results: DataFrame) -> Column:
+    """The stored time; parsed from the text only where a table has none."""
+    return F.col("event_time") if "event_time" in results.columns else parse_event_time("timestamp")
+
+
 def latest_alerts(results: DataFrame, rows: int = LATEST_ROWS) -> DataFrame:
     """The newest alerts, with the severity mark the high-value ones get.
 
-    Sorted by the parsed time; the text is chronological only in one time zone.
+    Sorted by time; the text is chronological only in one time zone.
     """
     newest = (
         results.filter("is_fraud")
-        .withColumn("_time", parse_event_time("timestamp"))
+        .withColumn("_time", event_time(results))
         .orderBy(F.desc("_time"), "transaction_id")
         .limit(rows)
     )
@@ -65,7 +71,7 @@ def reason_counts(results: DataFrame) -> DataFrame:
 def volume_by_minute(results: DataFrame) -> DataFrame:
     """Rows per minute and decision; rows without a readable time are left out."""
     return (
-        results.select(parse_event_time("timestamp").alias("ts"), "is_fraud")
+        results.select(event_time(results).alias("ts"), "is_fraud")
         .na.drop(subset=["ts", "is_fraud"])
         .groupBy(F.date_trunc("minute", "ts").alias("minute"), "is_fraud")
         .agg(F.count("*").alias("rows"))
@@ -78,8 +84,18 @@ def geo_points(results: DataFrame) -> DataFrame:
     return results.filter("is_fraud").select(*GEO_COLUMNS).na.drop(subset=["latitude", "longitude"])
 
 
+def geo_grid(results: DataFrame, degrees: float = 1.0) -> DataFrame:
+    """Alerts per cell of latitude and longitude: a bounded form of ``geo_points``."""
+    south, west = (F.floor(F.col(c) / degrees) * degrees for c in ("latitude", "longitude"))
+    return (
+        geo_points(results)
+        .groupBy(south.alias("south"), west.alias("west"))
+        .agg(F.count("*").alias("alerts"), F.sum("amount").alias("amount"))
+    )
+
+
 def refresh(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
     """All reports over the tables below ``output_path`` as they are now."""
     results = union_results(*load_results(spark, output_path))
-    reports = (kpis, latest_alerts, reason_counts, volume_by_minute, geo_points)
+    reports = (kpis, latest_alerts, reason_counts, volume_by_minute, geo_points, geo_grid)
     return {report.__name__: report(results) for report in reports}

@@ -19,7 +19,7 @@ def score_transactions(df: DataFrame, config: RuleConfig) -> DataFrame:
     """
     location = "location_anomaly" in config.rules
     rapid = "rapid_fire" in config.rules
-    scored = valid_rows(df)
+    scored = valid_rows(df, config.max_ahead_seconds)
     if location or rapid:
         previous = PREVIOUS_LOCATION if location else {}
         heavy = heavy_users(df, config)  # of all rows: reads the user column alone

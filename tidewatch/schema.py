@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The message fields, in order.
@@ -20,16 +22,18 @@ TRANSACTION_SCHEMA = T.StructType(
     ]
 )
 
-# Columns that are kept out of the CSV copy of the alerts.
+# Columns that are kept out of the CSV copy of the alerts.
 DEBUG_COLUMNS = ("prev_lat", "prev_lon", "distance_km")
 
-# The scored table of the default rule set, as stored in Parquet.
+# The scored table as stored in Parquet, whatever rules are active: the columns of
+# a rule that is off are NULL.
 SCORED_SCHEMA = T.StructType(
     [
         *TRANSACTION_SCHEMA.fields,
         T.StructField("kafka_ts", T.TimestampType()),
         T.StructField("event_time", T.TimestampType()),
         T.StructField("fraud_high_value", T.BooleanType()),
+        T.StructField("fraud_rapid_fire", T.BooleanType()),
         T.StructField("prev_lat", T.DoubleType()),
         T.StructField("prev_lon", T.DoubleType()),
         T.StructField("distance_km", T.DoubleType()),
@@ -37,10 +41,13 @@ SCORED_SCHEMA = T.StructType(
         T.StructField("is_fraud", T.BooleanType()),
         T.StructField("fraud_reason", T.StringType()),
         T.StructField("processed_at", T.TimestampType()),
+        T.StructField("out_of_order", T.BooleanType()),
     ]
 )
+# As read back: the folder's batch is a column too.
+RESULT_SCHEMA = T.StructType([*SCORED_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 
-ALERT_CSV_SCHEMA = T.StructType([f for f in SCORED_SCHEMA.fields if f.name not in DEBUG_COLUMNS])
+ALERT_CSV_SCHEMA = T.StructType([f for f in SCORED_SCHEMA.fields if f.name not in (*DEBUG_COLUMNS, "out_of_order")])
 
 REJECT_SCHEMA = T.StructType(
     [
@@ -52,3 +59,14 @@ REJECT_SCHEMA = T.StructType(
         T.StructField("processed_at", T.TimestampType()),
     ]
 )
+
+
+def stored_columns(df: DataFrame) -> DataFrame:
+    """``df`` in the stored layout: all columns, in order, NULL where it has none."""
+    own = set(df.columns)
+    return df.select(
+        *[
+            F.col(f.name) if f.name in own else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in SCORED_SCHEMA.fields
+        ]
+    )

@@ -38,14 +38,33 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+    """A new folder below the cluster's shared checkpoint folder, there until the session ends.
 
     A local temporary folder is used only where that setting is absent and the
     session runs on one machine.
     """
+    folder = f"{_shared_base(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
+    path, files = _file_system(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this engine's own, wherever it is stored."""
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tidewatch/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")

@@ -23,6 +23,7 @@ def write_kafka(txns: DataFrame, config: StreamConfig) -> None:
         to_values(txns)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", config.bootstrap_servers)
+        # Acknowledgement and retries.
         .option("kafka.acks", "all")
         .option("kafka.retries", "3")
         .option("topic", config.topic)

@@ -5,13 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.routing import alert_rows, clean_rows
-from tidewatch.schema import DEBUG_COLUMNS
+from tidewatch.schema import ALERT_CSV_SCHEMA, stored_columns
 
 ROWS_PER_FILE = 1_000_000
+CSV_WRITE = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_READ = {**CSV_WRITE, "multiLine": "true"}
 
 
 @dataclass(frozen=True)
@@ -20,6 +27,7 @@ class BatchMetrics:
     total: int
     alerts: int
     rejects: int = 0
+    out_of_order: int = 0
 
     @property
     def rate(self) -> float:
@@ -27,8 +35,8 @@ class BatchMetrics:
 
     def __str__(self) -> str:
         return (
-            f"batch {self.batch_id}: {self.total} records | {self.alerts} alerts | "
-            f"rate={self.rate:.1f}% | {self.rejects} rejects"
+            f"batch_id={self.batch_id} rows={self.total} alerts={self.alerts} "
+            f"alert_percent={self.rate:.1f} rejects={self.rejects} out_of_order={self.out_of_order}"
         )
 
 
@@ -40,8 +48,11 @@ def batch_metrics(scored: DataFrame) -> DataFrame:
 
 
 def _sized(df: DataFrame, rows: int | None) -> DataFrame:
-    """Few rows, few files: merge tasks without a shuffle when the count is known."""
-    return df if rows is None else df.coalesce(max(1, ceil(rows / ROWS_PER_FILE)))
+    """Few rows, few files, when the count is known.
+
+    The filter before it runs in all tasks; only the rows that are left move.
+    """
+    return df if rows is None else df.repartition(max(1, ceil(rows / ROWS_PER_FILE)))
 
 
 def _batch_folder(output_path: str, table: str, batch_id: int) -> str:
@@ -56,22 +67,27 @@ def write_clean(
     scored: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:
     folder = _batch_folder(output_path, "transactions", batch_id)
-    _write_parquet(_sized(clean_rows(scored), rows), folder)
+    _write_parquet(_sized(stored_columns(clean_rows(scored)), rows), folder)
 
 
 def write_alerts(
     scored: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:
     folder = _batch_folder(output_path, "fraud_alerts", batch_id)
-    _write_parquet(_sized(alert_rows(scored), rows), folder)
+    _write_parquet(_sized(stored_columns(alert_rows(scored)), rows), folder)
 
 
 def write_alerts_csv(
     scored: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:
     folder = _batch_folder(output_path, "fraud_alerts_csv", batch_id)
-    alerts = _sized(alert_rows(scored).drop(*DEBUG_COLUMNS), rows)
-    alerts.write.mode("overwrite").option("header", "true").csv(folder)
+    layout = stored_columns(alert_rows(scored)).select(*ALERT_CSV_SCHEMA.fieldNames())
+    _sized(layout, rows).write.mode("overwrite").options(**CSV_WRITE).csv(folder)
+
+
+def read_alerts_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV copy, text as it was: spaces, quotes and line breaks included."""
+    return spark.read.schema(ALERT_CSV_SCHEMA).options(**CSV_READ).csv(path)
 
 
 def write_rejects(

@@ -59,7 +59,7 @@ def to_transactions(events: DataFrame) -> DataFrame:
     return keyed.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.col("value").alias("amount"),
+        F.round("value", 2).alias("amount"),  # cents, as where an amount is made
         iso_string(F.col("ts")).alias("timestamp"),
         F.get(names, F.col("city_idx")).alias("city"),
         near(latitudes, 21, 10).alias("latitude"),
@@ -81,35 +81,3 @@ def to_messages(txns: DataFrame) -> DataFrame:
         message_value(txns).cast("binary").alias("value"),
         F.col("event_time").cast("timestamp").alias("timestamp"),
     )
-
-
-def damage(txns: DataFrame) -> DataFrame:
-    """Messages of which some cannot be scored, one defect per merchant.
-
-    Defects: no message (7), cut-off JSON (17), text amount (27), bad time (37),
-    no user (47), NaN amount (57), no id (67). The other merchants are sound.
-    """
-    value = message_value(txns)
-
-    def merchant(k: int) -> Column:
-        return F.col("merchant") == f"merchant_{k}"
-
-    def replaced(pattern: str, text: str) -> Column:
-        return F.regexp_replace(value, pattern, text)
-
-    broken = (
-        F.when(merchant(7), F.lit(None).cast("string"))
-        .when(merchant(17), F.lit('{"transaction_id'))
-        .when(merchant(27), replaced(r'"amount":[^,]*', '"amount":"oops"'))
-        .when(merchant(37), replaced(r'"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
-        .when(merchant(47), replaced(r'"user_id":"[^"]*"', '"user_id":null'))
-        .when(merchant(57), replaced(r'"amount":[^,]*', '"amount":NaN'))
-        .when(merchant(67), replaced(r'"transaction_id":"[^"]*",', ""))
-        .otherwise(value)
-    )
-    return txns.select(
-        broken.cast("binary").alias("value"),
-        F.col("event_time").cast("timestamp").alias("timestamp"),
-    )
-
-

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidewatch.schema import SCORED_SCHEMA
+from tidewatch.schema import RESULT_SCHEMA
 
 
 def read_parquet_dir(
@@ -15,12 +15,13 @@ def read_parquet_dir(
     schema: StructType,
     *,
     pattern: str = "*.parquet",
-    skip_unreadable: bool = True,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """All Parquet files at any depth below ``path``; an empty frame if none, or no folder.
 
     Files still being written (``_temporary``) are never listed. Columns taken
-    from folder names, such as ``batch_id``, are not part of the result.
+    from folder names, such as ``batch_id``, are not part of the result. An
+    unreadable file is an error, unless the caller asks to go on without it.
     """
     reader = (
         spark.read.schema(schema)
@@ -37,8 +38,17 @@ def read_parquet_dir(
 
 
 def load_results(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame]:
-    """The clean and the alert table."""
+    """The clean and the alert table, with ``batch_id``, a partition that filters prune."""
     return (
-        read_parquet_dir(spark, f"{output_path}/transactions", SCORED_SCHEMA),
-        read_parquet_dir(spark, f"{output_path}/fraud_alerts", SCORED_SCHEMA),
+        _read_batches(spark, f"{output_path}/transactions"),
+        _read_batches(spark, f"{output_path}/fraud_alerts"),
     )
+
+
+def _read_batches(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(RESULT_SCHEMA).option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RESULT_SCHEMA)

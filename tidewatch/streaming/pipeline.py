@@ -29,7 +29,7 @@ def parse_stream(messages: DataFrame, rules: RuleConfig) -> DataFrame:
     Rows that cannot be scored carry a ``reject_reason`` and their raw message.
     """
     parsed = parse_transactions(project_records(messages), keep_raw=True)
-    checked = with_reject_reason(parsed)
+    checked = with_reject_reason(parsed, rules.max_ahead_seconds)
     raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
     checked = checked.withColumn("raw_message", raw)
     return with_seeds(checked) if "location_anomaly" in rules.rules else checked
@@ -62,10 +62,12 @@ def process_batch(
         scored = score_batch(batch, rules).persist()
         try:
             sound = F.col("reject_reason").isNull()
+            late = F.col("out_of_order") if "out_of_order" in scored.columns else F.lit(False)
             count = scored.agg(
                 F.count_if(sound).alias("total"),
                 F.count_if(sound & F.col("is_fraud")).alias("alerts"),
                 F.count_if(~sound).alias("rejects"),
+                F.count_if(sound & late).alias("out_of_order"),
             ).first()
             if count["total"] + count["rejects"] == 0:
                 return
@@ -74,7 +76,7 @@ def process_batch(
             clean, alerts = count["total"] - count["alerts"], count["alerts"]
             tables.write_clean(rows, output_path, batch_id, clean)
             tables.write_alerts(rows, output_path, batch_id, alerts)
-            tables.write_alerts_csv(rows.drop("out_of_order"), output_path, batch_id, alerts)
+            tables.write_alerts_csv(rows, output_path, batch_id, alerts)
             tables.write_rejects(rejects, output_path, batch_id, count["rejects"])
             metrics = tables.BatchMetrics(batch_id, **count.asDict())
             log.info("%s", metrics)
@@ -118,7 +120,8 @@ def rapid_fire_alerts(parsed: DataFrame, rules: RuleConfig, watermark: str) -> D
     In append mode each window comes once, when the watermark has passed its
     end; in update mode it comes with every batch that adds to it.
     """
-    return hot_windows(valid_rows(parsed).withWatermark("event_time", watermark), rules)
+    sound = valid_rows(parsed, rules.max_ahead_seconds)
+    return hot_windows(sound.withWatermark("event_time", watermark), rules)
 
 
 def start_rapid_fire(
