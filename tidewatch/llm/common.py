@@ -23,13 +23,11 @@ def rest(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Cuts lineage, so a lost executor costs one step, and gives the optimizer the
-    table's true size. The folder goes when the session ends.
+    table's true size. The folder stays until the session ends.
     """
     spark = df.sparkSession
-    path = work_dir(spark, name)
+    path = f"{work_dir(spark, name)}/rows"
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
 
 
