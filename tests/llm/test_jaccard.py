@@ -1,0 +1,94 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm import jaccard_join as j
+from tidewatch.llm.components import connected_components
+
+
+def union(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def corpus():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=3))
+    texts = []
+    for _ in range(12):
+        base = [word() for _ in range(rng.choice([4, 30, 90]))]
+        for _ in range(rng.choice([1, 2, 9])):
+            edited = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                edited[rng.randrange(len(edited))] = word()
+            texts.append(" ".join(edited))
+    shared = " ".join(word() for _ in range(40))
+    texts += [shared + " " + " ".join(word() for _ in range(60)) for _ in range(6)]
+    return [(10 * i, t) for i, t in enumerate(texts)]
+
+
+def brute(rows):
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+
+    sets = {i: shingles(t) for i, t in rows}
+    pairs = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    return union(pairs, sets), {i: sum(i in p for p in pairs) for i in sets}
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_links_and_classes_are_those_of_all_pairs(spark, monkeypatch, block):
+    """Also where every component is cut into blocks."""
+    monkeypatch.setattr(j, "BLOCK_NODES", block)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.class_id, r.n_links) for r in j.join(docs).collect()}
+    classes, links = brute(rows)
+    assert found == {i: (classes[i], links[i]) for i, _ in rows}
+    kept = {r.doc_id for r in j.keep_one(docs).collect()}
+    assert kept == set(classes.values())
+
+
+def test_bands_reach_the_recall():
+    bands, rows = j.choose_bands(0.8, 0.9995)
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and bands <= j.MAX_BANDS and rows > 4
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(5)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)]
+    pairs += [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    nodes = {n for p in pairs for n in p if p[0] != p[1]}
+    want = union(pairs, {n for p in pairs for n in p})
+    rows = connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert {r.node: r.root for r in rows} == {n: want[n] for n in nodes}
+    assert len(rows) == len(nodes)
+    assert connected_components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_odd_rows(odd_docs, no_docs):
+    found = j.join(odd_docs).collect()
+    assert len(found) == odd_docs.count()
+    by_id = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in found if r.doc_id}
+    assert by_id[1] == (1, 0, 1) and by_id[2] == (2, 0, 1) and by_id[5] == (5, 1, 2)
+    kept = j.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert kept.where("doc_id = 5").count() == 1 and kept.count() == odd_docs.count() - 1
+    assert kept.where(F.col("text").isNull()).count() == 2
+    assert j.join(no_docs).isEmpty() and j.keep_one(no_docs).isEmpty()

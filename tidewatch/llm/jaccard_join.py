@@ -135,7 +135,7 @@ def _verify_group(nodes, copies, blocks, low, high, sets, threshold):
     number = np.cumsum(often > 1) - 1
     place, row = number[place[shared]], row[shared]
     common = np.zeros((len(sets), len(sets)))
-    step = max(1, (1 << 22) // len(sets))
+    step = max(1, min((1 << 22) // len(sets), int((often > 1).sum())))
     order = np.argsort(place, kind="stable")
     place, row = place[order], row[order]
     for first in range(0, int(place[-1]) + 1 if len(place) else 0, step):
@@ -219,6 +219,8 @@ def verified(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) ->
     block = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
     placed = members.join(sizes, F.col("root") == F.col("of")).withColumn("block", block)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    # Members grow with the table, so they are never broadcast, however few they are here.
+    placed = placed.hint("shuffle_merge")
     found = texts.join(placed, F.col("doc_id").eqNullSafe(F.col("first_id")))
     # A member meets its own block and every other one exactly once.
     partner = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))

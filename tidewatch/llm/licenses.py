@@ -40,7 +40,7 @@ SPELLINGS = (
     ("whilst", "while"),
 )
 #: Fixed value: lines that name a right holder.
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright[ \t:]+(?:\(c\)|©|[0-9]{4})|\(c\)|©)[^\n]*$"
 
 #: Wordings of well-known public licences and of short notices.
 KNOWN = (

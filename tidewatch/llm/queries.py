@@ -108,7 +108,7 @@ def _license_sql() -> str:
     known = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in licenses.KNOWN)
 
     def canonical(column: str) -> str:
-        copyright_line = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
+        copyright_line = r"(?m)^[ \t]*(?:copyright[ \t:]+(?:\(c\)|©|[0-9]{4})|\(c\)|©)[^\n]*$"
         sql = f"regexp_replace(lower(coalesce({column}, '')), '{copyright_line}', ' ', 'g')"
         sql = rf"trim(regexp_replace({sql}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
         for found, put in licenses.SPELLINGS:
