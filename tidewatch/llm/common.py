@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewatch.session import work_dir
 
 #: Texts handled together by one vectorised step. A longer text is a step of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

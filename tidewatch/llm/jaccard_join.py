@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import words
-from tidewatch.llm.common import list_array, rest, text_udf
+from tidewatch.llm.common import chunks, list_array, rest, text_udf
 from tidewatch.llm.components import connected_components
 
 SHINGLE = 5
@@ -183,21 +183,25 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
 
     key, group = None, []
     for batch in batches:
-        texts = batch.column("text").fill_null("")
-        values, number = _sets(texts)
-        ends = np.cumsum(number)
-        ids = _node_ids(values, number)
-        keys = zip(*(batch.column(c).to_pylist() for c in ("root", "low", "high")), strict=True)
+        keys = list(
+            zip(*(batch.column(c).to_pylist() for c in ("root", "low", "high")), strict=True)
+        )
         nodes = batch.column("node").to_pylist()
         copies, blocks = batch.column("copies").to_pylist(), batch.column("block").to_pylist()
-        for i, own in enumerate(keys):
-            if own != key:
-                if group:
-                    yield done(group)
-                key, group = own, []
-            if ids[i] == nodes[i]:  # else another text under the same id
-                mine = values[ends[i] - number[i] : ends[i]].copy()
-                group.append((nodes[i], copies[i], blocks[i], mine))
+        at = 0
+        for part in chunks(batch.column("text").fill_null("")):
+            values, number = _sets(part)
+            ends, ids = np.cumsum(number), _node_ids(values, number)
+            for i in range(len(part)):
+                row = at + i
+                if keys[row] != key:
+                    if group:
+                        yield done(group)
+                    key, group = keys[row], []
+                if ids[i] == nodes[row]:  # else another text under the same id
+                    mine = values[ends[i] - number[i] : ends[i]].copy()
+                    group.append((nodes[row], copies[row], blocks[row], mine))
+            at += len(part)
     if group:
         yield done(group)
 
