@@ -63,7 +63,7 @@ def test_what_takes_no_part(spark):
 
 
 def test_blocks_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(n, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(n, "BLOCK_BYTES", 50 * 8 * 65)
     monkeypatch.setattr(n, "BLOCK_QUERIES", 3)
     table = spark.read.parquet(SMALL).where("vec_id < 400")
     rows = [(r.vec_id, r.embedding) for r in table.collect()]

@@ -39,7 +39,8 @@ LIST_SIZE = 400
 SHELF = 16
 REPLICAS, BORDER = 3, 1.1
 RECALL, TRIAL = 0.96, 400
-BLOCK_ENTRIES, BLOCK_QUERIES = 8_192, 2_048
+#: A task holds so many bytes of entries, and so many queries.
+BLOCK_BYTES, BLOCK_QUERIES = 1 << 24, 2_048
 HIT_TYPE = "query long, score double, vec_id long"
 
 
@@ -301,7 +302,8 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         .join(once.withColumnRenamed("embedding", "of"), F.col("embedding") == F.col("of"))
         .select(F.col("vec_id").alias("query_id"), "entry")
     )
-    posted = _placed(entries, index, False, BLOCK_ENTRIES)
+    width = fitted.graph.centroids.shape[1]
+    posted = _placed(entries, index, False, max(16, BLOCK_BYTES // (8 * width)))
     wanted = _placed(once, index, True, BLOCK_QUERIES)
     # Each block of a shelf's queries meets each block of its entries once.
     entry_blocks = posted.groupBy("shelf").agg(F.max("blocks").alias("other"))
