@@ -254,6 +254,29 @@ def test_hot_windows_count_across_batches_and_ignore_late_rows(feed):
     assert feed.watch(LIVE) == {("u", -30.0, 6), ("u", 0.0, 6)}
 
 
+def test_reports_see_closed_bursts(feed):
+    feed.send(*[(f"b{i}", "u", i) for i in range(5)])
+    feed.send(("b5", "u", 31, FAR), ("b6", "u", 29), ("alone", "w", 29))
+    feed.send(("later", "v", 3600), ("big", "v", 3600, HOME, 1e5))
+    feed.send(("next", "v", 3601))
+    feed.score()
+    assert reports.refresh(feed.spark, str(feed.out))["kpis"].first().alerts == 2
+    assert feed.watch(LIVE) == {("u", -30.0, 6), ("u", 0.0, 7)}
+    rows = reports.stored_results(feed.spark, str(feed.out))
+    assert rows.columns == feed.results().columns
+    reasons = {r.transaction_id: r.fraud_reason for r in rows.collect()}
+    assert reasons == {
+        **{f"b{i}": "rapid_fire" for i in (0, 1, 2, 3, 4, 6)},
+        "b5": "rapid_fire+location_anomaly",
+        **{"alone": None, "later": None, "big": "high_value", "next": None},
+    }
+    shown = reports.refresh(feed.spark, str(feed.out))
+    assert shown["kpis"].first().alerts == 8
+    assert {r.reason: r.alerts for r in shown["reason_counts"].collect()} == {
+        "rapid_fire": 6, "rapid_fire+location_anomaly": 1, "high_value": 1,
+    }
+
+
 def test_open_windows_are_held_back_unless_asked_for(feed):
     feed.send(*[(f"b{i}", "u", i) for i in range(6)])
     feed.send(("b6", "u", 40))

@@ -66,7 +66,7 @@ def add_history(
     previous = previous or {}
     seconds = config.rapid_slide_seconds if counts else PANE_SECONDS
     lone = F.when(F.col("user_id").isNull(), F.xxhash64("event_time", "transaction_id"))
-    paned = df.withColumn("_pane", _pane(seconds)).withColumn("_lone", lone)
+    paned = df.withColumn("_pane", pane(seconds)).withColumn("_lone", lone)
     if heavy is None:
         return _whole_users(paned, config, previous, counts).drop("_pane")
     light = paned.join(heavy.keys, "user_id", "left_anti")
@@ -75,7 +75,7 @@ def add_history(
     return _whole_users(light, config, previous, counts).unionByName(split).drop("_pane")
 
 
-def _pane(seconds: int) -> Column:
+def pane(seconds: int) -> Column:
     """Start of the epoch-aligned pane a row lies in, in microseconds."""
     micros = F.unix_micros(F.col("event_time").cast("timestamp"))
     return micros - F.pmod(micros, F.lit(seconds * 1_000_000))

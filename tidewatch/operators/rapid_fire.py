@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.config import RuleConfig
-from tidewatch.functions.flags import fill_flags
-from tidewatch.operators.history import add_history, heavy_users
+from tidewatch.config import FLAG_COLUMNS, RuleConfig
+from tidewatch.functions.flags import any_flag, fill_flags, reason_label
+from tidewatch.operators.history import add_history, heavy_users, pane
 from tidewatch.operators.skew import left_join_on_key
 
 
@@ -54,6 +54,27 @@ def flag_rows(df: DataFrame, config: RuleConfig) -> DataFrame:
     return add_flag(counted, config)
 
 
+def stamp_bursts(results: DataFrame, windows: DataFrame, config: RuleConfig) -> DataFrame:
+    """Stored rows with the bursts that a stream has reported since they were scored.
+
+    A row lies in one of ``windows`` if its pane is one of theirs, so the windows,
+    which are few, are spread over their panes, and no row is repeated. Decision
+    and label are made anew from all flags; columns keep their order.
+    """
+    slide = config.rapid_slide_seconds * 1_000_000
+    first, end = F.unix_micros("window_start"), F.unix_micros("window_end")
+    panes = F.explode(F.sequence(first, end - slide, F.lit(slide)))
+    hot = windows.select("user_id", panes.alias("_pane")).distinct()
+    joined = results.withColumn("_pane", pane(config.rapid_slide_seconds)).join(
+        hot.withColumn("_hot", F.lit(True)), ["user_id", "_pane"], "left"
+    )
+    known = F.coalesce("fraud_rapid_fire", F.lit(False))
+    flagged = joined.withColumn("fraud_rapid_fire", known | F.col("_hot").isNotNull())
+    return flagged.withColumns(
+        {"is_fraud": any_flag(FLAG_COLUMNS.values()), "fraud_reason": reason_label(FLAG_COLUMNS)}
+    ).select(*results.columns)
+
+
 def add_flag(df: DataFrame, config: RuleConfig) -> DataFrame:
     flag = F.coalesce(F.col("rapid_count") > config.rapid_limit, F.lit(False))
     return df.withColumn("fraud_rapid_fire", flag).drop("rapid_count")

@@ -27,7 +27,7 @@ from tidewatch.sinks import tables
 from tidewatch.sources import events
 from tidewatch.sources.cities import lookup_city
 from tidewatch.sources.messages import file_stream, project_records
-from tidewatch.sources.tables import load_results, read_parquet_dir
+from tidewatch.sources.tables import load_bursts, load_results, read_parquet_dir
 from tidewatch.streaming import pipeline
 
 TABLE_RULES = RuleConfig(
@@ -468,10 +468,20 @@ def stream_rapid_fire(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _in_steps(spark, sf_dir, out, late=True)
     config = StreamConfig(output_path=out)
     pipeline.start_rapid_fire(raw, TABLE_RULES, config, available_now=True).awaitTermination()
-    closed = spark.read.schema(
-        "user_id string, window_start timestamp, window_end timestamp, txn_count bigint"
-    ).parquet(f"{out}/rapid_fire_alerts")
-    return _plain_times(closed)
+    return _plain_times(load_bursts(spark, out))
+
+
+@query
+def stream_rapid_fire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the scoring stream with the bursts of the burst stream beside it."""
+    out = work_dir(spark, "stream_rapid_fire_rows")
+    raw = _in_steps(spark, sf_dir, out)
+    _run_scoring(raw, out)
+    config = StreamConfig(output_path=out)
+    pipeline.start_rapid_fire(raw, TABLE_RULES, config, available_now=True).awaitTermination()
+    results = reports.stored_results(spark, out, TABLE_RULES)
+    flags = ["fraud_high_value", "fraud_rapid_fire", "fraud_location_anomaly"]
+    return results.select("transaction_id", "user_id", *flags, "is_fraud", "fraud_reason")
 
 
 # --- reports ---------------------------------------------------------------

@@ -106,23 +106,27 @@ kept as (
   where step = 4 or not is_late or window_start + {_SIZE} > passed
 )"""
 
-_RAPID = f"""
+_PASSED = "(select max(event_time) from txns) - interval '10 minutes'"
+
+
+def _rapid(windows: str) -> str:
+    return f"""
 exists (
-  select 1 from hot h
+  select 1 from {windows} h
   where h.user_id = t.user_id
     and t.event_time >= h.window_start and t.event_time < h.window_end
 )"""
 
 
-def _scored(rapid: bool) -> str:
-    """``scored``: with two or with all three rules."""
+def _scored(rapid: bool, windows: str = "hot") -> str:
+    """``scored``: with two or with all three rules; ``windows`` names the bursts that count."""
     flags = {
         "high_value": "fraud_high_value",
         **({"rapid_fire": "fraud_rapid_fire"} if rapid else {}),
         "location_anomaly": "fraud_location_anomaly",
     }
     names = ", ".join(f"case when {flag} then '{rule}' end" for rule, flag in flags.items())
-    rapid_flag = f"{_RAPID} as fraud_rapid_fire," if rapid else ""
+    rapid_flag = f"{_rapid(windows)} as fraud_rapid_fire," if rapid else ""
     return f"""
 {_HISTORY},
 {_WINDOWS},
@@ -140,6 +144,7 @@ scored as (
 
 
 _TWO, _THREE = _scored(rapid=False), _scored(rapid=True)
+_CLOSED = _scored(True, f"(select * from hot where window_end <= {_PASSED})")
 
 # One defect per merchant number, as in the damaged messages.
 _FIELDS_LOST = "k in (7, 17)"
@@ -208,7 +213,7 @@ from txns t join cities c on c.city = t.city""",
     ),
     "rule_rapid_fire": _select(
         f"{_TXNS},{_WINDOWS}",
-        f"""select t.transaction_id, t.user_id, t.event_time, {_RAPID} as fraud_rapid_fire
+        f"""select t.transaction_id, t.user_id, t.event_time, {_rapid("hot")} as fraud_rapid_fire
 from txns t""",
     ),
     "prev_location": _select(
@@ -307,8 +312,13 @@ from scored where is_fraud""",
     "stream_rapid_fire": _select(
         f"{_TXNS},{_LATE_WINDOWS}",
         f"""select user_id, window_start, window_end, count(*) as txn_count from kept
-where window_end <= (select max(event_time) from txns) - interval '10 minutes'
+where window_end <= {_PASSED}
 group by user_id, window_start, window_end having count(*) > {TABLE_RULES.rapid_limit}""",
+    ),
+    "stream_rapid_fire_rows": _select(
+        _CLOSED,
+        """select transaction_id, user_id, fraud_high_value, fraud_rapid_fire,
+  fraud_location_anomaly, is_fraud, fraud_reason from scored""",
     ),
     "report_kpis": _select(
         _TWO,

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.config import RuleConfig
 from tidewatch.functions.messages import parse_event_time
-from tidewatch.sources.tables import load_results
+from tidewatch.operators.rapid_fire import stamp_bursts
+from tidewatch.sources.tables import load_bursts, load_results
 
 # The columns of two reports.
 LATEST_COLUMNS = ("transaction_id", "user_id", "amount", "city", "fraud_reason", "timestamp")
@@ -94,8 +96,23 @@ def geo_grid(results: DataFrame, degrees: float = 1.0) -> DataFrame:
     )
 
 
-def refresh(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
-    """All reports over the tables below ``output_path`` as they are now."""
+def stored_results(
+    spark: SparkSession, output_path: str, config: RuleConfig | None = None
+) -> DataFrame:
+    """Clean rows and alerts below ``output_path``, with the bursts found since.
+
+    The scoring stream stores a row before it can know of a burst around it; the
+    burst stream stores each burst when its window has closed. Here they meet. The
+    window's length and slide must be those of the burst stream.
+    """
     results = union_results(*load_results(spark, output_path))
+    return stamp_bursts(results, load_bursts(spark, output_path), config or RuleConfig())
+
+
+def refresh(
+    spark: SparkSession, output_path: str, config: RuleConfig | None = None
+) -> dict[str, DataFrame]:
+    """All reports over the tables below ``output_path`` as they are now."""
+    results = stored_results(spark, output_path, config)
     reports = (kpis, latest_alerts, reason_counts, volume_by_minute, geo_points, geo_grid)
     return {report.__name__: report(results) for report in reports}

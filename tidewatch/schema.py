@@ -61,6 +61,17 @@ REJECT_SCHEMA = T.StructType(
 )
 
 
+# Bursts as the burst stream stores them.
+BURST_SCHEMA = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("txn_count", T.LongType()),
+    ]
+)
+
+
 def stored_columns(df: DataFrame) -> DataFrame:
     """``df`` in the stored layout: all columns, in order, NULL where it has none."""
     own = set(df.columns)

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidewatch.schema import RESULT_SCHEMA
+from tidewatch.schema import BURST_SCHEMA, RESULT_SCHEMA
 
 
 def read_parquet_dir(
@@ -40,15 +40,20 @@ def read_parquet_dir(
 def load_results(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame]:
     """The clean and the alert table, with ``batch_id``, a partition that filters prune."""
     return (
-        _read_batches(spark, f"{output_path}/transactions"),
-        _read_batches(spark, f"{output_path}/fraud_alerts"),
+        _read_if_there(spark, f"{output_path}/transactions", RESULT_SCHEMA),
+        _read_if_there(spark, f"{output_path}/fraud_alerts", RESULT_SCHEMA),
     )
 
 
-def _read_batches(spark: SparkSession, path: str) -> DataFrame:
+def load_bursts(spark: SparkSession, output_path: str) -> DataFrame:
+    """The closed hot windows that the burst stream has committed so far."""
+    return _read_if_there(spark, f"{output_path}/rapid_fire_alerts", BURST_SCHEMA)
+
+
+def _read_if_there(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
-        return spark.read.schema(RESULT_SCHEMA).option("basePath", path).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RESULT_SCHEMA)
+        return spark.createDataFrame([], schema)
