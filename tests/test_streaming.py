@@ -1,8 +1,10 @@
 import json
+import time
 from dataclasses import replace
 from datetime import timedelta
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tidewatch.sources import events
 from tidewatch.sources.messages import file_stream, project_records, text_stream
 from tidewatch.sources.tables import load_results
 from tidewatch.streaming import pipeline
+from tidewatch.streaming.last_seen import FIELDS, newest_per_user
 
 LIVE = RuleConfig()
 
@@ -81,6 +84,11 @@ class Feed:
             for r in rows.collect()
         }
 
+    def wait_for(self, rows, seconds=60):
+        end = time.monotonic() + seconds
+        while self.results().count() < rows and time.monotonic() < end:
+            time.sleep(0.5)
+
     def results(self):
         return reports.union_results(*load_results(self.spark, str(self.out)))
 
@@ -183,6 +191,41 @@ def test_ties_across_batches_follow_the_id(feed):
     assert feed.found("prev_lat") == {"a": (None,), "b": (None,), "c": (HOME[0],)}
 
 
+def test_users_unseen_for_long_are_forgotten(feed):
+    feed.stream = replace(feed.stream, state_ttl_seconds=1, trigger="1 second")
+    with pytest.raises(ValueError, match="never runs out"):
+        feed.score()
+    feed.send(("a", "u", 0, HOME))
+    query = pipeline.start_scoring(feed.messages(), LIVE, feed.stream)
+    try:
+        feed.wait_for(1)
+        time.sleep(6)  # batches without rows, in which the user times out
+        feed.send(("b", "u", 60, FAR))
+        feed.wait_for(2)
+    finally:
+        query.stop()
+    assert feed.found("prev_lat", "fraud_location_anomaly")["b"] == (None, False)
+
+
+def test_each_chunk_gives_the_state_one_row_per_user():
+    chunk = pd.DataFrame(
+        [
+            ("u", 5, "a", 1.0, 1.0),
+            ("u", 7, "b", 2.0, 2.0),
+            ("u", 7, "c", None, 3.0),
+            ("v", 6, "d", 4.0, 4.0),
+            ("u", 7, "c", 5.0, None),
+            ("u", 1, "e", 6.0, 6.0),
+        ],
+        columns=["user_id", *FIELDS],
+    )
+    for rows in (chunk, chunk.iloc[::-1]):
+        (newest,) = newest_per_user(iter([rows]))
+        found = {r.user_id: (r.event_us, r.transaction_id, r.latitude) for r in newest.itertuples()}
+        assert found == {"u": (7, "c", 5.0), "v": (6, "d", 4.0)}
+    assert list(newest_per_user(iter([chunk.iloc[:0]])))[0].empty
+
+
 def test_null_places_in_state(feed):
     feed.send(("a", "u", 0, (None, None)))
     feed.send(("b", "u", 1, FAR))

@@ -69,7 +69,9 @@ class StreamConfig:
     ``max_per_trigger`` bounds a micro-batch (messages for Kafka, files for a
     file source); it is what bounds the rows of one user that a single state
     call sees. ``fail_on_data_loss`` defaults to true: lost offsets are an error
-    unless the caller accepts them.
+    unless the caller accepts them. A user unseen for ``state_ttl_seconds`` of the
+    clock is forgotten, and their next row is a first row; None forgets nobody. It
+    is fixed for the life of a checkpoint, and needs a timed trigger.
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -81,6 +83,7 @@ class StreamConfig:
     trigger: str = "30 seconds"
     watermark: str = "10 minutes"
     checkpoint_path: str | None = None
+    state_ttl_seconds: int | None = None
 
     @property
     def checkpoint_base(self) -> str:

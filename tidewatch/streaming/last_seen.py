@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -15,6 +16,19 @@ LAST_SEEN = f"user_id string, {STATE}"
 FIELDS = ["event_us", "transaction_id", "latitude", "longitude"]
 
 
+def newest_per_user(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The last row in order of each user in each chunk: all that the state needs of it.
+
+    Runs before the rows are shuffled, so a user with very many rows in a batch
+    reaches its state call as one row per chunk.
+    """
+    for chunk in chunks:
+        newest = chunk.groupby("user_id")["event_us"].transform("max")
+        latest = chunk[chunk["event_us"] == newest]
+        ordered = latest.sort_values(FIELDS, kind="stable", na_position="first")
+        yield ordered.drop_duplicates("user_id", keep="last")
+
+
 def _newest(chunk: pd.DataFrame) -> tuple:
     """The last row in order, with missing coordinates as None."""
     latest = chunk[chunk["event_us"] == chunk["event_us"].max()]
@@ -24,19 +38,29 @@ def _newest(chunk: pd.DataFrame) -> tuple:
     return int(event_us), transaction_id, *(None if pd.isna(p) else float(p) for p in place)
 
 
-def last_seen(key, chunks, state):
-    """Yield where the user was before this micro-batch; remember where they are now.
+def tracker(ttl_seconds: int | None) -> Callable:
+    """The state function; users unseen for ``ttl_seconds`` are forgotten, if given."""
 
-    Chunks are read one after the other, so a user with many rows in a batch
-    needs no more memory than one chunk. State never moves back in time.
-    """
-    before = state.get if state.exists else None
-    if before is not None:
-        yield pd.DataFrame([(key[0], *before)], columns=["user_id", *FIELDS])
-    newest = before
-    for chunk in chunks:
-        candidate = _newest(chunk)
-        if newest is None or candidate[:2] > newest[:2]:
-            newest = candidate
-    if newest is not before:
-        state.update(newest)
+    def last_seen(key, chunks, state):
+        """Yield where the user was before this micro-batch; remember where they are now.
+
+        Chunks are read one after the other, so a user with many rows in a batch
+        needs no more memory than one chunk. State never moves back in time.
+        """
+        if state.hasTimedOut:
+            state.remove()
+            return
+        before = state.get if state.exists else None
+        if before is not None:
+            yield pd.DataFrame([(key[0], *before)], columns=["user_id", *FIELDS])
+        newest = before
+        for chunk in chunks:
+            candidate = _newest(chunk)
+            if newest is None or candidate[:2] > newest[:2]:
+                newest = candidate
+        if newest is not before:
+            state.update(newest)
+        if ttl_seconds is not None:
+            state.setTimeoutDuration(ttl_seconds * 1000)
+
+    return last_seen

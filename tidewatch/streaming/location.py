@@ -15,15 +15,16 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidewatch.config import RuleConfig
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.skew import left_join_on_key
-from tidewatch.streaming.last_seen import LAST_SEEN, STATE, last_seen
+from tidewatch.streaming.last_seen import LAST_SEEN, STATE, newest_per_user, tracker
 
 
-def with_seeds(checked: DataFrame) -> DataFrame:
+def with_seeds(checked: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """The rows of a stream, plus one ``is_seed`` row per user seen before.
 
     ``checked`` carries ``reject_reason``; rejected rows do not touch the state.
     Only the ordering fields and coordinates travel through Python, with times
-    as numbers: a far-off date that Spark can hold must not fail in pandas.
+    as numbers: a far-off date that Spark can hold must not fail in pandas. Users
+    unseen for ``ttl_seconds`` (by the clock) are forgotten; None keeps them for ever.
     """
     sightings = checked.filter(F.col("reject_reason").isNull()).select(
         "user_id",
@@ -32,12 +33,16 @@ def with_seeds(checked: DataFrame) -> DataFrame:
         "latitude",
         "longitude",
     )
-    seeds = sightings.groupBy("user_id").applyInPandasWithState(
-        last_seen,
+    newest = sightings.mapInPandas(newest_per_user, sightings.schema)
+    timeout = GroupStateTimeout.NoTimeout
+    if ttl_seconds is not None:
+        timeout = GroupStateTimeout.ProcessingTimeTimeout
+    seeds = newest.groupBy("user_id").applyInPandasWithState(
+        tracker(ttl_seconds),
         outputStructType=LAST_SEEN,
         stateStructType=STATE,
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeoutConf=timeout,
     )
     seeds = seeds.withColumn("event_time", F.timestamp_micros("event_us")).drop("event_us")
     return checked.withColumn("is_seed", F.lit(False)).unionByName(

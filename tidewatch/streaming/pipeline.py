@@ -23,7 +23,9 @@ from tidewatch.streaming.location import locate, with_seeds
 log = logging.getLogger(__name__)
 
 
-def parse_stream(messages: DataFrame, rules: RuleConfig) -> DataFrame:
+def parse_stream(
+    messages: DataFrame, rules: RuleConfig, ttl_seconds: int | None = None
+) -> DataFrame:
     """Broker rows to typed rows, with seeds if the rules look at locations.
 
     Rows that cannot be scored carry a ``reject_reason`` and their raw message.
@@ -32,7 +34,7 @@ def parse_stream(messages: DataFrame, rules: RuleConfig) -> DataFrame:
     checked = with_reject_reason(parsed, rules.max_ahead_seconds)
     raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
     checked = checked.withColumn("raw_message", raw)
-    return with_seeds(checked) if "location_anomaly" in rules.rules else checked
+    return with_seeds(checked, ttl_seconds) if "location_anomaly" in rules.rules else checked
 
 
 def score_batch(batch: DataFrame, rules: RuleConfig) -> DataFrame:
@@ -104,8 +106,10 @@ def start_scoring(
     """Score messages into the clean, alert, CSV and reject tables."""
     if "rapid_fire" in rules.rules:
         raise ValueError("bursts cross micro-batches; run start_rapid_fire beside this query")
+    if available_now and stream.state_ttl_seconds is not None:
+        raise ValueError("a query that forgets users by the clock never runs out of batches")
     return (
-        parse_stream(messages, rules)
+        parse_stream(messages, rules, stream.state_ttl_seconds)
         .writeStream.queryName(f"scoring {stream.output_path}")
         .foreachBatch(process_batch(rules, stream.output_path, on_metrics))
         .option("checkpointLocation", f"{stream.checkpoint_base}/main")
