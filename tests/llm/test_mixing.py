@@ -60,3 +60,18 @@ def test_odd_rows(odd_docs, no_docs):
     mixed = mixing.mix(odd_docs)
     assert mixed.columns == [*odd_docs.columns, "copy"]
     assert mixing.plan(no_docs).isEmpty() and mixing.mix(no_docs).isEmpty()
+
+
+def test_few_unequal_documents_come_near_their_targets(spark):
+    rows = [
+        (s * 100 + k, "w " * (2 ** (k % 10) + k), f"s{s}", k) for s in range(6) for k in range(50)
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, seed long")
+    planned = mixing.plan(table)
+    assert planned.columns == [*table.columns, "_mix"]
+    per_source = planned.groupBy("source").agg(
+        F.sum(F.col("_mix.size") * F.col("_mix.copies")).alias("taken"),
+        F.first("_mix.target").alias("target"),
+    )
+    for row in per_source.collect():
+        assert row.taken == pytest.approx(row.target, rel=0.05)

@@ -5,7 +5,9 @@ hold most rows). Targets are water-filled: each source gets its weight's share
 of the whole, at most ``max_repeat`` times what it has, and what is cut off goes
 to the others by weight. A source's rate is target / size; each document is
 taken floor(rate) times, and once more if a number in [0, 1), drawn by hash from
-its id, is below the fraction. No random state: reruns and retries agree.
+its id and text, is below the fraction. The hash is seeded per source: of ``TRIES``
+seeds, each source has the one whose draws come nearest its target, which matters
+where documents are few and unequal. No random state: reruns and retries agree.
 
 Null or empty texts have size 0 and add nothing. A null source is a source.
 Rows with the same id and text get the same draw. An empty table stays empty.
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import hash_unit, rest
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Seeds that each source chooses from: one sum each, combined before the shuffle.
+TRIES = 16
 
 
 def word_count(text: Column) -> Column:
@@ -85,6 +89,33 @@ def targets(sources: DataFrame, weight: Callable[[Column], Column], max_repeat:
     return weighted.withColumn("target", share).drop("_cap")
 
 
+def _document() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def _drawn(rate: Column, seed: Column, document: Column) -> Column:
+    """Whether the hash gives a document the copy that the rate's fraction stands for."""
+    return hash_unit(seed, document) < rate - F.floor(rate)
+
+
+def with_seeds(sources: DataFrame, docs: DataFrame, size: Column, seed: int) -> DataFrame:
+    """Add ``seed`` to sources: the one whose draws come nearest the target."""
+    sized = docs.select(
+        F.col("source").alias("_of"), size.alias("_size"), _document().alias("_document")
+    )
+    joined = sized.join(sources, F.col("_of").eqNullSafe(F.col("_source")))
+    sums = [
+        F.sum(F.when(_drawn(F.col("rate"), F.lit(s), F.col("_document")), F.col("_size")))
+        for s in range(seed, seed + TRIES)
+    ]
+    drawn = joined.groupBy("_source", "source_size", "target", "rate").agg(
+        F.array(*[F.coalesce(s, F.lit(0)) for s in sums]).alias("drawn")
+    )
+    extra = F.col("target") - F.floor("rate") * F.col("source_size")
+    misses = F.transform("drawn", lambda s, k: F.struct(F.abs(s - extra), (k + seed).alias("seed")))
+    return drawn.withColumn("seed", F.array_min(misses)["seed"]).drop("drawn")
+
+
 def plan(
     docs: DataFrame,
     weight: Callable[[Column], Column] = rotating_weights,
@@ -94,13 +125,16 @@ def plan(
     """``docs`` and a struct ``_mix``: size, source_size, target and copies."""
     size = word_count(F.col("text"))
     sources = targets(source_sizes(docs, size), weight, max_repeat)
-    rates = rest(
-        sources.select(F.col("source").alias("_source"), "source_size", "target"), "mix_rates"
-    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    extra = hash_unit(F.lit(seed), F.col("doc_id"), F.col("text")) < rate - F.floor(rate)
-    copies = F.floor(rate).cast("long") + extra.cast("long")
-    mix = F.struct(size.alias("size"), "source_size", "target", copies.alias("copies"))
+    named = sources.select(
+        F.col("source").alias("_source"), "source_size", "target", rate.alias("rate")
+    )
+    rates = rest(with_seeds(rest(named, "mix_rates"), docs, size, seed), "mix_seeds")
+    extra = _drawn(rates["rate"], rates["seed"], _document())
+    copies = F.floor(rates["rate"]).cast("long") + extra.cast("long")
+    mix = F.struct(
+        size.alias("size"), rates["source_size"], rates["target"], copies.alias("copies")
+    )
     own = [docs[c] for c in docs.columns if c != "_mix"]
     # The rates' true size is known here: small, they are broadcast; large, Spark
     # shuffles, and splits a source that fills a partition.
