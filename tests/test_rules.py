@@ -236,7 +236,7 @@ def test_split_users_leave_no_large_cell(txns):
     rows = [(f"{i:05d}", "hot", 5.0, HOME) for i in range(4000)]
     # Copies of one transaction, told apart by the amount alone.
     rows += [("copy", "hot", 5.0, HOME, float(i)) for i in range(4000)]
-    df = txns(rows).withColumn("_pane", module._pane(30))
+    df = txns(rows).withColumn("_pane", module.pane(30))
     sizes = module._with_segments(df, 200).groupBy("_segment").count().agg(F.max("count"))
     assert sizes.first()[0] < 1000
 
