@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import text_udf
+from tidewatch.llm.wordings import wordings
 
 #: Spellings that mean the same, as (pattern, put instead).
 SPELLINGS = (
@@ -117,13 +118,15 @@ def _digests(texts: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(pa.string()))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """Rows: license_id, license_digest. One id per digest, the first by code point.
 
-    A list in the program, so it is marked for broadcast; a table given to ``scan``
+    Of ``KNOWN`` and all of ``wordings`` if no list is given. A list in the program, so it is marked for broadcast; a table given to ``scan``
     is joined as its size asks for.
     """
     first: dict[str, str] = {}
+    if known is None:
+        known = set(wordings(KNOWN, canonical))
     for name, text in sorted(known, reverse=True):
         first[digest(text)] = name
     rows = [(name, key) for key, name in first.items()]
