@@ -1,5 +1,8 @@
+import re
 from importlib import resources
 
+import pytest
+
 from tidewatch.llm import licenses, wordings
 
 MIT = dict(licenses.KNOWN)["MIT"]
@@ -89,3 +92,39 @@ def test_forms_are_canonical_and_mean_one_licence():
     for key, text in forms:
         ids.setdefault(text, set()).add(key)
     assert not {text: found for text, found in ids.items() if len(found) > 1}
+
+
+@pytest.mark.parametrize(
+    "head",
+    [
+        "Copyright Jane Doe 2020", "Copyright the X Authors", "Copyright The Regents of the University of X. All rights reserved.",
+        "Copyright holder: Jane Doe", "Copyright: Jane Doe <jane@x.org>", "Copyright by Jane Doe", "// Copyright (c) 2020 X",
+        " * Copyright (c) 2020 X\n * All rights reserved.", "# Copyright Jane Doe\n#\n# All Rights Reserved", "Copyright (c) 2020 X\n\nAll rights reserved.",
+        "Copyright (c) 1989, 1993\n\tThe Regents of X.  All rights reserved.", "Copyright [yyyy] [name of copyright owner]", "Copyright 2019\nCopyright Y and Z", "(c) the X Authors", "\u00a9 X",
+    ],
+)
+def test_header_lines_are_no_part_of_a_wording(head):
+    assert licenses.digest(f"{head}\n\n{MIT}") == licenses.digest(MIT)
+    assert licenses.canonical(f"MIT License\n{head}\n{MIT}") == "mit license " + licenses.canonical(MIT)
+
+
+def test_sentences_about_copyright_stay_however_they_are_wrapped():
+    longest: dict[str, str] = {}
+    for key, text in wordings.wordings(licenses.KNOWN, licenses.canonical):
+        if (key, text) not in licenses.KNOWN and len(text) > len(longest.get(key, "")):
+            longest[key] = text
+    for text in longest.values():
+        found = text.split()
+        for i, word in enumerate(found):
+            if word == "copyright" and found[i + 1 : i + 2] not in (["c"], ["yyyy"], ["year"]):
+                for n in range(1, 15):
+                    parts = found[:i], found[i : i + n], found[i + n :]
+                    assert licenses.canonical("\n".join(" ".join(p) for p in parts)) == text, parts[1]
+    items = "(c) You must retain, in the Source form\n(c) under Patent Claims\nAll rights reserved."
+    assert licenses.canonical(items) == "c you must retain in the source form c under patent claims all rights reserved"
+
+
+def test_a_rewrapped_text_has_the_same_digest():
+    text = (resources.files("tidewatch.llm") / "license_texts" / "Apache-2.0.txt").read_text("utf-8")
+    body = text[text.index("TERMS AND") : text.index("APPENDIX")]
+    assert licenses.digest(re.sub(r"(?<=\S)\n +(?=[a-z])", " ", body)) == licenses.digest(body)

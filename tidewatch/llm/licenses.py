@@ -40,8 +40,25 @@ SPELLINGS = (
     ("per cent", "percent"),
     ("whilst", "while"),
 )
-#: Fixed value: lines that name a right holder.
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright[ \t:]+(?:\(c\)|©|[0-9]{4})|\(c\)|©)[^\n]*$"
+#: Fixed value: lines that may name a right holder, in lower case, behind marks of comments or lists.
+COPYRIGHT_LINE = r"(?m)^[ \t/*#;%!|>.<\"'-]*((?:portions[ \t]+)?copyright\b|\(c\)|©)([^\n]*)$"
+#: Fixed value: what may follow such a line and belongs to it, on the next line with words.
+RESERVED = r"(?:\n[^\w\n]*)+(?:[^\n]{0,80}?[^\w\n])?all rights reserved[^\w\n]*$"
+#: Fixed value: what names a holder behind the word, whatever follows.
+NAMED = r"[ \t:]*(?:\(c\)|©|&copy;|[0-9]{4}|[\[{<(](?:yyyy|year|date)|(?:holders?|owners?)[ \t]*:)"
+#: Words of sentences about copyright, which no holder's line has.
+SENTENCE = frozenset(
+    "a act agreement an any are as be been can claim claims disclaimer do does for from grant granted grants has have "
+    "holder holders if in infringement infringements interest interests is it its law laws license licensed licenses "
+    "licence licensed licences line lines material may means must no not notice notices obligations on or other owner "
+    "owners ownership patent permission policy portions protected protection registration right rights shall should "
+    "statement statements status subject such term terms that this to trademark treaties treaty under was were "
+    "which who will with work works you your".split()
+)
+#: Words with which no holder's name begins.
+NOT_FIRST = frozenset("also and by doctrines library like of program related resulting software the those".split())
+#: Fixed value: a holder's line without a year or a sign has at most so many words.
+HOLDER_WORDS = 12
 
 #: Wordings of well-known public licences and of short notices.
 KNOWN = (
@@ -91,14 +108,34 @@ THIS SOFTWARE.""",
 )
 
 
-_COPYRIGHT = re.compile(COPYRIGHT_LINE)
+_COPYRIGHT = re.compile(f"{COPYRIGHT_LINE}(?:{RESERVED})?")
+_NAMED = re.compile(NAMED)
+_LISTED = re.compile(r"[ \t]*(?:you must|under patent claims|the licen[sc]es|representations)\b")
+_NAME_WORD = re.compile(r"[^\W_]+")
 _WORD = re.compile(r"[^\W_]")
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
+def _without_holder(found: re.Match) -> str:
+    """Nothing if the line names a right holder, else the line: a sentence or an item ``(c)``."""
+    lead, rest = found.group(1), found.group(2)
+    if lead in ("(c)", "©"):
+        return found.group() if lead == "(c)" and _LISTED.match(rest) else " "
+    if _NAMED.match(rest):
+        return " "
+    names = _NAME_WORD.findall(rest.split("all rights reserved")[0])
+    names = names[1:] if names[:1] == ["by"] else names
+    named = names[1:2] if names[:1] == ["the"] else names[:1]
+    holder = bool(named) and named[0] not in NOT_FIRST and len(names) <= HOLDER_WORDS and SENTENCE.isdisjoint(names)
+    return " " if holder else found.group()
+
+
 def canonical(text: str) -> str:
     """The form in which equal wordings are equal texts."""
-    plain = _NOT_WORD.sub(" ", _COPYRIGHT.sub(" ", text.lower())).strip()
+    plain = text.lower()
+    if "copyright" in plain or "(c)" in plain or "©" in plain:
+        plain = _COPYRIGHT.sub(_without_holder, plain)
+    plain = _NOT_WORD.sub(" ", plain).strip()
     for found, put in SPELLINGS:
         plain = plain.replace(found, put)
     return plain

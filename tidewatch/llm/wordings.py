@@ -35,6 +35,8 @@ FILES = {
     "Unlicense": ((), ("for more information please refer to",)),
     "Zlib": ((), ()),
 }
+#: What a text without its appendix, or without the appendix's notice, ends with.
+LAST = ("end of terms and conditions", "identification within third party archives")
 #: Titles that stand before a text, the file's own aside.
 TITLES = {
     "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "Free Public License 1.0.0", "0BSD", "0BSD License", "BSD 0-Clause License", "Zero-Clause BSD (0BSD)"),
@@ -226,8 +228,9 @@ def _whole(canonical: Callable[[str], str]) -> Iterator[tuple[str, str]]:
         starts = [0, *(plain.index(canonical(b)) for b in begins)]
         # An appendix is at the end; its title may stand in the text as well.
         stops = [len(plain), *(plain.rindex(canonical(e)) for e in ends)]
-        if "end of terms and conditions" in ends:
-            stops.append(plain.rindex("end of terms and conditions") + len("end of terms and conditions"))
+        for last in LAST:
+            if last in plain and "end of terms and conditions" in ends:
+                stops.append(plain.rindex(last) + len(last))
         for start, stop in itertools.product(sorted(set(starts)), sorted(set(stops))):
             yield key, plain[start:stop].strip()
 
