@@ -65,6 +65,37 @@ def test_a_word_anywhere_is_found():
     assert bad >= 0.5 > good and empty == 0.0
 
 
+def test_long_runs_are_read_to_their_end():
+    texts = ["ab " + "x" * 64 + " c", "y" * 65 + "z" * 100, "", "語" * 70, "a b"]
+    whole = words.words_of(pa.array(texts))
+    found = words.pieces_of(whole, 64, 24, 12)
+    assert found.counts.tolist() == [3, 13, 0, 17, 2] and (found.ends - found.starts).max() == 64
+    read = np.zeros(len(whole.data), bool)
+    for a, b in zip(found.starts, found.ends, strict=True):
+        read[a:b] = True
+    assert all(read[a:b].all() for a, b in zip(whole.starts, whole.ends, strict=True))
+    assert set(whole.hashes[:3].tolist()) <= set(found.hashes.tolist())
+    same = words.words_of(pa.array(["one two", "three"]))
+    assert words.pieces_of(same, 64, 24, 12) is same
+
+
+def test_a_term_behind_a_long_unspaced_run_is_found():
+    rng = np.random.default_rng(5)
+    plain = [chr(k) for k in range(0x4E00, 0x4E00 + 60)]
+
+    def text(toxic, size):
+        run = list(rng.choice(plain, size))
+        if toxic:
+            at = int(rng.integers(30, size))
+            run[at:at] = "殺死妳們"
+        return "".join(run)
+
+    texts = [text(i % 2, int(rng.integers(60, 200))) for i in range(400)]
+    model = toxicity.train(pa.table({"text": texts, "label": [i % 2 for i in range(400)]}), 0.5)
+    scores = toxicity._score(pa.array([text(i % 2, 400) for i in range(100)]), model).to_pylist()
+    assert np.mean([(s >= 0.5) == i % 2 for i, s in enumerate(scores)]) > 0.9
+
+
 def test_toxicity_of_held_out_documents(spark):
     found = queries.QUERIES["op4_toxicity"](spark, DATA)
     labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic").distinct()

@@ -1,6 +1,7 @@
 """Toxicity of whole texts by a bidirectional recurrent network over windows.
 
-Words and their characters are the input (see ``bigru``). A text is cut into
+Words and their characters are the input (see ``bigru``); a run of letters longer than
+a word is, as in scripts without spaces, is cut into overlapping pieces. A text is cut into
 overlapping windows that cover it from end to end; each gets a logit, and the
 text's score is that of its most toxic window. The network is trained in numpy on a
 bounded sample of labelled documents: the loss is on the text's label, and its
@@ -28,6 +29,8 @@ from tidewatch.llm.sample import fold, labelled_sample
 #: The bound of the training sample: documents per label, characters of each.
 PER_LABEL, MAX_CHARS = 1_600, 12_000
 WINDOW, STRIDE = 32, 24
+#: A run of letters of more bytes (unspaced scripts, words run together) is read in pieces of a word's size.
+LONGEST, PIECE, PIECE_STEP = 64, 24, 12
 STEPS, BATCH, RATE = 240, 48, 0.01
 CHECK_EVERY, CHECK = 24, 400
 ORDERS = (3, 4)
@@ -44,7 +47,7 @@ class Model:
 
 def lexicon_of(found: words.Words, at: np.ndarray) -> Lexicon:
     """The words at these places, with sequences of 3 and 4 bytes from ``<`` to ``>``."""
-    length = np.minimum(found.ends[at] - found.starts[at], 64) + 2
+    length = found.ends[at] - found.starts[at] + 2
     owner = segments(length)
     place = np.arange(len(owner)) - (np.cumsum(length) - length)[owner]
     inner = np.clip(place - 1, 0, length[owner] - 3) + found.starts[at][owner]
@@ -77,8 +80,8 @@ def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _prepare(column: pa.Array):
-    """Distinct words, and windows as rows of places among them."""
-    found = words.words_of(column)
+    """Distinct words or pieces, and windows as rows of places among them."""
+    found = words.pieces_of(words.words_of(column), LONGEST, PIECE, PIECE_STEP)
     _, at, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
     text, first, size = windows_of(found.counts)
     steps = np.arange(WINDOW)

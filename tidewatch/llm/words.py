@@ -67,14 +67,37 @@ def words_of(column: pa.Array) -> Words:
     last = borders[1:][borders[:-1] < borders[1:]] - 1
     closes[last] = inside[last]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    counts = np.diff(np.searchsorted(starts, borders))
+    return Words(data, borders, starts, ends, counts, _hashes(data, starts, ends))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     weighted = (data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data))
     np.cumsum(weighted, out=sums[1:])
     # A polynomial over the word's bytes, moved to begin at power 0.
-    hashes = mix((sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(data))[starts])
-    counts = np.diff(np.searchsorted(starts, borders))
-    return Words(data, borders, starts, ends, counts, hashes)
+    return mix((sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(data))[starts])
+
+
+def pieces_of(words: Words, longest: int, size: int, step: int) -> Words:
+    """Each word of more than ``longest`` bytes as overlapping pieces, which are words of their own.
+
+    A piece begins at every ``step`` bytes; together they hold all bytes of the word, and
+    whatever is no longer than ``size - step`` stands whole in one of them.
+    """
+    length = words.ends - words.starts
+    if length.max(initial=0) <= longest:
+        return words
+    long = length > longest
+    number = np.where(long, 1 + -(-np.maximum(length - size, 0) // step), 1)
+    owner = segments(number)
+    place = np.arange(len(owner)) - (np.cumsum(number) - number)[owner]
+    starts = words.starts[owner] + place * step
+    ends = np.where(long[owner], np.minimum(starts + size, words.ends[owner]), words.ends[owner])
+    text = segments(words.counts)
+    counts = np.bincount(text[owner], minlength=len(words.counts))
+    return Words(words.data, words.borders, starts, ends, counts, _hashes(words.data, starts, ends))
 
 
 def shingles_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
