@@ -51,3 +51,26 @@ def test_hosts(spark):
     urls = ["HTTP://www.A.org:80/x?y#z", "//u:p@b.org", "https://c.org#d", "nothing", None]
     got = spark.createDataFrame([(u,) for u in urls], "u string").select(html_extract.host_of(F.col("u")))
     assert [r[0] for r in got.collect()] == ["a.org", "b.org", "c.org", "", ""]
+
+
+ARTICLE = "the text of the article of this page, said in so many words. " * 8
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attribute_values_are_no_text(quote):
+    inner = {"'": '"', '"': "'"}[quote]
+    value = f"data:image/svg+xml,<svg><path d={inner}M0{inner}/></svg></div></article><p>foreign text " + "<i>x</i> = {} " * 1500
+    page = f"<html><body><article><p data-more={quote}{value}{quote} id=a>{ARTICLE}</p><img src = {quote}{value}{quote}><p>tail</article><p>after</body></html>"
+    assert html_text.text_under(html_text.read(page), "/html/body/article") == f"{ARTICLE.strip()} tail"
+    assert "foreign" not in " ".join(text for text, _, _ in html_text.read(page).blocks)
+
+
+@pytest.mark.parametrize("tag", ["<p class=x\">", "<p it's>", "<p \"a' b>", "<p title=a?b=\"c>", "<p class=\"open>", "<p a = \"x>y\" b='>'>", "<p a==\"b>"])
+def test_a_quote_is_stray_by_its_place(tag):
+    page = html_text.read(f"<body>{tag}one</p><p>two</p></body>")
+    assert [text for text, _, _ in page.blocks] == ["one", "two"]
+
+
+def test_many_quoted_ends_take_linear_time():
+    page = "<p a=\"" + ">" * 200_000 + "\">x" + "<b c='>'>" * 20_000
+    assert html_text.text_under(html_text.read(page), None) == "x"

@@ -46,6 +46,8 @@ CONTENT = frozenset("content article main post entry story body text page wrappe
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>]*+")
+#: The end of a tag, or what begins a value: a quote (group 1) or the unquoted value itself.
+_TAG_STOP = re.compile(r""">|=\s*+(?:(["'])|[^\s>]*+)""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -154,26 +156,22 @@ class _Reader:
 
 
 def _tag_end(page: str, at: int, no_quote: set[str]) -> int:
-    """The ``>`` of the tag that begins at ``at``, passing over quoted values; -1 if none."""
-    end = page.find(">", at)
-    while end > 0:
-        inside = page[at:end]
-        quote = ""
-        for c in inside:
-            if quote:
-                quote = "" if c == quote else quote
-            elif c in "\"'":
-                quote = c
-        if not quote or quote in no_quote:
-            return end
-        close = page.find(quote, end)
-        if close < 0:
-            no_quote.add(quote)
-            return end
-        if close - end > 4096:
-            return end  # a stray quote, not a value
-        end = page.find(">", close)
-    return end
+    """The ``>`` of the tag that begins at ``at``, passing over quoted values; -1 if none.
+
+    A quote opens a value only behind ``=``, and the value goes on to the closing quote however
+    far that is. Any other quote, and one that nothing closes, is a stray character.
+    """
+    while found := _TAG_STOP.search(page, at):
+        if found.group() == ">":
+            return found.start()
+        at, quote = found.end(), found.group(1)
+        if quote and quote not in no_quote:
+            close = page.find(quote, at)
+            if close < 0:
+                no_quote.add(quote)
+            else:
+                at = close + 1
+    return -1
 
 
 def read(page: str) -> Page:
