@@ -74,3 +74,25 @@ def test_a_quote_is_stray_by_its_place(tag):
 def test_many_quoted_ends_take_linear_time():
     page = "<p a=\"" + ">" * 200_000 + "\">x" + "<b c='>'>" * 20_000
     assert html_text.text_under(html_text.read(page), None) == "x"
+
+
+@pytest.mark.parametrize("levels, classes", [(13, 15), (700, 1)])
+def test_long_paths_vote(spark, levels, classes):
+    utility = " ".join(f"md:w-{'x' * n}/2" for n in range(classes))
+    opened = "".join(f'<div class="{utility} l{"abcdefghijklmnopqrstuvwxyz"[k % 26]}">' for k in range(levels))
+    teaser = '<div class="box"><p>' + "teaser text of another page " * 20 + "</p></div>"
+    article = f'<div class="prose {utility}"><p>' + "real text of the page " * 40 + "#</p></div>"
+    page = f"<html><body>{opened}{article}{teaser}{'</div>' * levels}</body></html>"
+    short = page.replace("real text of the page ", "")  # its own best container is the teaser
+    pages = site("a.org", 10, page) + [("http://a.org/short", short)]
+    table = spark.createDataFrame([(i, u, h, "") for i, (u, h) in enumerate(pages)], "page_id long, url string, html string, text string")
+    rows = {r.url: r.text for r in html_extract.extract(table).collect()}
+    assert rows["https://a.org/3"] == "real text of the page " * 40 + "3"
+    assert rows["http://a.org/short"] == "#"
+
+
+def test_keys_have_one_size_and_tell_paths_apart():
+    page = html_text.read("<div class='a/b'><div><div>x" + "</div>" * 3 + "<div class='a'><div class='b'>y")
+    keys = [key for key, _ in page.containers]
+    assert {len(key) for key in keys} == {32} and len(set(keys)) == len(keys)
+    assert html_text.text_under(page, "/div.a/b/div/div") == "x" and html_text.depths(page) == [0, 1, 2, 3, 1, 2]

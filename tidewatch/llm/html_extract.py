@@ -2,7 +2,7 @@
 
 First pass: each page's containers are scored by their text outside links, and
 those near the best vote for their path (tags and classes from the root, figures
-made alike). Votes are added per host and path, before the shuffle as far as
+made alike, as a hash of one size). Votes are added per host and path, before the shuffle as far as
 possible, and a host's paths with at least ``MIN_SHARE`` of its leading path's
 votes are its consensus, best first. Second pass: each page is read again and
 gives the text under the first consensus path that it has. A page with none of
@@ -27,8 +27,7 @@ from tidewatch.llm.common import rest, text_udf
 VOTING_SHARE = 0.5
 #: Of the leading path's votes; bounds a host's consensus to a handful of paths.
 MIN_SHARE = 0.05
-MAX_PATH = 2000
-VOTES_TYPE = "array<struct<path:string,vote:double>>"
+VOTES_TYPE = "array<struct<path:string,depth:int,vote:double>>"
 
 
 def host_of(url: Column) -> Column:
@@ -43,12 +42,12 @@ def _votes(pages: pa.Array) -> pa.Array:
         page = html_text.read(raw)
         found = html_text.scores(page)
         best = max(found)
-        votes: dict[str, float] = {}
-        for (path, _), score in zip(page.containers, found, strict=True):
-            if best > 0 and score >= VOTING_SHARE * best and len(path) <= MAX_PATH:
-                votes[path] = max(votes.get(path, 0.0), score / best)
-        rows.append([{"path": p, "vote": v} for p, v in votes.items()])
-    item = pa.struct([("path", pa.string()), ("vote", pa.float64())])
+        votes: dict[tuple[str, int], float] = {}
+        for (path, _), depth, score in zip(page.containers, html_text.depths(page), found, strict=True):
+            if best > 0 and score >= VOTING_SHARE * best:
+                votes[path, depth] = max(votes.get((path, depth), 0.0), score / best)
+        rows.append([{"path": p, "depth": d, "vote": v} for (p, d), v in votes.items()])
+    item = pa.struct([("path", pa.string()), ("depth", pa.int32()), ("vote", pa.float64())])
     return pa.array(rows, pa.list_(item))
 
 
@@ -56,14 +55,14 @@ def consensus(pages: DataFrame) -> DataFrame:
     """Rows host, paths: the paths a host's pages agree on, best first."""
     votes = pages.select(host_of(F.col("url")).alias("host"), text_udf(_votes, VOTES_TYPE)(F.col("html")).alias("v"))
     each = votes.select("host", F.explode("v").alias("v")).select("host", "v.*")
-    added = each.groupBy("host", "path").agg(F.sum("vote").alias("votes"))
+    added = each.groupBy("host", "path", "depth").agg(F.sum("vote").alias("votes"))
     lead = added.groupBy("host").agg(F.max("votes").alias("lead"))
     lead = lead.withColumnRenamed("host", "lead_host")
     kept = added.join(lead, F.col("host") == F.col("lead_host")).where(
         F.col("votes") >= MIN_SHARE * F.col("lead")
     )
-    # Rounded, so that the order of addition cannot change the order of paths.
-    ranked = F.struct((-F.round("votes", 6)).alias("o"), "path")
+    # Rounded, so that the order of addition cannot change the order of paths; of equals, the outer one.
+    ranked = F.struct((-F.round("votes", 6)).alias("o"), "depth", "path")
     ordered = F.sort_array(F.collect_list(ranked))
     return kept.groupBy("host").agg(F.transform(ordered, lambda r: r["path"]).alias("paths"))
 
@@ -76,8 +75,8 @@ def _extract(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
             own = {path for path, _ in page.containers}
             path = next((p for p in known.as_py() or () if p in own), None)
             # A page may have the path and nothing in it.
-            text = html_text.text_under(page, path)
-            texts.append(text if text or path is None else html_text.text_under(page, None))
+            text = html_text.text_at(page, path)
+            texts.append(text if text or path is None else html_text.text_at(page, None))
         yield pa.array(texts, pa.string())
 
 

@@ -7,6 +7,7 @@ is left out on the way.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from dataclasses import dataclass, field
@@ -51,11 +52,20 @@ _TAG_STOP = re.compile(r""">|=\s*+(?:(["'])|[^\s>]*+)""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
+def _path_hash(path: str = ""):
+    return hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16)
+
+
+def key_of(path: str) -> str:
+    """The key of a path, of one size however long the path is; a page never holds the path itself."""
+    return _path_hash(path).hexdigest()
+
+
 @dataclass
 class Page:
-    """``containers[i]`` is (path, parent); ``blocks`` has (text, link characters, container)."""
+    """``containers[i]`` is (key of its path, parent); ``blocks`` has (text, link characters, container)."""
 
-    containers: list[tuple[str, int]] = field(default_factory=lambda: [("", -1)])
+    containers: list[tuple[str, int]] = field(default_factory=lambda: [(key_of(""), -1)])
     blocks: list[tuple[str, int, int]] = field(default_factory=list)
 
 
@@ -86,6 +96,7 @@ def _step(name: str, given: dict[str, str]) -> str:
 class _Reader:
     def __init__(self) -> None:
         self.page = Page()
+        self.hashes = [_path_hash()]  # of each container's path, to go on from
         self.stack: list[tuple[str, int, bool]] = []  # name, container, dropped
         self.parts: list[str] = []
         self.link_chars = 0
@@ -129,8 +140,10 @@ class _Reader:
             in_article = any(n in ("article", "main") for n, _, _ in self.stack)
             dropped = _is_dropped(name, given, in_article)
         if name in CONTAINERS and not dropped:
-            path = self.page.containers[container][0]
-            self.page.containers.append((f"{path}/{_step(name, given)}", container))
+            path = self.hashes[container].copy()
+            path.update(f"/{_step(name, given)}".encode("utf-8", "surrogatepass"))
+            self.hashes.append(path)
+            self.page.containers.append((path.hexdigest(), container))
             container = len(self.page.containers) - 1
         self.stack.append((name, container, dropped))
 
@@ -228,13 +241,26 @@ def scores(page: Page) -> list[float]:
     return found
 
 
+def depths(page: Page) -> list[int]:
+    """Of each container: the steps of its path."""
+    found = [0] * len(page.containers)
+    for i, (_, parent) in enumerate(page.containers):
+        found[i] = found[parent] + 1 if parent >= 0 else 0
+    return found
+
+
 def text_under(page: Page, path: str | None) -> str:
     """Blocks in containers of this path, in page order; None is the best container's."""
-    if path is None:
+    return text_at(page, None if path is None else key_of(path))
+
+
+def text_at(page: Page, key: str | None) -> str:
+    """Likewise, by the path's key."""
+    if key is None:
         found = scores(page)
         wanted = {max(range(len(found)), key=lambda i: (found[i], -i))} if page.blocks else set()
     else:
-        wanted = {i for i, (own, _) in enumerate(page.containers) if own == path}
+        wanted = {i for i, (own, _) in enumerate(page.containers) if own == key}
     inside = [False] * len(page.containers)
     for i, (_, parent) in enumerate(page.containers):
         inside[i] = i in wanted or (parent >= 0 and inside[parent])
