@@ -135,3 +135,11 @@ def test_the_sample_is_bounded_and_repeats(spark):
     one, two = (labelled_sample(docs.repartition(n), labelled, 20, 100).to_pylist() for n in (2, 5))
     assert one == two and len(one) == 40
     assert labelled_sample(docs, labelled, 20, 3).num_rows == 0
+
+
+def test_long_and_absent_documents_are_replaced_in_the_sample(spark):
+    size = F.when(F.col("id") % 20 < 2, 5).otherwise(500).cast("int")
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), size).alias("text"))
+    labelled = spark.range(4_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("label"))
+    found = labelled_sample(docs, labelled.union(labelled), 60, 100).to_pydict()
+    assert sorted(found["label"]) == [0] * 60 + [1] * 60 and set(found["text"]) == {"xxxxx"}

@@ -12,20 +12,24 @@ def labelled_sample(
 ) -> pa.Table:
     """``text, label`` of at most ``per_label`` documents of each label.
 
-    ``labelled`` has ``doc_id, label``. Documents are chosen by a hash of their id,
-    before any text is read, and only those of at most ``max_chars`` characters are
-    used, so the sample is bounded in rows and bytes whatever the table's size.
+    ``labelled`` has ``doc_id, label``. Only documents with a text of at most ``max_chars``
+    characters are usable; of these ids, those first by a hash are chosen, before any text is
+    moved. So the sample is bounded in rows and bytes whatever the table's size, and it is
+    full if there are enough usable documents.
     """
+    usable = docs.where(F.length("text").between(1, max_chars))
+    present = labelled.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).join(
+        usable.select(F.col("doc_id").alias("_usable")), F.col("doc_id") == F.col("_usable"), "left_semi"
+    )
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        labelled.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", "label")
+        present.select("doc_id", "label")
         .distinct()
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_label)
         .select(F.col("doc_id").alias("_doc_id"), "label")
     )
-    texts = docs.select("doc_id", "text").where(F.length("text").between(1, max_chars))
+    texts = usable.select("doc_id", "text")
     # Bounded by per_label, so it may be broadcast at any size of the table.
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_doc_id"))
     once = found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
