@@ -77,3 +77,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert d.drop_leaks(odd_docs, benchmark).count() == odd_docs.count() - 2
     assert d.drop_leaks(odd_docs, benchmark.limit(0)).count() == odd_docs.count()
     assert d.find(no_docs, benchmark).isEmpty()
+
+
+def test_items_of_one_word_are_found(spark):
+    rng = random.Random(3)
+    items = [(1, "zweiundvierzig"), (2, "これは一つの短い問題です。"), (3, "yes yes yes"), (4, " ".join(f"w{k}" for k in range(30)))]
+    docs = [(i, prose(rng, 60)) for i in range(40)] + [(100 + i, t) for i, t in items]
+    docs += [(201, "Zweiundvierzig!"), (204, "w7"), (205, "w7 w9")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.find(table, benchmark).collect()}
+    assert found == {(101, 1), (102, 2), (103, 3), (104, 4), (201, 1)}

@@ -9,6 +9,7 @@ candidates. A candidate is confirmed by the longest common subsequence of words
 with the whole item, and between ``PARAPHRASE`` and ``COPY`` by finding the item's
 answer too: what follows ``Answer:``, else its last sentence.
 
+A candidate has two index terms of the benchmark, or one for an item that has no more.
 Passages are ``2 * HALF`` words long and overlap by half. Candidates are first held
 against an upper bound of the subsequence, which loses none. The benchmark is
 worked in blocks of a bounded number of passages, so what the driver and each
@@ -68,6 +69,7 @@ class Space:
     terms: np.ndarray  # sorted hashes
     project: np.ndarray  # terms x rank
     targets: np.ndarray  # rank x passages
+    least: np.ndarray  # of each item passage: index terms that a candidate has at least
 
 
 def answer_of(text: str) -> str:
@@ -329,6 +331,14 @@ def _leading(basis: np.ndarray, moved: np.ndarray, rank: int) -> np.ndarray:
     return left[:, :rank]
 
 
+def least_terms(block: Block, chosen: np.ndarray) -> np.ndarray:
+    """Two, or one where no passage of the item has more than one index term."""
+    own = np.array([np.isin(terms, chosen).sum() for terms in block.passage_terms])
+    most = np.zeros(len(block.items), np.int64)
+    np.maximum.at(most, block.passage_item, own)
+    return np.minimum(2, most)[block.passage_item]
+
+
 def latent_space(docs: DataFrame, block: Block, seed: int = 3) -> Space | None:
     """Randomised SVD of the corpus's and the block's passages."""
     if len(block.vocabulary) == 0:
@@ -355,7 +365,8 @@ def latent_space(docs: DataFrame, block: Block, seed: int = 3) -> Space | None:
     project = (weight[:, None] * basis).astype(np.float32)
     targets = items @ basis
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-12)
-    return Space(block, block.vocabulary[chosen], project, targets.T.astype(np.float32))
+    targets = targets.T.astype(np.float32)
+    return Space(block, block.vocabulary[chosen], project, targets, least_terms(block, chosen))
 
 
 def common_subsequence(item: np.ndarray, text: np.ndarray) -> int:
@@ -446,7 +457,7 @@ def _search_part(column, space, counters, found, halves, first, begin, own, sums
     length = np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
     cosine = (rows @ space.targets) / length
     for row, passage in zip(*np.nonzero(cosine >= COSINE), strict=True):
-        if number[row] < 2:
+        if number[row] < space.least[passage]:
             continue
         doc, item = owner[a + row], int(space.block.passage_item[passage])
         known = hits[doc].get(item)
