@@ -1,16 +1,14 @@
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from support import HOME, START  # noqa: E402
 from tidewatch.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,13 +27,10 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-START = datetime(2026, 3, 1, 12, 0, 0)
 TXN_COLUMNS = (
     "transaction_id string, user_id string, amount double, event_time timestamp, "
     "latitude double, longitude double"
 )
-HOME = (40.0, -74.0)
-FAR = (34.0, -118.0)
 
 
 @pytest.fixture

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import CHECK
+from support import CHECK
 
 import __spark_entry__ as spark_entry
 

@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAR, HOME, START
+from support import FAR, HOME, START
 from tidewatch.config import RULES, RuleConfig
 from tidewatch.operators import rapid_fire, routing, rules, validate
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAR, HOME, START, SMALL
+from support import FAR, HOME, START, SMALL
 from tidewatch.config import RuleConfig, StreamConfig
 from tidewatch.plans import reports
 from tidewatch.plans.scoring import score_transactions

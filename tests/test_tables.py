@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAR, HOME, SMALL
+from support import FAR, HOME, SMALL
 from tidewatch.config import RuleConfig, StreamConfig
 from tidewatch.functions.messages import iso_string, parse_transactions
 from tidewatch.plans import reports
