@@ -16,6 +16,7 @@ from tidewatch.llm import (
     mixing,
     neighbours,
     pii,
+    secrets,
     token_counts,
     toxicity,
 )
@@ -103,6 +104,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secrets.find(F.col("text")).alias("s"))
+    spans = F.col("s")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+        secrets.as_text(spans).alias("spans"),
+    )
+
+
 def _license_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in licenses.KNOWN)
@@ -170,4 +185,8 @@ SELECT doc_id, least(doc_id, coalesce(class_id, doc_id)) AS class_id,
        coalesce(n_links, 0) AS n_links, coalesce(n_copies, 1) AS n_copies
 FROM words LEFT JOIN class USING (r) LEFT JOIN counts USING (r)"""
 
-ORACLES = {"op6_jaccard_join": JACCARD_SQL, "op10_license_scan": _license_sql()}
+ORACLES = {
+    "op6_jaccard_join": JACCARD_SQL,
+    "op10_license_scan": _license_sql(),
+    "op12_secret_scan": secrets.scan_sql(),
+}
