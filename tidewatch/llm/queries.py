@@ -17,6 +17,7 @@ from tidewatch.llm import (
     neighbours,
     pii,
     secrets,
+    token_align,
     token_counts,
     toxicity,
 )
@@ -118,6 +119,11 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.compare(table(spark, sf_dir, "documents"))
+
+
 def _license_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in licenses.KNOWN)
