@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
+    collocations,
     decontaminate,
     html_extract,
     jaccard_join,
@@ -105,6 +106,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -194,5 +200,6 @@ FROM words LEFT JOIN class USING (r) LEFT JOIN counts USING (r)"""
 ORACLES = {
     "op6_jaccard_join": JACCARD_SQL,
     "op10_license_scan": _license_sql(),
+    "op11_phrase_collocations": collocations.mine_sql(),
     "op12_secret_scan": secrets.scan_sql(),
 }
