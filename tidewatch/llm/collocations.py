@@ -28,6 +28,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from tidewatch.llm.common import bytes_of, chunks, rest, segments
 #: Every how many documents one is in the sample, and the limit there as a share of the
 #: count to be expected of a phrase that is just frequent.
 SAMPLE_EVERY = 4
-LOWERED = 0.75
+LOWERED = 0.8
 #: Bits of the Bloom filter, and the bits that each phrase sets.
 FILTER_BITS = 1 << 26
 FILTER_HASHES = 3
@@ -51,7 +52,8 @@ _LOWER[65:91] += 32
 _BLANK, _BREAK = np.zeros(256, bool), np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-COUNTS = "lang string, words int, phrase string, n long"
+#: A key is a language, a tab and a phrase: no word has a tab, so the last one parts them.
+COUNTS = "key string, n long"
 
 
 # --- words and phrases of a block -------------------------------------------
@@ -153,30 +155,29 @@ def counts_of(
     spelled = coded.dictionary
     # A word of two languages is two words; so is every phrase of it.
     pairs = lang_of[text] * max(len(spelled), 1) + coded.indices.to_numpy()
-    distinct, gram = np.unique(pairs, return_inverse=True)
+    distinct, first, gram, times = np.unique(
+        pairs, return_index=True, return_inverse=True, return_counts=True
+    )
     lang_number, word_number = np.divmod(distinct, max(len(spelled), 1))
     spelling = spelled.take(pa.array(word_number)).to_pylist()
     word_hash = np.array(
         [_word_hash(names[i], w) for i, w in zip(lang_number.tolist(), spelling)], np.uint64
     )
     word, hashes = gram, word_hash
-    found = [[], [], [], []]
+    leads = pa.array([name + "\t" for name in names], pa.string())
+    keys, numbers = [], []
 
-    def put(length: int, at: np.ndarray, numbers: np.ndarray) -> None:
+    def put(length: int, at: np.ndarray, times: np.ndarray) -> None:
         """Phrases of ``length`` words that stand at the given places."""
-        spelt = [words.take(pa.array(at + k)).to_pylist() for k in range(length)]
-        found[0] += [names[i] for i in lang_of[text[at]].tolist()]
-        found[1] += [length] * len(at)
-        found[2] += [" ".join(p) for p in zip(*spelt, strict=True)]
-        found[3] += numbers.tolist()
+        spelt = [words.take(pa.array(at + k)) for k in range(length)]
+        phrase = pc.binary_join_element_wise(*spelt, " ")
+        keys.append(pc.binary_join_element_wise(leads.take(pa.array(lang_of[text[at]])), phrase, ""))
+        numbers.append(times)
 
     if not before:
-        first = np.zeros(len(distinct), np.int64)
-        first[gram[::-1]] = np.arange(len(gram))[::-1]
-        put(1, first, np.bincount(gram, minlength=len(distinct)))
-        totals = np.bincount(lang_of[text], minlength=len(names))
-        for values, column in zip(found, (names, [0] * len(names), [""] * len(names), totals.tolist())):
-            values += column
+        put(1, first, times)
+        keys.append(leads)
+        numbers.append(np.bincount(lang_of[text], minlength=len(names)))
     # ``gram`` numbers the phrase at each place, -1 where none is looked at.
     for length in range(2, longest + 1):
         known = [hashes if f is None else f.has(hashes) for f in (now, *before)]
@@ -192,7 +193,7 @@ def counts_of(
         for flags in inside[1:]:
             old |= flags[inside[0]]
         codes = gram[here] * max(len(distinct), 1) + word[here + length - 1]
-        values, at, place, numbers = np.unique(
+        values, at, place, times = np.unique(
             codes, return_index=True, return_inverse=True, return_counts=True
         )
         prefix, last = np.divmod(values, max(len(distinct), 1))
@@ -200,10 +201,11 @@ def counts_of(
         gram = np.full(len(gram), -1, np.int64)
         gram[here] = place
         new = np.flatnonzero(~old[at])
-        put(length, here[at[new]], numbers[new])
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-    columns = [pa.array(values, kind) for values, kind in zip(found, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "n"])
+        put(length, here[at[new]], times[new])
+    columns = [pa.concat_arrays(keys), pa.array(np.concatenate(numbers))] if keys else [[], []]
+    kinds = (pa.string(), pa.int64())
+    columns = [pa.array(c, kind) for c, kind in zip(columns, kinds)] if not keys else columns
+    return pa.RecordBatch.from_arrays(columns, ["key", "n"])
 
 
 # --- passes -----------------------------------------------------------------
@@ -239,8 +241,13 @@ def counted(
             yield counts_of(texts, langs, longest, *filters)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    in_blocks = texts.mapInArrow(run, COUNTS)
-    return in_blocks.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", -1)
+    return texts.mapInArrow(run, COUNTS).groupBy("key").agg(F.sum("n").alias("n")).select(
+        F.expr("substring(key, 1, length(key) - locate('\t', reverse(key)))").alias("lang"),
+        F.when(F.endswith("key", F.lit("\t")), 0).otherwise(F.regexp_count(phrase, F.lit(" ")) + 1).alias("words"),
+        phrase.alias("phrase"),
+        "n",
+    )
 
 
 def filter_of(phrases: DataFrame, bits: int = FILTER_BITS) -> Callable[[], Filter]:
@@ -282,7 +289,8 @@ def frequent(
     Rows lang, words, phrase, n; and lang, n: the word occurrences of each language.
     ``on_pass`` is told how many phrases failed before each further pass.
     """
-    lowered = max(1, int(min_count / sample_every * LOWERED))
+    # Once in the sample is no sign of anything, unless all that is wanted is that rare.
+    lowered = max(min(2, min_count), int(min_count / sample_every * LOWERED))
     sample = counted(in_sample(docs, sample_every), longest).where(F.col("n") >= lowered)
     proposed = sample.where(F.col("words").between(1, longest - 1)).select("lang", "phrase")
     proposed = rest(proposed, "phrases_sample")
@@ -314,7 +322,8 @@ def _not_in(load: Callable[[], Filter]) -> Callable:
         for batch in batches:
             pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
             hashes = np.array([phrase_hash(*pair) for pair in pairs], np.uint64)
-            yield batch.filter(pa.array(~known.has(hashes)))
+            failed = batch.filter(pa.array(~known.has(hashes)))
+            yield pa.RecordBatch.from_arrays([failed.column("phrase"), failed.column("n")], ["key", "n"])
 
     return run
 
