@@ -109,11 +109,11 @@ def test_a_whole_table(spark, known):
 
 
 def test_blocks_share_the_corpus_counts(spark, known, monkeypatch):
-    """Blocks of few documents, on several partitions, and texts cut into many parts."""
+    """Blocks of few documents, on several partitions, and units aligned in small batches."""
     draw = random.Random(3)
     words = ["the", "tokenization", "of", "Größe", "\n", "x=1;", "東京", "naïve", "(see)", " "]
     texts = [" ".join(draw.choices(words, k=draw.randint(1, 200))) for _ in range(60)]
-    for name, value in (("PART", 40), ("BATCH", 300), ("BLOCK", 1_000)):
+    for name, value in (("BATCH", 30), ("BLOCK", 1_000)):
         monkeypatch.setattr(token_align, name, value)
     from pyspark import cloudpickle
 
@@ -125,13 +125,13 @@ def test_blocks_share_the_corpus_counts(spark, known, monkeypatch):
         cloudpickle.unregister_pickle_by_value(token_align)
 
 
-def test_long_texts_are_cut_where_no_token_crosses(known):
+def test_texts_are_cut_where_no_token_crosses(known):
     draw = random.Random(9)
     words = ["alpha", "beta's", "12,5", "  ", "\n", "(x)", "Änderung", "日本", "_a_", " ", "--"]
     text = " ".join(draw.choices(words, k=60_000))
-    parts = known.parts(text)
-    assert len(parts) > 3 and " ".join(parts) == text
-    coded = known.encode(parts)
+    units = known.units(text)
+    assert len(units) > 10_000 and " ".join(units) == text
+    coded = known.encode(units)
     assert [i for a, _ in coded for i in a] == known.a.encode(" " + text, add_special_tokens=False).ids
     assert [i for _, b in coded for i in b] == known.b.encode(text, num_threads=1)
 

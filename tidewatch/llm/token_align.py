@@ -8,15 +8,18 @@ border, and the difference of ranks of one token's ends is the range of tokens t
 overlap it, its links. ``LANE`` ends are galloped one after the other, all lanes of a batch
 at once; the lanes' own first ends are galloped in the same way, a level higher.
 
+A text is cut before each space that follows a letter, digit or underscore and does not end
+it: there neither tokenizer has a token across, so each unit between cuts (mostly a word with
+what stands before it) is encoded and aligned by itself, once per block of documents. A
+document is the sum of its units.
+
 How often an id pair is linked in the corpus is counted in two steps. A block of
-documents holds its distinct pairs and their numbers, so what is shuffled
-grows with distinct pairs per block, not with links. The totals go back to the blocks, and each
-document looks its pairs up in its block's list. The largest total per B id has one row
-per B token, so it may be broadcast at any size of the corpus.
+documents holds its distinct units, their distinct pairs and the pairs' numbers, so what is
+shuffled grows with those, not with links. The totals go back to the blocks, each unit looks its
+pairs up in its block's list, and each document its units. The largest total per B id has one
+row per B token, so it may be broadcast at any size of the corpus.
 
-A long text is cut before a space that follows a letter or digit, where neither tokenizer has
-a token across, into parts of about ``PART`` characters; so memory is bounded by the longest
-stretch without such a space.
+A task holds one block: documents of ``BLOCK`` characters, or one longer document.
 
 Texts that are null or empty, and texts of which one tokenizer's bytes differ from
 space + text, have no tokens: numbers 0, digest ''. Rows equal in all columns are rows of their
@@ -26,12 +29,15 @@ own. Other columns than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,14 +47,12 @@ from tidewatch.llm.common import list_array, rest, segments
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of a part of a text, and of the texts that are aligned together.
-PART, BATCH = 1 << 16, 1 << 18
-#: Characters of the documents that share one list of pairs.
-BLOCK = 1 << 23
+#: Characters of the documents that share one list of units, and of units aligned together.
+BLOCK, BATCH = 1 << 22, 1 << 18
 LANE = 32
 GROUPS = "array<struct<start:long,end:long,a:array<int>,b:array<int>>>"
 COUNTED = ("n_a", "n_b", "n_groups", "n_links")
-_CUT = re.compile(r"(?<=\w) ")
+_CUT = re.compile(r"(?<=\w) (?!\Z)")
 
 
 # --- the two vocabularies ---------------------------------------------------
@@ -74,6 +78,8 @@ class Tokenizers:
     """Both encoders, and the bytes of each token."""
 
     def __init__(self, a: bytes, b: bytes):
+        # Spark runs as many tasks as there are cores; each encodes in its own thread.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -92,24 +98,18 @@ class Tokenizers:
         self.a_width = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_width = np.array([len(t) for t in self.b_bytes], np.int64)
 
-    def parts(self, text: str) -> list[str]:
-        """The text in parts; the space before each part but the first is left out."""
-        if len(text) <= PART or not self.can_cut:
-            return [text]
-        found, start = [], 0
-        while cut := _CUT.search(text, start + PART):
-            found.append(text[start : cut.start()])
-            start = cut.end()
-        return [*found, text[start:]]
-
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """The ids of each part under A and B; None where the bytes are not those of the part."""
-        whole = [" " + part for part in parts]
+    def units(self, text: str) -> list[str]:
+        """The text cut into units; the space before each but the first is left out."""
+        return _CUT.split(text) if self.can_cut else [text]
+
+    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """The ids of each unit under A and B; None where the bytes are not those of the unit."""
+        whole = [" " + unit for unit in units]
         coded = self.a.encode_batch_fast(whole, add_special_tokens=False)
-        pieces = self.b.encode(parts, num_threads=1)
+        pieces = self.b.encode(units, num_threads=1)
         found = []
-        for part, encoding, b in zip(whole, coded, pieces, strict=True):
-            a, wanted = encoding.ids, part.encode()
+        for unit, encoding, b in zip(whole, coded, pieces, strict=True):
+            a, wanted = encoding.ids, unit.encode()
             same = (
                 b"".join(map(self.a_bytes.__getitem__, a)) == wanted
                 and b"".join(map(self.b_bytes.__getitem__, b)) == wanted
@@ -162,10 +162,10 @@ def ranks(driver: np.ndarray, longer: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Alignment:
-    """Many parts aligned together. Part ``i`` has ``n_a[i]`` A tokens, and so on.
+    """Many units aligned together. Unit ``i`` has ``n_a[i]`` A tokens, and so on.
 
     ``link_a`` and ``link_b`` are the ids of each link; ``group_a`` and ``group_b`` number
-    the group of each token from 0 over all parts.
+    the group of each token from 0 over all units.
     """
 
     a: np.ndarray
@@ -181,24 +181,24 @@ class Alignment:
 
 
 def align(coded: list[tuple[list[int], list[int]]], a_width: np.ndarray, b_width: np.ndarray) -> Alignment:
-    """Groups and links of parts that each have tokens of equal bytes under A and B."""
-    a = np.fromiter((i for ids, _ in coded for i in ids), np.int64)
-    b = np.fromiter((i for _, ids in coded for i in ids), np.int64)
+    """Groups and links of units that each have tokens of equal bytes under A and B."""
+    a = np.fromiter(chain.from_iterable(ids for ids, _ in coded), np.int64)
+    b = np.fromiter(chain.from_iterable(ids for _, ids in coded), np.int64)
     n_a = np.array([len(ids) for ids, _ in coded], np.int64)
     n_b = np.array([len(ids) for _, ids in coded], np.int64)
-    part_a, part_b = segments(n_a), segments(n_b)
-    # Parts follow each other without a gap, so ends ascend over all of them.
+    unit_a, unit_b = segments(n_a), segments(n_b)
+    # Units follow each other without a gap, so ends ascend over all of them.
     end_a, end_b = np.cumsum(a_width[a]), np.cumsum(b_width[b])
     a_drives = n_a <= n_b
-    drives_a, drives_b = a_drives[part_a], ~a_drives[part_b]
+    drives_a, drives_b = a_drives[unit_a], ~a_drives[unit_b]
 
-    # In part order: the shorter list of each part, and the longer one.
+    # In unit order: the shorter list of each unit, and the longer one.
     def merged(of_a: np.ndarray, of_b: np.ndarray, pick_a: np.ndarray, pick_b: np.ndarray):
-        part = np.concatenate([part_a[pick_a], part_b[pick_b]])
-        order = np.argsort(part, kind="stable")
-        return np.concatenate([of_a[pick_a], of_b[pick_b]])[order], part[order]
+        unit = np.concatenate([unit_a[pick_a], unit_b[pick_b]])
+        order = np.argsort(unit, kind="stable")
+        return np.concatenate([of_a[pick_a], of_b[pick_b]])[order], unit[order]
 
-    driver, part = merged(end_a, end_b, drives_a, drives_b)
+    driver, unit = merged(end_a, end_b, drives_a, drives_b)
     longer, _ = merged(end_a, end_b, ~drives_a, ~drives_b)
     driver_id, _ = merged(a, b, drives_a, drives_b)
     longer_id, _ = merged(a, b, ~drives_a, ~drives_b)
@@ -209,7 +209,7 @@ def align(coded: list[tuple[list[int], list[int]]], a_width: np.ndarray, b_width
     of_driver = segments(overlaps)
     of_longer = np.arange(len(of_driver)) - (np.cumsum(overlaps) - overlaps)[of_driver] + first[of_driver]
     left, right = driver_id[of_driver], longer_id[of_longer]
-    a_first = a_drives[part[of_driver]]
+    a_first = a_drives[unit[of_driver]]
     number = len(n_a)
     border = driver[met]  # the ends of groups
     return Alignment(
@@ -217,8 +217,8 @@ def align(coded: list[tuple[list[int], list[int]]], a_width: np.ndarray, b_width
         b=b,
         n_a=n_a,
         n_b=n_b,
-        n_groups=np.bincount(part[met], minlength=number),
-        n_links=np.bincount(part, overlaps, minlength=number).astype(np.int64),
+        n_groups=np.bincount(unit[met], minlength=number),
+        n_links=np.bincount(unit, overlaps, minlength=number).astype(np.int64),
         link_a=np.where(a_first, left, right),
         link_b=np.where(a_first, right, left),
         group_a=np.cumsum(np.isin(end_a, border)) - np.isin(end_a, border),
@@ -227,14 +227,14 @@ def align(coded: list[tuple[list[int], list[int]]], a_width: np.ndarray, b_width
 
 
 class GroupText:
-    """The text form of groups, ``a1,a2|b1;a3|b2,b3``, for many parts at once."""
+    """The text form of groups, ``a1,a2|b1;a3|b2,b3``, for many units at once."""
 
     def __init__(self, a_size: int, b_size: int):
         self.a = [np.array([f"{i}{c}" for i in range(a_size)], object) for c in ",|"]
         self.b = [np.array([f"{i}{c}" for i in range(b_size)], object) for c in ",;"]
 
     def of(self, found: Alignment) -> list[str]:
-        """One text per part, with ``;`` behind each group."""
+        """One text per unit, with ``;`` behind each group."""
         if len(found.a) == 0:
             return [""] * len(found.n_a)
         groups = int(found.group_a[-1]) + 1
@@ -255,74 +255,45 @@ class GroupText:
 # --- documents --------------------------------------------------------------
 
 
-class _Document:
-    """What is known of a document while its parts come in."""
-
-    def __init__(self):
-        self.counts = np.zeros(len(COUNTED), np.int64)
-        self.digest = hashlib.sha256()
-        self.pairs, self.times, self.held = [], [], 0
-        self.broken, self.begun = False, False
-
-    def add(self, counts: np.ndarray, codes: np.ndarray, text: str) -> None:
-        self.counts += counts
-        # Without the last ``;``, which only stands between groups.
-        self.digest.update((";" * self.begun + text[:-1]).encode())
-        self.begun = True
-        pairs, times = np.unique(codes, return_counts=True)
-        self.pairs.append(pairs)
-        self.times.append(times)
-        self.held += len(pairs)
-        if self.held > 1 << 20:  # a very long document: only distinct pairs are kept
-            self.pairs, self.times = ([x] for x in self.pairs_and_times())
-            self.held = len(self.pairs[0])
-
-    def pairs_and_times(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.broken or not self.pairs:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        if len(self.pairs) == 1:
-            return self.pairs[0], self.times[0]
-        return _summed(np.concatenate(self.pairs), np.concatenate(self.times))
-
-    def result(self) -> tuple:
-        if self.broken or not self.begun:
-            return (*[0] * len(COUNTED), "")
-        return (*self.counts.tolist(), self.digest.hexdigest())
-
-
-def _summed(values: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, place = np.unique(values, return_inverse=True)
-    return distinct, np.bincount(place, times, minlength=len(distinct)).astype(np.int64)
-
-
-def _aligned(texts: list[str], known: Tokenizers, shown: GroupText) -> list[_Document]:
-    """The documents of ``texts``, their parts aligned in batches of bounded size."""
-    documents = [_Document() for _ in texts]
-    waiting, size = [], 0
-
-    def work() -> None:
-        nonlocal waiting, size
-        coded = known.encode([part for _, part in waiting])
-        whole = [(d, c) for (d, _), c in zip(waiting, coded, strict=True) if c is not None]
-        for (d, _), c in zip(waiting, coded, strict=True):
-            d.broken |= c is None
-        found = align([c for _, c in whole], known.a_width, known.b_width)
-        codes = found.link_a * len(known.b_width) + found.link_b
-        ends = np.cumsum(found.n_links)
-        counts = np.stack([getattr(found, name) for name in COUNTED], axis=1)
-        for i, (text, (d, _)) in enumerate(zip(shown.of(found), whole, strict=True)):
-            d.add(counts[i], codes[ends[i] - found.n_links[i] : ends[i]], text)
-        waiting, size = [], 0
-
-    for document, text in zip(documents, texts, strict=True):
-        for part in known.parts(text) if text else []:
-            waiting.append((document, part))
-            size += len(part)
-            if size >= BATCH:
-                work()
-    if waiting:
-        work()
-    return documents
+class _Units:
+    """The distinct units of a block, numbered as they come in."""
+
+    def __init__(self, known: Tokenizers, shown: GroupText):
+        self.known, self.shown = known, shown
+        self.number: dict[str, int] = {}
+        self.counts, self.texts, self.whole, self.codes = [], [], [], []
+        self.waiting, self.size = [], 0
+
+    def of(self, text: str) -> np.ndarray:
+        """The numbers of a text's units in order."""
+        number, waiting = self.number, self.waiting
+        units = self.known.units(text)
+        found = np.empty(len(units), np.int64)
+        for i, unit in enumerate(units):
+            at = number.get(unit)
+            if at is None:
+                at = number[unit] = len(number)
+                waiting.append(unit)
+                self.size += len(unit)
+                if self.size >= BATCH:
+                    self.align()
+                    waiting = self.waiting
+            found[i] = at
+        return found
+
+    def align(self) -> None:
+        """Encode and align the units that have come in since."""
+        coded = self.known.encode(self.waiting)
+        whole = np.array([c is not None for c in coded], bool)
+        found = align([c or ([], []) for c in coded], self.known.a_width, self.known.b_width)
+        self.whole.append(whole)
+        self.counts.append(np.stack([getattr(found, name) for name in COUNTED], axis=1))
+        self.codes.append(found.link_a * len(self.known.b_width) + found.link_b)
+        self.texts += [text[:-1] for text in self.shown.of(found)]
+        self.waiting, self.size = [], 0
+
+    def __len__(self) -> int:
+        return len(self.number)
 
 
 def _read_files(spark: SparkSession, a: str, b: str) -> Callable[[], Tokenizers]:
@@ -333,29 +304,49 @@ def _read_files(spark: SparkSession, a: str, b: str) -> Callable[[], Tokenizers]
     return lambda: Tokenizers(*[file.value for file in files])
 
 
-def _block(ids: list, documents: list[_Document], kind: pa.DataType, schema: pa.Schema, number: int) -> pa.RecordBatch:
-    """One row per document, its pairs as places in the block's list, and a row with that list."""
-    held = [d.pairs_and_times() for d in documents]
-    sizes = np.array([len(p) for p, _ in held], np.int64)
-    pairs = np.concatenate([p for p, _ in held])
-    times = np.concatenate([t for _, t in held])
-    codes, place = np.unique(pairs, return_inverse=True)
-    totals = np.bincount(place, times, minlength=len(codes)).astype(np.int64)
-    results = list(zip(*[d.result() for d in documents], strict=True))
+def _block(ids: list, documents: list[np.ndarray], units: _Units, schema: pa.Schema, number: int) -> pa.RecordBatch:
+    """One row per document, with its distinct units, and a row with the block's lists."""
+    units.align()
+    counts, whole = np.concatenate(units.counts), np.concatenate(units.whole)
+    codes, links = np.concatenate(units.codes), counts[:, COUNTED.index("n_links")]
+    results, held, times = [], [], []
+    used = np.zeros(len(units), np.int64)
+    for found in documents:
+        if len(found) == 0 or not whole[found].all():
+            results.append((*[0] * len(COUNTED), ""))
+            found = found[:0]
+        else:
+            text = ";".join([units.texts[i] for i in found.tolist()])
+            digest = hashlib.sha256(text.encode()).hexdigest()
+            results.append((*counts[found].sum(axis=0).tolist(), digest))
+        distinct, repeats = np.unique(found, return_counts=True)
+        held.append(distinct)
+        times.append(repeats)
+        used[distinct] += repeats
+    pairs, place = np.unique(codes, return_inverse=True)
+    totals = np.zeros(len(pairs), np.int64)
+    np.add.at(totals, place, used[segments(links)])
+    sizes = np.array([len(h) for h in held], np.int64)
     rows = len(documents)
-    tail = lambda n: np.concatenate([np.zeros(rows, np.int64), [n]])
+    numbers = list(zip(*results, strict=True))
+
+    def last_row(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        return list_array(values, np.append(np.zeros(rows, np.int64), len(values)), kind)
+
     columns = [
-        pa.array([*ids, None], kind),
-        *[pa.array([*c, 0], pa.int64()) for c in results[:-1]],
-        pa.array([*results[-1], ""], pa.string()),
+        pa.array([*ids, None], schema.field("doc_id").type),
+        *[pa.array([*c, 0], pa.int64()) for c in numbers[:-1]],
+        pa.array([*numbers[-1], ""], pa.string()),
         pa.array([number] * (rows + 1), pa.int64()),
         pa.array([False] * rows + [True]),
-        list_array(place.astype(np.int32), np.append(sizes, 0), pa.int32()),
-        list_array(times, np.append(sizes, 0), pa.int64()),
-        list_array(codes, tail(len(codes)), pa.int64()),
-        list_array(totals, tail(len(codes)), pa.int64()),
+        list_array(np.concatenate(held).astype(np.int32), np.append(sizes, 0), pa.int32()),
+        list_array(np.concatenate(times).astype(np.int32), np.append(sizes, 0), pa.int32()),
+        last_row(pairs, pa.int64()),
+        last_row(totals, pa.int64()),
+        last_row(links.astype(np.int32), pa.int32()),
+        last_row(place.astype(np.int32), pa.int32()),
     ]
-    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def _blocks(load: Callable[[], Tokenizers]) -> Callable:
@@ -363,60 +354,57 @@ def _blocks(load: Callable[[], Tokenizers]) -> Callable:
         known = load()
         shown = GroupText(len(known.a_width), len(known.b_width))
         partition, number = TaskContext.get().partitionId(), 0
-        ids, documents, size, kind = [], [], 0, None
+        ids, documents, size, units, schema = [], [], 0, _Units(known, shown), None
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
             schema = pa.schema(
                 [
-                    ("doc_id", kind),
+                    ("doc_id", batch.schema.field("doc_id").type),
                     *[(name, pa.int64()) for name in COUNTED],
                     ("groups_sha256", pa.string()),
                     ("block", pa.int64()),
                     ("is_list", pa.bool_()),
-                    ("pairs", pa.list_(pa.int32())),
-                    ("times", pa.list_(pa.int64())),
+                    ("units", pa.list_(pa.int32())),
+                    ("times", pa.list_(pa.int32())),
                     ("codes", pa.list_(pa.int64())),
                     ("totals", pa.list_(pa.int64())),
+                    ("links", pa.list_(pa.int32())),
+                    ("places", pa.list_(pa.int32())),
                 ]
             )
-            start = 0
-            lengths = np.array([len(t) if t else 0 for t in batch.column("text").to_pylist()])
-            while start < batch.num_rows:  # some documents at a time
-                stop = start + 1
-                taken = lengths[start]
-                while stop < batch.num_rows and taken < BATCH:
-                    taken += lengths[stop]
-                    stop += 1
-                part = batch.slice(start, stop - start)
-                documents += _aligned(part.column("text").to_pylist(), known, shown)
-                ids += part.column("doc_id").to_pylist()
-                size, start = size + int(taken), stop
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                text = text.as_py() or ""
+                ids.append(doc_id)
+                documents.append(units.of(text) if text else np.empty(0, np.int64))
+                size += len(text)
                 if size >= BLOCK:
-                    yield _block(ids, documents, kind, schema, (partition << 32) + number)
-                    ids, documents, size, number = [], [], 0, number + 1
+                    yield _block(ids, documents, units, schema, (partition << 32) + number)
+                    ids, documents, size, units = [], [], 0, _Units(known, shown)
+                    number += 1
         if documents:
-            yield _block(ids, documents, kind, schema, (partition << 32) + number)
+            yield _block(ids, documents, units, schema, (partition << 32) + number)
 
     return run
 
 
-def _look_up(docs: pa.Table, listed: pa.Table) -> pa.Table:
+def _look_up(rows: pa.Table, listed: pa.Table) -> pa.Table:
     """The documents of one block with the sums over their links."""
     size = listed.num_rows
-    totals, best = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    place = listed.column("place").to_numpy()
-    totals[place] = listed.column("total").to_numpy()
-    best[place] = listed.column("is_best").to_numpy()
-    pairs = docs.column("pairs").combine_chunks()
-    owner = segments(np.array(pairs.value_lengths(), np.int64))
-    flat, times = pairs.flatten().to_numpy(), docs.column("times").combine_chunks().flatten().to_numpy()
-    # Whole numbers: sums stay exact beyond 2^53.
-    n_best, count_sum = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows, np.int64)
-    np.add.at(n_best, owner, times * best[flat])
-    np.add.at(count_sum, owner, times * totals[flat])
+    values = np.zeros((2, size), np.int64)
+    values[:, listed.column("place").to_numpy()] = [listed.column(c).to_numpy() for c in ("is_best", "total")]
+    flat = lambda table, name: table.column(name).combine_chunks().flatten().to_numpy()
+    is_list = rows.column("is_list")
+    lists, docs = rows.filter(is_list), rows.filter(pc.invert(is_list))
+    links, places = flat(lists, "links"), flat(lists, "places")
+    held = docs.column("units").combine_chunks()
+    owner = segments(held.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    units, times = flat(docs, "units"), flat(docs, "times").astype(np.int64)
     kept = docs.select(["doc_id", *COUNTED])
-    for name, values in (("n_best", n_best), ("count_sum", count_sum)):
-        kept = kept.append_column(name, pa.array(values))
+    for name, value in zip(("n_best", "count_sum"), values, strict=True):
+        # Whole numbers all the way: sums stay exact beyond 2^53.
+        of_unit, of_document = np.zeros(len(links), np.int64), np.zeros(docs.num_rows, np.int64)
+        np.add.at(of_unit, segments(links), value[places])
+        np.add.at(of_document, owner, times * of_unit[units])
+        kept = kept.append_column(name, pa.array(of_document))
     return kept.append_column("groups_sha256", docs.column("groups_sha256"))
 
 
@@ -431,7 +419,7 @@ def compare(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> Data
     key = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     numbers = [T.StructField(name, T.LongType()) for name in COUNTED]
     digest = T.StructField("groups_sha256", T.StringType())
-    lists = "block long, is_list boolean, pairs array<int>, times array<long>, codes array<long>, totals array<long>"
+    lists = "block long, is_list boolean, units array<int>, times array<int>, codes array<long>, totals array<long>, links array<int>, places array<int>"
     schema = T.StructType([key, *numbers, digest, *T.StructType.fromDDL(lists).fields])
     texts = docs.select("doc_id", "text")
     aligned = rest(texts.mapInArrow(_blocks(load), schema), "token_align")
@@ -450,7 +438,7 @@ def compare(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> Data
 
     sums = [T.StructField(name, T.LongType()) for name in ("n_best", "count_sum")]
     result = T.StructType([key, *numbers, *sums, digest])
-    rows = aligned.where(~F.col("is_list")).select("doc_id", *COUNTED, "groups_sha256", "block", "pairs", "times")
+    rows = aligned.drop("codes", "totals")
     return rows.groupBy("block").cogroup(looked_up.groupBy("list_of")).applyInArrow(_look_up, result)
 
 
@@ -472,7 +460,7 @@ def groups(
 
 
 def _groups_of(text: str | None, known: Tokenizers) -> list[dict]:
-    coded = known.encode(known.parts(text)) if text else []
+    coded = known.encode(known.units(text)) if text else []
     if not coded or None in coded:
         return []
     found = align(coded, known.a_width, known.b_width)
