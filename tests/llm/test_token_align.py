@@ -113,7 +113,7 @@ def test_blocks_share_the_corpus_counts(spark, known, monkeypatch):
     draw = random.Random(3)
     words = ["the", "tokenization", "of", "Größe", "\n", "x=1;", "東京", "naïve", "(see)", " "]
     texts = [" ".join(draw.choices(words, k=draw.randint(1, 200))) for _ in range(60)]
-    for name, value in (("BATCH", 30), ("BLOCK", 1_000)):
+    for name, value in (("BATCH", 30), ("BLOCK", 1_000), ("UNITS", 12)):
         monkeypatch.setattr(token_align, name, value)
     from pyspark import cloudpickle
 

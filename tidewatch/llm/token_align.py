@@ -8,10 +8,10 @@ border, and the difference of ranks of one token's ends is the range of tokens t
 overlap it, its links. ``LANE`` ends are galloped one after the other, all lanes of a batch
 at once; the lanes' own first ends are galloped in the same way, a level higher.
 
-A text is cut before each space that follows a letter, digit or underscore and does not end
-it: there neither tokenizer has a token across, so each unit between cuts (mostly a word with
-what stands before it) is encoded and aligned by itself, once per block of documents. A
-document is the sum of its units.
+A text is cut before each space that follows no white space and does not end it: there neither
+tokenizer has a token across (A's pattern never takes a blank behind another character, and no
+piece of B has one there, which is looked up), so each unit between cuts, mostly a word, is
+encoded and aligned by itself, once per block of documents. A document is the sum of its units.
 
 How often an id pair is linked in the corpus is counted in two steps. A block of
 documents holds its distinct units, their distinct pairs and the pairs' numbers, so what is
@@ -19,7 +19,8 @@ shuffled grows with those, not with links. The totals go back to the blocks, eac
 pairs up in its block's list, and each document its units. The largest total per B id has one
 row per B token, so it may be broadcast at any size of the corpus.
 
-A task holds one block: documents of ``BLOCK`` characters, or one longer document.
+A task holds one block: documents of up to ``BLOCK`` characters or ``UNITS`` distinct units,
+and the document that goes beyond that.
 
 Texts that are null or empty, and texts of which one tokenizer's bytes differ from
 space + text, have no tokens: numbers 0, digest ''. Rows equal in all columns are rows of their
@@ -47,12 +48,14 @@ from tidewatch.llm.common import list_array, rest, segments
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-#: Characters of the documents that share one list of units, and of units aligned together.
-BLOCK, BATCH = 1 << 22, 1 << 18
+#: A block is full at so many characters, or so many distinct units.
+BLOCK, UNITS = 1 << 24, 1 << 18
+#: Characters of units that are aligned together.
+BATCH = 1 << 18
 LANE = 32
 GROUPS = "array<struct<start:long,end:long,a:array<int>,b:array<int>>>"
 COUNTED = ("n_a", "n_b", "n_groups", "n_links")
-_CUT = re.compile(r"(?<=\w) (?!\Z)")
+_CUT = re.compile(r"(?<=[^\s\u180e]) (?!\Z)")
 
 
 # --- the two vocabularies ---------------------------------------------------
@@ -266,20 +269,21 @@ class _Units:
 
     def of(self, text: str) -> np.ndarray:
         """The numbers of a text's units in order."""
-        number, waiting = self.number, self.waiting
+        number = self.number
         units = self.known.units(text)
-        found = np.empty(len(units), np.int64)
-        for i, unit in enumerate(units):
-            at = number.get(unit)
-            if at is None:
-                at = number[unit] = len(number)
-                waiting.append(unit)
-                self.size += len(unit)
-                if self.size >= BATCH:
-                    self.align()
-                    waiting = self.waiting
-            found[i] = at
-        return found
+        found = list(map(number.get, units))
+        if None in found:
+            for i, unit in enumerate(units):
+                if found[i] is None:
+                    at = number.get(unit)
+                    found[i] = len(number) if at is None else at
+                    if at is None:
+                        number[unit] = found[i]
+                        self.waiting.append(unit)
+                        self.size += len(unit)
+            if self.size >= BATCH:
+                self.align()
+        return np.array(found, np.int32)
 
     def align(self) -> None:
         """Encode and align the units that have come in since."""
@@ -374,9 +378,9 @@ def _blocks(load: Callable[[], Tokenizers]) -> Callable:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py() or ""
                 ids.append(doc_id)
-                documents.append(units.of(text) if text else np.empty(0, np.int64))
+                documents.append(units.of(text) if text else np.empty(0, np.int32))
                 size += len(text)
-                if size >= BLOCK:
+                if size >= BLOCK or len(units) >= UNITS:
                     yield _block(ids, documents, units, schema, (partition << 32) + number)
                     ids, documents, size, units = [], [], 0, _Units(known, shown)
                     number += 1
