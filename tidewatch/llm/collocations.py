@@ -6,16 +6,21 @@ that are one word shorter are frequent, or may be.
 
 1. A sample of documents, drawn by hash, is mined with a lowered limit.
 2. A full pass counts every word, and each longer phrase whose two parts are frequent in the
-   sample: the phrases that the sample proposes and their negative border, both exactly.
+   sample: the phrases that the sample proposes and their negative border.
 3. Where a word or phrase that is frequent in the corpus was not so in the sample (the border
    fails), phrases with it as a part have not been counted. The set of frequent phrases is
    enlarged by it, and a further pass counts the phrases that this opens. A pass may open longer
    ones, so this goes on until no border fails: at most as many passes as a phrase has words.
 
-The set travels as a Bloom filter of fixed size, whatever the corpus. A phrase that it takes
-for a member is counted in all documents or in none, so counts stay exact: a fuller filter
-costs time, never results. A task counts in blocks of bounded size, and only a block's distinct
-phrases are shuffled, summed before and after.
+These passes count by a hash of the phrase, as the border is many times the phrases that turn out
+to be frequent. A hash's count is never below that of its phrase, so none is missed; a
+last pass over all documents then counts the phrases of frequent hashes by their text. The counts
+that are returned are those, and exact.
+
+Sets of hashes travel as Bloom filters of fixed size, whatever the corpus. A phrase that a filter
+takes for a member is counted in all documents or in none: a fuller filter costs time, never
+results. A task counts in blocks of bounded size, and only a block's distinct phrases are
+shuffled, summed before and after.
 
 Null and empty texts have no words. A null language is ``und``, the same as that text. Rows
 equal in all columns are rows of their own, and count each. Other columns are not read.
@@ -52,8 +57,11 @@ _LOWER[65:91] += 32
 _BLANK, _BREAK = np.zeros(256, bool), np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
-#: A key is a language, a tab and a phrase: no word has a tab, so the last one parts them.
-COUNTS = "key string, n long"
+#: A text key is a language, a tab and a phrase: no word has a tab, so the last one parts them.
+TEXT_COUNTS = "key string, n long"
+#: A hash key is a phrase's hash, with its number of words in the lowest bits.
+HASH_COUNTS = "key long, n long"
+WORDS_MASK = 15
 
 
 # --- words and phrases of a block -------------------------------------------
@@ -108,23 +116,16 @@ def _phrase_hash(first: np.ndarray, last_word: np.ndarray) -> np.ndarray:
     return _mix(first * np.uint64(0x9E3779B97F4A7C15) + last_word)
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    first, *others = (np.uint64(_word_hash(lang, w)) for w in phrase.split(" "))
-    found = np.array([first], np.uint64)
-    for word in others:
-        found = _phrase_hash(found, np.array([word], np.uint64))
-    return int(found[0])
+def _tagged(hashes: np.ndarray, words: int) -> np.ndarray:
+    return hashes & ~np.uint64(WORDS_MASK) | np.uint64(words)
 
 
 class Filter:
-    """A Bloom filter over phrase hashes: never says no to a member."""
+    """A Bloom filter over hash keys: never says no to a member."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits  # uint64 words
 
-    def __contains__(self, phrase_hash: int) -> bool:
-        return bool(self.has(np.array([phrase_hash], np.uint64))[0])
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
         found = np.ones(len(hashes), bool)
         for place in filter_places(hashes, len(self.bits) * 64):
@@ -138,74 +139,78 @@ def filter_places(hashes: np.ndarray, size: int) -> list[np.ndarray]:
     return [_mix(hashes + np.uint64(k) * step) % np.uint64(size) for k in range(FILTER_HASHES)]
 
 
-def counts_of(
-    texts: pa.Array, langs: list[str], longest: int, now: Filter | None, before: list[Filter]
-) -> pa.RecordBatch:
-    """The distinct phrases of some texts and their counts, by language.
+class Block:
+    """The words of some texts, and their phrases of growing length."""
 
-    Words are counted if there is no filter ``before``, and in a row of 0 words all of a
-    language's word occurrences. A longer phrase is counted if both its
-    parts are in ``now`` (always, if that is None), and there is none ``before`` that both
-    are in: that phrase has been counted.
-    """
-    words, text, left = words_of(texts)
-    names = sorted(set(langs))
-    lang_of = np.array([names.index(lang) for lang in langs], np.int64)
-    coded = words.dictionary_encode()
-    spelled = coded.dictionary
-    # A word of two languages is two words; so is every phrase of it.
-    pairs = lang_of[text] * max(len(spelled), 1) + coded.indices.to_numpy()
-    distinct, first, gram, times = np.unique(
-        pairs, return_index=True, return_inverse=True, return_counts=True
-    )
-    lang_number, word_number = np.divmod(distinct, max(len(spelled), 1))
-    spelling = spelled.take(pa.array(word_number)).to_pylist()
-    word_hash = np.array(
-        [_word_hash(names[i], w) for i, w in zip(lang_number.tolist(), spelling)], np.uint64
-    )
-    word, hashes = gram, word_hash
-    leads = pa.array([name + "\t" for name in names], pa.string())
-    keys, numbers = [], []
-
-    def put(length: int, at: np.ndarray, times: np.ndarray) -> None:
-        """Phrases of ``length`` words that stand at the given places."""
-        spelt = [words.take(pa.array(at + k)) for k in range(length)]
-        phrase = pc.binary_join_element_wise(*spelt, " ")
-        keys.append(pc.binary_join_element_wise(leads.take(pa.array(lang_of[text[at]])), phrase, ""))
-        numbers.append(times)
-
-    if not before:
-        put(1, first, times)
-        keys.append(leads)
-        numbers.append(np.bincount(lang_of[text], minlength=len(names)))
-    # ``gram`` numbers the phrase at each place, -1 where none is looked at.
-    for length in range(2, longest + 1):
-        known = [hashes if f is None else f.has(hashes) for f in (now, *before)]
-        here = np.flatnonzero((left >= length) & (gram >= 0))
-        here = here[gram[np.minimum(here + 1, len(gram) - 1)] >= 0] if length > 2 else here
-        following = gram[here + 1] if len(here) else here
-        inside = [
-            np.ones(len(here), bool) if f is None else k[gram[here]] & k[following]
-            for f, k in zip((now, *before), known, strict=True)
-        ]
-        here = here[inside[0]]
-        old = np.zeros(len(here), bool)
-        for flags in inside[1:]:
-            old |= flags[inside[0]]
-        codes = gram[here] * max(len(distinct), 1) + word[here + length - 1]
-        values, at, place, times = np.unique(
-            codes, return_index=True, return_inverse=True, return_counts=True
+    def __init__(self, texts: pa.Array, langs: list[str]):
+        self.words, self.text, self.left = words_of(texts)
+        self.names = sorted(set(langs))
+        self.lang_of = np.array([self.names.index(lang) for lang in langs], np.int64)
+        coded = self.words.dictionary_encode()
+        spelled = coded.dictionary
+        # A word of two languages is two words; so is every phrase of it.
+        pairs = self.lang_of[self.text] * max(len(spelled), 1) + coded.indices.to_numpy()
+        distinct, self.first, self.word, self.times = np.unique(
+            pairs, return_index=True, return_inverse=True, return_counts=True
         )
-        prefix, last = np.divmod(values, max(len(distinct), 1))
-        hashes = _phrase_hash(hashes[prefix], word_hash[last])
-        gram = np.full(len(gram), -1, np.int64)
-        gram[here] = place
-        new = np.flatnonzero(~old[at])
-        put(length, here[at[new]], times[new])
-    columns = [pa.concat_arrays(keys), pa.array(np.concatenate(numbers))] if keys else [[], []]
-    kinds = (pa.string(), pa.int64())
-    columns = [pa.array(c, kind) for c, kind in zip(columns, kinds)] if not keys else columns
-    return pa.RecordBatch.from_arrays(columns, ["key", "n"])
+        lang, number = np.divmod(distinct, max(len(spelled), 1))
+        spelling = spelled.take(pa.array(number)).to_pylist()
+        hashes = [_word_hash(self.names[i], w) for i, w in zip(lang.tolist(), spelling)]
+        self.word_hash = np.array(hashes, np.uint64)
+
+    def phrases(
+        self, longest: int, now: Filter | None, before: list[Filter]
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Words, hash key, first place and number of the distinct phrases to be counted.
+
+        Words are, if there is no filter ``before``. A longer phrase is if both its parts are
+        in ``now`` (always, if that is None), and there is none ``before`` that both are
+        in: that phrase has been counted.
+        """
+        gram, hashes, number = self.word, self.word_hash, max(len(self.word_hash), 1)
+        if not before:
+            yield 1, _tagged(hashes, 1), self.first, self.times
+        # ``gram`` numbers the phrase at each place, -1 where none is looked at.
+        for length in range(2, longest + 1):
+            here = np.flatnonzero((self.left >= length) & (gram >= 0))
+            here = here[gram[here + 1] >= 0] if len(here) else here
+            keys, following = _tagged(hashes, length - 1), gram[here + 1] if len(here) else here
+            inside = [np.ones(len(here), bool)] if now is None else []
+            for known in ([] if now is None else [now]) + before:
+                member = known.has(keys)
+                inside.append(member[gram[here]] & member[following])
+            old = np.zeros(len(here), bool)
+            for counted_before in inside[1:]:
+                old |= counted_before
+            here, old = here[inside[0]], old[inside[0]]
+            codes = gram[here] * number + self.word[here + length - 1]
+            values, at, place, times = np.unique(
+                codes, return_index=True, return_inverse=True, return_counts=True
+            )
+            prefix, last = np.divmod(values, number)
+            hashes = _phrase_hash(hashes[prefix], self.word_hash[last])
+            gram = np.full(len(gram), -1, np.int64)
+            gram[here] = place
+            new = np.flatnonzero(~old[at])
+            yield length, _tagged(hashes[new], length), here[at[new]], times[new]
+
+    def hash_counts(self, longest: int, now: Filter | None, before: list[Filter]) -> pa.RecordBatch:
+        found = list(self.phrases(longest, now, before))
+        keys = np.concatenate([f[1] for f in found]).view(np.int64)
+        return pa.RecordBatch.from_arrays([keys, np.concatenate([f[3] for f in found])], ["key", "n"])
+
+    def text_counts(self, longest: int, wanted: Filter) -> pa.RecordBatch:
+        """The phrases in ``wanted``; and of each language, with an empty phrase, all its words."""
+        leads = pa.array([name + "\t" for name in self.names], pa.string())
+        texts, numbers = [leads], [np.bincount(self.lang_of[self.text], minlength=len(self.names))]
+        for length, keys, at, times in self.phrases(longest, wanted, []):
+            kept = wanted.has(keys)
+            at = at[kept]
+            spelt = [self.words.take(pa.array(at + k)) for k in range(length)]
+            lead = leads.take(pa.array(self.lang_of[self.text[at]]))
+            texts.append(pc.binary_join_element_wise(lead, pc.binary_join_element_wise(*spelt, " "), ""))
+            numbers.append(times[kept])
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(texts), np.concatenate(numbers)], ["key", "n"])
 
 
 # --- passes -----------------------------------------------------------------
@@ -229,49 +234,76 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.A
         yield pa.concat_arrays(held), langs
 
 
-def counted(
-    docs: DataFrame, longest: int, now: Callable | None = None, before: tuple[Callable, ...] = ()
-) -> DataFrame:
-    """One pass: lang, words, phrase, n. Filters are given as what loads them in a task."""
+def _counted(docs: DataFrame, schema: str, count: Callable) -> DataFrame:
     size = BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = now() if now else None, [load() for load in before]
+        of_block = count()
         for texts, langs in _blocks(batches, size):
-            yield counts_of(texts, langs, longest, *filters)
+            yield of_block(Block(texts, langs))
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    return texts.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def hash_counted(
+    docs: DataFrame, longest: int, now: Callable | None = None, before: tuple[Callable, ...] = ()
+) -> DataFrame:
+    """One pass by hash: key, n. Filters are given as what loads them in a task."""
+
+    def count() -> Callable[[Block], pa.RecordBatch]:
+        filters = now() if now else None, [load() for load in before]
+        return lambda block: block.hash_counts(longest, *filters)
+
+    return _counted(docs, HASH_COUNTS, count)
+
+
+def text_counted(docs: DataFrame, longest: int, wanted: Callable) -> DataFrame:
+    """The phrases of ``wanted`` hashes by their text: lang, words, phrase, n.
+
+    A row of 0 words has all word occurrences of its language.
+    """
+
+    def count() -> Callable[[Block], pa.RecordBatch]:
+        known = wanted()
+        return lambda block: block.text_counts(longest, known)
+
     phrase = F.substring_index("key", "\t", -1)
-    return texts.mapInArrow(run, COUNTS).groupBy("key").agg(F.sum("n").alias("n")).select(
-        F.expr("substring(key, 1, length(key) - locate('\t', reverse(key)))").alias("lang"),
-        F.when(F.endswith("key", F.lit("\t")), 0).otherwise(F.regexp_count(phrase, F.lit(" ")) + 1).alias("words"),
-        phrase.alias("phrase"),
-        "n",
+    lang = F.expr("substring(key, 1, length(key) - locate('\t', reverse(key)))")
+    words = F.when(F.endswith("key", F.lit("\t")), 0).otherwise(F.regexp_count(phrase, F.lit(" ")) + 1)
+    return _counted(docs, TEXT_COUNTS, count).select(
+        lang.alias("lang"), words.alias("words"), phrase.alias("phrase"), "n"
     )
 
 
-def filter_of(phrases: DataFrame, bits: int = FILTER_BITS) -> Callable[[], Filter]:
-    """A filter with all phrases, made on the cluster; its size is all that is collected."""
+def filter_of(keys: DataFrame, bits: int = FILTER_BITS) -> Callable[[], Filter]:
+    """A filter with all hash keys, made on the cluster; its size is all that is collected."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
-            hashes = np.array([phrase_hash(*pair) for pair in pairs], np.uint64)
-            place = np.concatenate(filter_places(hashes, bits)) if len(hashes) else hashes
-            columns = [
-                pa.array((place >> np.uint64(6)).astype(np.int64)),
-                pa.array(np.left_shift(np.uint64(1), place & np.uint64(63)).view(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "bits"])
-
-    words = phrases.select("lang", "phrase").mapInArrow(places, "word long, bits long")
+            place = np.concatenate(filter_places(batch.column("key").to_numpy().view(np.uint64), bits))
+            word = (place >> np.uint64(6)).astype(np.int64)
+            bit = np.left_shift(np.uint64(1), place & np.uint64(63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([word, bit], ["word", "bits"])
+
+    words = keys.select("key").mapInArrow(places, "word long, bits long")
     found = words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
     whole = np.zeros(bits // 64, np.uint64)
     whole[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    sent = phrases.sparkSession.sparkContext.broadcast(whole)  # bits / 8 bytes
+    sent = keys.sparkSession.sparkContext.broadcast(whole)  # bits / 8 bytes
     return lambda: Filter(sent.value)
 
 
+def _not_in(load: Callable[[], Filter]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = load()
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(~known.has(keys)))
+
+    return run
+
+
 def in_sample(docs: DataFrame, every: int) -> DataFrame:
     """One of ``every`` documents, by a hash of text and language alone."""
     return docs.where(F.pmod(F.xxhash64("text", "lang"), F.lit(every)) == 0)
@@ -289,43 +321,31 @@ def frequent(
     Rows lang, words, phrase, n; and lang, n: the word occurrences of each language.
     ``on_pass`` is told how many phrases failed before each further pass.
     """
+    if not 1 <= longest < WORDS_MASK:
+        raise ValueError(f"phrases have 1 to {WORDS_MASK - 1} words")
     # Once in the sample is no sign of anything, unless all that is wanted is that rare.
     lowered = max(min(2, min_count), int(min_count / sample_every * LOWERED))
-    sample = counted(in_sample(docs, sample_every), longest).where(F.col("n") >= lowered)
-    proposed = sample.where(F.col("words").between(1, longest - 1)).select("lang", "phrase")
-    proposed = rest(proposed, "phrases_sample")
+    is_part = F.col("key").bitwiseAND(F.lit(WORDS_MASK)) < longest  # of a longer phrase
+    enough = F.col("n") >= min_count
+    sample = hash_counted(in_sample(docs, sample_every), longest - 1)
+    proposed = rest(sample.where(F.col("n") >= lowered).select("key"), "phrases_sample")
     filters = [filter_of(proposed)]
-    first = counted(docs, longest, filters[0])
-    first = rest(first.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases_frequent")
-    sizes = first.where("words = 0 and n > 0").select("lang", "n")
-    found = first.where("words > 0")
-    newest = found
+    found = newest = rest(hash_counted(docs, longest, filters[0]).where(enough), "phrases_found")
     for _ in range(2, longest + 1):
         # The border fails where a frequent phrase is not in the set that was counted with.
-        failed = newest.where(F.col("words") < longest).mapInArrow(_not_in(filters[-1]), COUNTS)
-        number = failed.count()
+        failed = newest.where(is_part).mapInArrow(_not_in(filters[-1]), HASH_COUNTS).count()
         if on_pass:
-            on_pass(number)
-        if number == 0:
+            on_pass(failed)
+        if failed == 0:
             break
-        enlarged = found.where(F.col("words") < longest).select("lang", "phrase").unionByName(proposed)
+        enlarged = found.where(is_part).select("key").unionByName(proposed)
         filters.append(filter_of(enlarged))
-        opened = counted(docs, longest, filters[-1], tuple(filters[:-1]))
-        newest = rest(opened.where(F.col("n") >= min_count), "phrases_opened")
+        opened = hash_counted(docs, longest, filters[-1], tuple(filters[:-1]))
+        newest = rest(opened.where(enough), "phrases_opened")
         found = found.unionByName(newest)
-    return found, sizes
-
-
-def _not_in(load: Callable[[], Filter]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = load()
-        for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
-            hashes = np.array([phrase_hash(*pair) for pair in pairs], np.uint64)
-            failed = batch.filter(pa.array(~known.has(hashes)))
-            yield pa.RecordBatch.from_arrays([failed.column("phrase"), failed.column("n")], ["key", "n"])
-
-    return run
+    counts = text_counted(docs, longest, filter_of(found))
+    counts = rest(counts.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases_frequent")
+    return counts.where("words > 0"), counts.where("words = 0 and n > 0").select("lang", "n")
 
 
 # --- collocations -----------------------------------------------------------
