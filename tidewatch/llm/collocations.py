@@ -48,7 +48,7 @@ LOWERED = 0.8
 FILTER_BITS = 1 << 26
 FILTER_HASHES = 3
 #: Bytes of text that are counted together in a task.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 #: Frequent words are parts of very many phrases: their rows are spread over as many keys.
 SALTS = 16
 
@@ -89,7 +89,7 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
     words = pa.Array.from_buffers(pa.string(), len(starts), buffers)
-    piece = np.cumsum(breaks)[starts] if len(starts) else starts
+    piece = np.cumsum(breaks, dtype=np.int32)[starts] if len(starts) else starts
     last = np.ones(len(starts), bool)  # of its piece
     last[:-1] = (piece[1:] != piece[:-1]) | (text[1:] != text[:-1])
     closing = np.flatnonzero(last)
@@ -217,19 +217,19 @@ class Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Texts and their languages, about ``size`` bytes at a time."""
+    """Texts and their languages, ``size`` bytes at a time; a longer text is alone."""
     held, langs, total = [], [], 0
     for batch in batches:
         texts, own = batch.column("text").fill_null(""), batch.column("lang").to_pylist()
         at = 0
         for part in chunks(texts, size):
+            if held and total + part.nbytes > size:
+                yield pa.concat_arrays(held), langs
+                held, langs, total = [], [], 0
             held.append(part)
             langs += own[at : at + len(part)]
             at += len(part)
             total += part.nbytes
-            if total >= size:
-                yield pa.concat_arrays(held), langs
-                held, langs, total = [], [], 0
     if held:
         yield pa.concat_arrays(held), langs
 
