@@ -72,6 +72,9 @@ class StreamConfig:
     unless the caller accepts them. A user unseen for ``state_ttl_seconds`` of the
     clock is forgotten, and their next row is a first row; None forgets nobody. It
     is fixed for the life of a checkpoint, and needs a timed trigger.
+
+    With ``ordered``, rows wait for the watermark and are scored in time order, in panes of
+    ``pane_seconds`` (see ``streaming.release``); without, as they come.
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -84,6 +87,8 @@ class StreamConfig:
     watermark: str = "10 minutes"
     checkpoint_path: str | None = None
     state_ttl_seconds: int | None = None
+    ordered: bool = False
+    pane_seconds: int = 30
 
     @property
     def checkpoint_base(self) -> str:

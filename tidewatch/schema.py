@@ -61,6 +61,18 @@ REJECT_SCHEMA = T.StructType(
 )
 
 
+# Rows that came behind the watermark of an ordered stream.
+LATE_SCHEMA = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("kafka_ts", T.TimestampType()),
+        T.StructField("late_by", T.DoubleType()),
+        T.StructField("processed_at", T.TimestampType()),
+    ]
+)
+
 # Bursts as the burst stream stores them.
 BURST_SCHEMA = T.StructType(
     [

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.routing import alert_rows, clean_rows
-from tidewatch.schema import ALERT_CSV_SCHEMA, stored_columns
+from tidewatch.schema import ALERT_CSV_SCHEMA, LATE_SCHEMA, stored_columns
 
 ROWS_PER_FILE = 1_000_000
 CSV_WRITE = {
@@ -94,3 +94,13 @@ def write_rejects(
     rejects: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:
     _write_parquet(_sized(rejects, rows), _batch_folder(output_path, "rejects", batch_id))
+
+
+def write_late(rows: DataFrame, output_path: str, batch_id: int) -> None:
+    """The rows that came behind the watermark, with ``late_by`` in seconds, as a table of their own.
+
+    They are in the result tables too, marked ``out_of_order`` there if their user has been
+    seen later.
+    """
+    late = rows.filter(F.col("late_by").isNotNull()).select(*LATE_SCHEMA.fieldNames())
+    _write_parquet(late.coalesce(1), _batch_folder(output_path, "late_rows", batch_id))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.schema import BURST_SCHEMA, RESULT_SCHEMA
@@ -50,6 +51,19 @@ def load_bursts(spark: SparkSession, output_path: str) -> DataFrame:
     return _read_if_there(spark, f"{output_path}/rapid_fire_alerts", BURST_SCHEMA)
 
 
+def last_rows(spark: SparkSession, output_path: str) -> DataFrame:
+    """The last row of each user in the stored tables: where a stream can go on from.
+
+    ``user_id, event_time, transaction_id, latitude, longitude``; combined before the
+    shuffle, so a user with very many rows costs one row per task.
+    """
+    order = ("event_time", "transaction_id", "latitude", "longitude")
+    clean, alerts = load_results(spark, output_path)
+    rows = clean.select("user_id", *order).unionByName(alerts.select("user_id", *order))
+    last = rows.groupBy("user_id").agg(F.max(F.struct(*order)).alias("last"))
+    return last.select("user_id", "last.*")
+
+
 def _read_if_there(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)

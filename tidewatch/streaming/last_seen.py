@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 # Ship this small module with the query, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -16,6 +19,13 @@ LAST_SEEN = f"user_id string, {STATE}"
 FIELDS = ["event_us", "transaction_id", "latitude", "longitude"]
 
 
+def sightings(rows: DataFrame, *more: Column) -> DataFrame:
+    """Who was where and when: all that the state needs. Times are numbers, as a far-off date
+    that Spark can hold must not fail in Python."""
+    micros = F.unix_micros("event_time").alias("event_us")
+    return rows.select("user_id", micros, "transaction_id", "latitude", "longitude", *more)
+
+
 def newest_per_user(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The last row in order of each user in each chunk: all that the state needs of it.
 
@@ -64,3 +74,35 @@ def tracker(ttl_seconds: int | None) -> Callable:
             state.setTimeoutDuration(ttl_seconds * 1000)
 
     return last_seen
+
+
+class LastSeen(StatefulProcessor):
+    """``tracker`` for a query that starts with the users of an earlier run.
+
+    Their last rows are the operator's initial state, read once, before the first micro-batch.
+    """
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update(tuple(initialState[f] for f in FIELDS))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        """Yield where the user was before this micro-batch; remember where they are now."""
+        before = tuple(self.last.get()) if self.last.exists() else None
+        if before is not None:
+            yield Row(user_id=key[0], **dict(zip(FIELDS, before)))
+        newest = before
+        for row in rows:
+            candidate = tuple(row[f] for f in FIELDS)
+            if newest is None or in_order(candidate) > in_order(newest):
+                newest = candidate
+        if newest is not before:
+            self.last.update(newest)
+
+
+def in_order(seen: Sequence) -> tuple:
+    """As ``FIELDS`` are sorted, missing coordinates first."""
+    event_us, transaction_id, *place = seen
+    return event_us, transaction_id, *((p is not None, p or 0.0) for p in place)

@@ -15,35 +15,44 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidewatch.config import RuleConfig
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.skew import left_join_on_key
-from tidewatch.streaming.last_seen import LAST_SEEN, STATE, newest_per_user, tracker
+from tidewatch.streaming.last_seen import LAST_SEEN, STATE, LastSeen, newest_per_user, sightings, tracker
 
 
-def with_seeds(checked: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
+def with_seeds(
+    checked: DataFrame, ttl_seconds: int | None = None, known: DataFrame | None = None
+) -> DataFrame:
     """The rows of a stream, plus one ``is_seed`` row per user seen before.
 
     ``checked`` carries ``reject_reason``; rejected rows do not touch the state.
-    Only the ordering fields and coordinates travel through Python, with times
-    as numbers: a far-off date that Spark can hold must not fail in pandas. Users
+    Only the ordering fields and coordinates travel through Python. Users
     unseen for ``ttl_seconds`` (by the clock) are forgotten; None keeps them for ever.
+    ``known`` has the last row of users seen before the stream's first batch (see
+    ``sources.tables.last_rows``); such users are not forgotten.
     """
-    sightings = checked.filter(F.col("reject_reason").isNull()).select(
-        "user_id",
-        F.unix_micros("event_time").alias("event_us"),
-        "transaction_id",
-        "latitude",
-        "longitude",
-    )
-    newest = sightings.mapInPandas(newest_per_user, sightings.schema)
-    timeout = GroupStateTimeout.NoTimeout
-    if ttl_seconds is not None:
-        timeout = GroupStateTimeout.ProcessingTimeTimeout
-    seeds = newest.groupBy("user_id").applyInPandasWithState(
-        tracker(ttl_seconds),
-        outputStructType=LAST_SEEN,
-        stateStructType=STATE,
-        outputMode="append",
-        timeoutConf=timeout,
-    )
+    if known is not None and ttl_seconds is not None:
+        raise ValueError("users known from before are kept; state_ttl_seconds must be None")
+    sound = sightings(checked.filter(F.col("reject_reason").isNull()))
+    newest = sound.mapInPandas(newest_per_user, sound.schema)
+    users = newest.groupBy("user_id")
+    if known is not None:
+        seeds = users.transformWithState(
+            LastSeen(),
+            LAST_SEEN,
+            outputMode="Append",
+            timeMode="None",
+            initialState=sightings(known).groupBy("user_id"),
+        )
+    else:
+        timeout = GroupStateTimeout.NoTimeout
+        if ttl_seconds is not None:
+            timeout = GroupStateTimeout.ProcessingTimeTimeout
+        seeds = users.applyInPandasWithState(
+            tracker(ttl_seconds),
+            outputStructType=LAST_SEEN,
+            stateStructType=STATE,
+            outputMode="append",
+            timeoutConf=timeout,
+        )
     seeds = seeds.withColumn("event_time", F.timestamp_micros("event_us")).drop("event_us")
     return checked.withColumn("is_seed", F.lit(False)).unionByName(
         seeds.withColumn("is_seed", F.lit(True)), allowMissingColumns=True

@@ -19,22 +19,38 @@ from tidewatch.schema import REJECT_SCHEMA, SCORED_SCHEMA
 from tidewatch.sinks import tables
 from tidewatch.sources.messages import project_records
 from tidewatch.streaming.location import locate, with_seeds
+from tidewatch.streaming.release import in_time_order
 
 log = logging.getLogger(__name__)
 
 
 def parse_stream(
-    messages: DataFrame, rules: RuleConfig, ttl_seconds: int | None = None
+    messages: DataFrame,
+    rules: RuleConfig,
+    stream: StreamConfig | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Broker rows to typed rows, with seeds if the rules look at locations.
 
-    Rows that cannot be scored carry a ``reject_reason`` and their raw message.
+    Rows that cannot be scored carry a ``reject_reason`` and their raw message; they do not wait
+    where ``stream.ordered`` lets the others wait for the watermark. ``known`` has the last
+    rows of users seen before (see ``sources.tables.last_rows``).
     """
+    stream = stream or StreamConfig()
     parsed = parse_transactions(project_records(messages), keep_raw=True)
     checked = with_reject_reason(parsed, rules.max_ahead_seconds)
     raw = F.when(F.col("reject_reason").isNotNull(), F.col("raw_message"))
     checked = checked.withColumn("raw_message", raw)
-    return with_seeds(checked, ttl_seconds) if "location_anomaly" in rules.rules else checked
+    if stream.ordered:
+        if stream.state_ttl_seconds is not None:
+            raise ValueError("an ordered stream goes by event time; state_ttl_seconds must be None")
+        sound = checked.filter(F.col("reject_reason").isNull())
+        waited = in_time_order(sound, stream.watermark, stream.pane_seconds, known)
+        rejects = checked.filter(F.col("reject_reason").isNotNull())
+        return waited.unionByName(rejects, allowMissingColumns=True)
+    if "location_anomaly" not in rules.rules:
+        return checked
+    return with_seeds(checked, stream.state_ttl_seconds, known)
 
 
 def score_batch(batch: DataFrame, rules: RuleConfig) -> DataFrame:
@@ -74,6 +90,8 @@ def process_batch(
             if count["total"] + count["rejects"] == 0:
                 return
             rows = scored.filter(sound).drop("raw_message", "reject_reason")
+            if "late_by" in rows.columns:
+                tables.write_late(rows, output_path, batch_id)
             rejects = scored.filter(~sound).select(*REJECT_SCHEMA.fieldNames())
             clean, alerts = count["total"] - count["alerts"], count["alerts"]
             tables.write_clean(rows, output_path, batch_id, clean)
@@ -102,14 +120,19 @@ def start_scoring(
     *,
     available_now: bool = False,
     on_metrics: Callable[[tables.BatchMetrics], None] | None = None,
+    known: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Score messages into the clean, alert, CSV and reject tables."""
+    """Score messages into the clean, alert, CSV and reject tables.
+
+    ``known``, the last rows of users in tables that were filled before, is read by the
+    query's first batch; a restarted query has it in its state.
+    """
     if "rapid_fire" in rules.rules:
         raise ValueError("bursts cross micro-batches; run start_rapid_fire beside this query")
     if available_now and stream.state_ttl_seconds is not None:
         raise ValueError("a query that forgets users by the clock never runs out of batches")
     return (
-        parse_stream(messages, rules, stream.state_ttl_seconds)
+        parse_stream(messages, rules, stream, known)
         .writeStream.queryName(f"scoring {stream.output_path}")
         .foreachBatch(process_batch(rules, stream.output_path, on_metrics))
         .option("checkpointLocation", f"{stream.checkpoint_base}/main")
