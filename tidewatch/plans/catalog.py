@@ -27,7 +27,13 @@ from tidewatch.sinks import tables
 from tidewatch.sources import events
 from tidewatch.sources.cities import lookup_city
 from tidewatch.sources.messages import file_stream, project_records
-from tidewatch.sources.tables import load_bursts, load_results, read_parquet_dir
+from tidewatch.sources.tables import (
+    last_rows,
+    load_bursts,
+    load_late,
+    load_results,
+    read_parquet_dir,
+)
 from tidewatch.streaming import pipeline
 
 TABLE_RULES = RuleConfig(
@@ -389,6 +395,42 @@ def _in_steps(spark: SparkSession, sf_dir: str, out: str, late: bool = False) ->
     return events.to_messages(events.to_transactions(stream))
 
 
+#: How long a row may be on its way, and how long the stream waits for it.
+TRAVEL_SECONDS, PATIENCE, PANE_SECONDS = 12 * 3600, "1 day", 3600
+CLOCK = -1  # the user of the last row, which moves the watermark past all others
+
+
+def _out_of_order(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    """The table in steps by time of arrival: up to half a day after the time of a row.
+
+    The late events come in the last step, long after their time; then one row by the clock.
+    """
+    table = events.read_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = table.agg(F.min(micros), F.max(micros)).first()
+    first, last = first or 0, last or 0
+    arrival = micros + F.pmod(F.col("event_id") * 7919, F.lit(TRAVEL_SECONDS)) * 1_000_000
+    span = last - first + 1 + TRAVEL_SECONDS * 1_000_000
+    step = F.floor((arrival - first) * STEPS / span).cast("int")
+    step = F.when(F.expr(LATE_EVENTS), F.lit(STEPS - 1)).otherwise(step)
+    end = F.timestamp_micros(F.lit(last + 10 * 86_400 * 1_000_000)).cast("timestamp_ntz")
+    clock = spark.range(1).select(
+        F.lit(CLOCK).cast("long").alias("event_id"),
+        end.alias("ts"),
+        F.lit(CLOCK).cast("long").alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(0.0).alias("value"),
+        F.lit('{"k": 0}').alias("props"),
+    )
+    parts = [table.filter(step == i) for i in range(STEPS)] + [clock]
+    for i, part in enumerate(parts):
+        part.repartition(FILES_PER_STEP if i < STEPS else 1).write.parquet(f"{out}/inbox/step-{i}")
+    stream = file_stream(
+        streaming_session(spark), f"{out}/inbox/*", events.EVENTS_SCHEMA, "parquet", FILES_PER_STEP
+    )
+    return events.to_messages(events.to_transactions(stream))
+
+
 def _run_scoring(raw: DataFrame, out: str) -> None:
     config = StreamConfig(output_path=out)
     pipeline.start_scoring(raw, DEFAULT_SET, config, available_now=True).awaitTermination()
@@ -461,6 +503,66 @@ def stream_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows").select(*columns[:5], _km(columns[5]), columns[6])
 
 
+@query
+def stream_location_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that arrive out of order, scored in time order; those behind the watermark as late."""
+    out = work_dir(spark, "stream_location_late")
+    config = StreamConfig(output_path=out, ordered=True, watermark=PATIENCE, pane_seconds=PANE_SECONDS)
+    raw = _out_of_order(spark, sf_dir, out)
+    pipeline.start_scoring(raw, DEFAULT_SET, config, available_now=True).awaitTermination()
+    results = reports.union_results(*load_results(spark, out)).filter(F.col("user_id") != str(CLOCK))
+    late = load_late(spark, out).select("transaction_id", F.lit(True).alias("late"))
+    return results.join(late, "transaction_id", "left").select(
+        "transaction_id",
+        "user_id",
+        "prev_lat",
+        "prev_lon",
+        "out_of_order",
+        F.coalesce("late", F.lit(False)).alias("late"),
+        _km("distance_km"),
+        "fraud_location_anomaly",
+    )
+
+
+#: The batch id of a bulk load: one that no stream reaches.
+BULK_ID = 1_000_000_000
+
+
+@query
+def stream_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fifths of the time in bulk, the rest as a stream that knows the users of the bulk."""
+    out = work_dir(spark, "stream_after_backfill")
+    raw = _in_steps(spark, sf_dir, out)
+    earlier = [f"{out}/inbox/step-{i}" for i in range(3)]
+    bulk = spark.read.schema(events.EVENTS_SCHEMA).parquet(*earlier)
+    backfill(events.to_messages(events.to_transactions(bulk)), DEFAULT_SET, out, BULK_ID)
+    later = file_stream(
+        raw.sparkSession, f"{out}/inbox/step-[34]", events.EVENTS_SCHEMA, "parquet", FILES_PER_STEP
+    )
+    pipeline.start_scoring(
+        events.to_messages(events.to_transactions(later)),
+        DEFAULT_SET,
+        StreamConfig(output_path=out),
+        available_now=True,
+        known=last_rows(raw.sparkSession, out),
+    ).awaitTermination()
+    results = reports.union_results(*load_results(spark, out))
+    return _plain_times(
+        results.select(
+            "transaction_id",
+            "user_id",
+            "amount",
+            "kafka_ts",
+            "event_time",
+            "fraud_high_value",
+            _km("distance_km"),
+            "fraud_location_anomaly",
+            "is_fraud",
+            "fraud_reason",
+        )
+    )
+
+
 @query
 def stream_rapid_fire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot windows that the watermark has closed; late rows count only in open windows."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewatch.plans.catalog import TABLE_RULES
+from tidewatch.plans.catalog import LATE_EVENTS, PANE_SECONDS, STEPS, TABLE_RULES, TRAVEL_SECONDS
 from tidewatch.sources.cities import CITIES
 
 _AMOUNT = f"cast({TABLE_RULES.amount_limit} as double)"
@@ -109,6 +109,36 @@ kept as (
 _PASSED = "(select max(event_time) from txns) - interval '10 minutes'"
 
 
+#: Arrival in steps; late is what comes when the watermark has passed its pane.
+_ARRIVED = f"""
+{_TXNS},
+spanned as (
+  select *, cast(transaction_id as bigint) as event_id, epoch_us(event_time) as micros,
+         epoch_us(min(event_time) over ()) as first, epoch_us(max(event_time) over ()) as last
+  from txns
+),
+dealt as (
+  select *, case when {LATE_EVENTS} then {STEPS - 1} else
+    cast(floor(cast((micros + (event_id * 7919 % {TRAVEL_SECONDS}) * 1000000::bigint - first) * {STEPS} as double)
+      / cast(last - first + 1 + {TRAVEL_SECONDS * 1_000_000} as double)) as int) end as step
+  from spanned
+),
+marked as (
+  select *, step = {STEPS - 1} and (micros // {PANE_SECONDS * 1_000_000} + 1) * {PANE_SECONDS * 1_000_000}
+    <= (select max(micros) from dealt where step < {STEPS - 1}) - 86400000000 as late
+  from dealt
+),
+ordered as (
+  select *,
+         case when not late then lag(latitude) over own end as prev_lat,
+         case when not late then lag(longitude) over own end as prev_lon
+  from marked window own as (partition by user_id, late order by event_time, transaction_id)
+),
+measured as (
+  select *, {_haversine("prev_lat", "prev_lon", "latitude", "longitude")} as km from ordered
+)"""
+
+
 def _rapid(windows: str) -> str:
     return f"""
 exists (
@@ -308,6 +338,16 @@ from scored where is_fraud""",
         _HISTORY,
         f"""select transaction_id, user_id, prev_lat, prev_lon, false as out_of_order,
   round(km, 6) as distance_km, km > {_KM} as fraud_location_anomaly from measured""",
+    ),
+    "stream_location_late": _select(
+        _ARRIVED,
+        f"""select transaction_id, user_id, prev_lat, prev_lon, late as out_of_order, late,
+  round(km, 6) as distance_km, km > {_KM} as fraud_location_anomaly from measured""",
+    ),
+    "stream_after_backfill": _select(
+        _TWO,
+        """select transaction_id, user_id, amount, event_time as kafka_ts, event_time,
+  fraud_high_value, distance_km, fraud_location_anomaly, is_fraud, fraud_reason from scored""",
     ),
     "stream_rapid_fire": _select(
         f"{_TXNS},{_LATE_WINDOWS}",
