@@ -48,6 +48,49 @@ def test_the_mix_comes_near_its_targets_and_repeats(spark):
     assert copies.where("m <> n").isEmpty()
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_equal_rows_share_their_copies(spark, parts):
+    """A source of one row repeated, one of mixed repeats, and one of single rows."""
+    same = [(1, "w " * 5, "a", n) for n in range(400)]
+    mixed = [(10 + k, "w " * (k + 1), "b", n) for k in range(30) for n in range(k % 7 + 1)]
+    single = [(100 + n, "w " * 5, "c", n) for n in range(300)]
+    table = spark.createDataFrame(same + mixed + single, "doc_id long, text string, source string, n int")
+    rows = mixing.plan(table.repartition(parts, "n")).collect()
+    assert len(rows) == table.count()
+    for source in "abc":
+        own = [r for r in rows if r.source == source]
+        taken = sum(r._mix.size * r._mix.copies for r in own)
+        assert taken == pytest.approx(own[0]._mix.target, rel=0.02)
+        rate = own[0]._mix.target / own[0]._mix.source_size
+        for doc_id in {r.doc_id for r in own}:
+            copies = [r._mix.copies for r in own if r.doc_id == doc_id]
+            # All rows of a document together: the whole part, and one by the draw.
+            extra = sum(copies) - len(copies) * int(rate)
+            assert int((rate % 1) * len(copies)) <= extra <= int((rate % 1) * len(copies)) + 1
+            assert {int(rate)} <= set(copies) | {int(rate)} <= {int(rate), int(rate) + 1}
+
+
+def test_the_number_taken_of_a_document_does_not_depend_on_partitions(spark):
+    rows = [(k % 40, "w " * (k % 40 + 1), "ab"[k % 40 % 2], k) for k in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+
+    def taken(df):
+        found = mixing.plan(df).groupBy("doc_id").agg(F.sum("_mix.copies").alias("c"))
+        return {r.doc_id: r.c for r in found.collect()}
+
+    assert taken(table) == taken(table.repartition(9, "n")) == taken(table.coalesce(1))
+
+
+def test_columns_of_any_name_stay(spark):
+    table = spark.createDataFrame(
+        [(1, "a b", "s", 5, 6, 7.0, 8), (1, "a b", "s", 5, 6, 7.0, 9)],
+        "doc_id long, text string, source string, rows int, _document int, rate double, _number int",
+    )
+    planned = mixing.plan(table)
+    assert planned.columns == [*table.columns, "_mix"]
+    assert sorted(r._number for r in planned.collect()) == [8, 9]
+
+
 def test_sizes_are_words(spark):
     text = spark.createDataFrame([(" a\tb\n\x0bc d ",), ("",), (None,)], "text string")
     assert [r[0] for r in text.select(mixing.word_count(F.col("text"))).collect()] == [3, 0, 0]

@@ -10,14 +10,14 @@ seeds, each source has the one whose draws come nearest its target, which matter
 where documents are few and unequal. No random state: reruns and retries agree.
 
 Null or empty texts have size 0 and add nothing. A null source is a source.
-Rows with the same id and text get the same draw. An empty table stays empty.
+An empty table stays empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import hash_unit, rest
@@ -90,61 +90,115 @@ def targets(sources: DataFrame, weight: Callable[[Column], Column], max_repeat:
 
 
 def _document() -> Column:
-    return F.xxhash64("doc_id", "text")
+    return F.xxhash64("doc_id", "text", "source")
 
 
-def _drawn(rate: Column, seed: Column, document: Column) -> Column:
-    """Whether the hash gives a document the copy that the rate's fraction stands for."""
-    return hash_unit(seed, document) < rate - F.floor(rate)
+def _extra(fraction: Column, rows: Column, seed: Column, document: Column) -> Column:
+    """How many copies beyond floor(rate) the rows of one document get together."""
+    wanted = fraction * rows
+    return F.floor(wanted) + (hash_unit(seed, document) < wanted - F.floor(wanted)).cast("long")
 
 
-def with_seeds(sources: DataFrame, docs: DataFrame, size: Column, seed: int) -> DataFrame:
+def _fraction(rate: Column) -> Column:
+    return rate - F.floor(rate)
+
+
+def repeated(sized: DataFrame) -> DataFrame:
+    """Rows _document, rows: the documents that stand there more than once."""
+    counts = sized.groupBy("_document").agg(F.count("*").alias("rows"))
+    return counts.where(F.col("rows") > 1)
+
+
+def with_seeds(sources: DataFrame, sized: DataFrame, again: DataFrame, seed: int) -> DataFrame:
     """Add ``seed`` to sources: the one whose draws come nearest the target."""
-    sized = docs.select(
-        F.col("source").alias("_of"), size.alias("_size"), _document().alias("_document")
+    rows = sized.withColumnRenamed("source", "_of").join(
+        again.withColumnRenamed("_document", "_again"), F.col("_document") == F.col("_again"), "left"
     )
-    joined = sized.join(sources, F.col("_of").eqNullSafe(F.col("_source")))
+    joined = rows.join(sources, F.col("_of").eqNullSafe(F.col("_source")))
+    number = F.coalesce("rows", F.lit(1))
+    # Each of a document's rows brings its share of what they get together.
     sums = [
-        F.sum(F.when(_drawn(F.col("rate"), F.lit(s), F.col("_document")), F.col("_size")))
+        F.sum(_extra(_fraction(F.col("rate")), number, F.lit(s), F.col("_document")) * F.col("_size") / number)
         for s in range(seed, seed + TRIES)
     ]
     drawn = joined.groupBy("_source", "source_size", "target", "rate").agg(
-        F.array(*[F.coalesce(s, F.lit(0)) for s in sums]).alias("drawn")
+        F.array(*[F.coalesce(s, F.lit(0.0)) for s in sums]).alias("drawn")
     )
     extra = F.col("target") - F.floor("rate") * F.col("source_size")
-    misses = F.transform("drawn", lambda s, k: F.struct(F.abs(s - extra), (k + seed).alias("seed")))
+    # Whole words: sums of shares may differ in the last digit from run to run.
+    misses = F.transform(
+        "drawn", lambda s, k: F.struct(F.abs(F.round(s, 3) - extra), (k + seed).alias("seed"))
+    )
     return drawn.withColumn("seed", F.array_min(misses)["seed"]).drop("drawn")
 
 
+def numbered(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows of repeated documents with ``_number`` from 1 among the rows of each.
+
+    Rows are numbered within their partition, and partitions follow each other; so no task
+    sees all rows of a document. The rows rest first: what is numbered stays as it is.
+    """
+    theirs = docs.withColumn("_document", _document()).join(again, "_document")
+    placed = theirs.withColumns(
+        {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
+    )
+    resting = rest(placed, "mix_repeated")
+    counts = resting.groupBy("_document", "_part").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy("_document").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        "_document", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+    )
+    own = Window.partitionBy("_document", "_part").orderBy("_at")
+    placed = resting.withColumn("_own", F.row_number().over(own)).join(before, ["_document", "_part"])
+    return placed.withColumn("_number", F.col("_before") + F.col("_own"))
+
+
 def plan(
     docs: DataFrame,
     weight: Callable[[Column], Column] = rotating_weights,
     max_repeat: float = 3.0,
     seed: int = 7,
 ) -> DataFrame:
-    """``docs`` and a struct ``_mix``: size, source_size, target and copies."""
+    """``docs`` and a struct ``_mix``: size, source_size, target and copies.
+
+    A column of ``docs`` that is named ``_mix`` goes; others of any name stay.
+    """
+    own = [c for c in docs.columns if c != "_mix"]
+    # The table's columns travel in one struct, so that none clashes with a working column.
     size = word_count(F.col("text"))
-    sources = targets(source_sizes(docs, size), weight, max_repeat)
+    sized = rest(docs.select("source", _document().alias("_document"), size.alias("_size")), "mix_sizes")
+    sources = targets(source_sizes(sized, F.col("_size")), weight, max_repeat)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     named = sources.select(
         F.col("source").alias("_source"), "source_size", "target", rate.alias("rate")
     )
-    rates = rest(with_seeds(rest(named, "mix_rates"), docs, size, seed), "mix_seeds")
-    extra = _drawn(rates["rate"], rates["seed"], _document())
-    copies = F.floor(rates["rate"]).cast("long") + extra.cast("long")
+    again = rest(repeated(sized), "mix_again")
+    rates = rest(with_seeds(rest(named, "mix_rates"), sized, again, seed), "mix_seeds")
+
+    packed = docs.select(F.struct(*[docs[c] for c in own]).alias("_row"), "doc_id", "text", "source")
+    once = packed.withColumn("_document", _document())
+    if again.isEmpty():
+        rows = once.withColumns({"rows": F.lit(1).cast("long"), "_number": F.lit(1).cast("long")})
+    else:
+        once = once.join(again, "_document", "left_anti")
+        rows = once.withColumns({"rows": F.lit(1).cast("long"), "_number": F.lit(1).cast("long")})
+        rows = rows.unionByName(numbered(packed, again).select(*rows.columns))
+    extra = _extra(_fraction(rates["rate"]), F.col("rows"), rates["seed"], F.col("_document"))
+    copies = F.floor(rates["rate"]).cast("long") + (F.col("_number") <= extra).cast("long")
     mix = F.struct(
         size.alias("size"), rates["source_size"], rates["target"], copies.alias("copies")
     )
-    own = [docs[c] for c in docs.columns if c != "_mix"]
     # The rates' true size is known here: small, they are broadcast; large, Spark
     # shuffles, and splits a source that fills a partition.
-    joined = docs.join(rates, docs["source"].eqNullSafe(rates["_source"]), "left")
-    return joined.select(*own, mix.alias("_mix"))
+    joined = rows.join(rates, rows["source"].eqNullSafe(rates["_source"]), "left")
+    return joined.select("_row", mix.alias("_mix")).select("_row.*", "_mix")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each as often as it is taken, with ``copy`` from 1."""
-    planned = plan(docs, **options)
+    """The mixed documents: each as often as it is taken, with ``copy`` from 1.
+
+    A column of ``docs`` that is named ``copy`` goes.
+    """
+    planned = plan(docs.drop("copy"), **options)
     taken = planned.where(F.col("_mix.copies") > 0)
-    numbered = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix.copies"))))
-    return numbered.drop("_mix")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_mix.copies")))).drop("_mix")
