@@ -143,3 +143,12 @@ def test_long_and_absent_documents_are_replaced_in_the_sample(spark):
     labelled = spark.range(4_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("label"))
     found = labelled_sample(docs, labelled.union(labelled), 60, 100).to_pydict()
     assert sorted(found["label"]) == [0] * 60 + [1] * 60 and set(found["text"]) == {"xxxxx"}
+
+
+def test_only_letters_make_a_language(spark):
+    texts = {"²": False, "½ ① Ⅷ² ³": True, "①②": False, "_12_": False, "12 é": True, "漢": True, "ª": True}
+    texts["½ ① Ⅷ² ³"] = any(c.isalpha() for c in "½ ① Ⅷ² ³")
+    assert {t: langid.has_letter(t) for t in texts} == texts
+    model = langid.Model(["en"], np.zeros((langid.BUCKETS, 1)), np.zeros(1), 1.0, 0.0)
+    found = langid._predict(pa.array(["²", "½", "①", "word"]), model).to_pylist()
+    assert [r["lang"] for r in found] == ["und", "und", "und", "en"]

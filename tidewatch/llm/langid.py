@@ -38,7 +38,7 @@ PIECE, PIECES, BATCH, EPOCHS, RATE = 192, 12, 64, 3, 0.5
 KEEP = 0.999
 MAX_REJECT = 0.5
 RESULT_TYPE = "struct<lang:string,score:double,rejected:boolean>"
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also fractions, superscripts and circled numbers
 _TABLE = np.where(words._IS_WORD, np.arange(256), 32).astype(np.uint32)
 
 
@@ -163,8 +163,12 @@ def _calibrate(model: Model, texts: pa.Array, target: np.ndarray) -> None:
     model.reject_below = float(min(MAX_REJECT, np.quantile(best, 1 - KEEP)))
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 def _predict(column: pa.Array, model: Model | None) -> pa.Array:
-    lettered = np.array([bool(_LETTER.search(t)) for t in column.to_pylist()], bool)
+    lettered = np.array([has_letter(t) for t in column.to_pylist()], bool)
     lang = np.full(len(column), "und", object)
     score, rejected = np.zeros(len(column)), np.ones(len(column), bool)
     if model and len(column):
