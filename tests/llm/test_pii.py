@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,3 +104,24 @@ def test_odd_rows(odd_docs, no_docs):
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count()
     assert clean.where(F.col("text").isNull()).count() == 2
     assert pii.redact(no_docs).isEmpty()
+
+
+def test_very_many_added_and_base_spans_take_linear_time():
+    text = "SSN 536-22-1234 mail a.b@c.example " * 12_000
+    start = time.perf_counter()
+    found = pii.spans_of(text)
+    assert len(found) == 24_000 and time.perf_counter() - start < 5
+
+
+def test_an_added_span_goes_wherever_a_base_span_meets_it():
+    import random
+
+    draw = random.Random(2)
+    for _ in range(300):
+        base = [(s, s + draw.randint(1, 9)) for s in sorted(draw.sample(range(60), draw.randint(0, 8)))]
+        starts, reach = [s for s, _ in base], []
+        for _, e in base:
+            reach.append(max([e, *reach[-1:]]))
+        start = draw.randint(0, 60)
+        end = start + draw.randint(1, 12)
+        assert pii._meets(starts, reach, start, end) == any(s < end and start < e for s, e in base)

@@ -15,8 +15,10 @@ Null and empty texts have no spans. Positions are code points, end exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -158,11 +160,17 @@ def spans_of(text: str) -> list[tuple[str, int, int, float]]:
             found.append((kind, start, end, round(score, 3)))
     found.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
     taken = sorted((s, e) for kind, s, e, _ in found if kind in BASE_KINDS)
-    return [x for x in found if x[0] in BASE_KINDS or not _meets(taken, x[1], x[2])]
+    starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    return [x for x in found if x[0] in BASE_KINDS or not _meets(starts, reach, x[1], x[2])]
 
 
-def _meets(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(s < end and start < e for s, e in taken)
+def _meets(starts: list[int], reach: list[int], start: int, end: int) -> bool:
+    """Whether a base span that begins before ``end`` ends behind ``start``.
+
+    ``reach`` has the largest end of the base spans up to each one, in order of their starts.
+    """
+    before = bisect_left(starts, end)
+    return before > 0 and reach[before - 1] > start
 
 
 def _spans(texts: pa.Array) -> pa.Array:
