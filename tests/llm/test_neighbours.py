@@ -72,3 +72,24 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert {q: [i for i, _ in v] for q, v in got.items()} == {
         q: [i for i, _ in v] for q, v in exact(rows, 5).items()
     }
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200])
+def test_large_and_small_finite_vectors(spark, size):
+    """Squares overflow or vanish; the search and its scores do not fail."""
+    draw = np.random.default_rng(3)
+    rows = [(i, (draw.normal(size=8) * size).tolist()) for i in range(60)]
+    rows += [(100 + i, draw.normal(size=8).tolist()) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collected(n.nearest(table, k=5))
+    assert set(found) == {i for i, _ in rows if i % 20 == 0}
+    want = exact(rows, 5)
+    for query, hits in found.items():
+        assert len(hits) == 5
+        assert [s for _, s in hits] == pytest.approx([s for _, s in want[query]], rel=1e-9) or query < 100
+
+
+def test_columns_that_clash_stay_out_of_the_way(spark):
+    rows = [(i, [float(i), 1.0], 1, 2, 3.0) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, entry int, rank int, score double")
+    assert len(collected(n.nearest(table, k=3))[20]) == 3

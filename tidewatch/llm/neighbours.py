@@ -50,14 +50,18 @@ class Index:
     longest: float  # squared length that all vectors are brought to
     ratio: float
     width: int
+    scale: float = 1.0  # the largest absolute component: squares stay finite
     usual: float = 1e-12  # the squared distance from a query to its nearest list, as a median
 
     def lift(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """Queries get length 1 and a zero, entries what their length lacks."""
         if query:
+            own = np.maximum(np.abs(vectors).max(axis=1, keepdims=True), 1e-300)
+            vectors = vectors / own
             length = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
             lifted = np.concatenate([vectors / length, np.zeros((len(vectors), 1))], axis=1)
         else:
+            vectors = vectors / self.scale
             lack = np.maximum(self.longest - (vectors**2).sum(axis=1, keepdims=True), 0.0)
             lifted = np.concatenate([vectors, np.sqrt(lack)], axis=1) / np.sqrt(self.longest)
         return lifted.astype(np.float32)
@@ -109,13 +113,13 @@ def fit(entries: DataFrame, k: int) -> Index | None:
     number = entries.count()
     if not number:
         return None
-    longest = entries.agg(
-        F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    ).first()[0]
+    scale = entries.agg(F.max(F.array_max(F.transform("embedding", F.abs)))).first()[0]
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))
+    longest = entries.agg(F.max(squares)).first()[0]
     chosen = entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE)
     sample = np.array(chosen.select("embedding").toArrow()["embedding"].to_pylist(), np.float64)
     lists = int(min(MAX_LISTS, max(1, number // LIST_SIZE), max(1, len(sample) // 4)))
-    index = Index(None, float(longest), 1.0, 1)
+    index = Index(None, float(longest), 1.0, 1, float(scale))
     lifted = index.lift(sample, False)
     centroids = balanced_centroids(lifted, lists)
     shelves = balanced_centroids(centroids, -(-len(centroids) // SHELF))
@@ -139,7 +143,7 @@ def _fit_ratio(index: Index, sample: np.ndarray, k: int) -> None:
     np.put_along_axis(position, ids, away, axis=1)
     needed = [
         position[i, homes[j]].min()
-        for i, row in enumerate(trial @ sample.T)
+        for i, row in enumerate((trial / index.scale) @ (sample / index.scale).T)
         for j in np.argsort(-row)[1 : k + 1]
     ]
     index.ratio = float(np.quantile(needed, RECALL, method="higher")) if needed else 1.0
@@ -204,7 +208,8 @@ def best_columns(scores: np.ndarray, first: np.ndarray, keep: int) -> tuple[np.n
     if scores.shape[1] <= keep:
         return tuple(np.indices(scores.shape).reshape(2, -1))
     edge = np.partition(scores, scores.shape[1] - keep, axis=1)[:, scores.shape[1] - keep]
-    slack = 1e-9 * np.maximum(1.0, np.abs(edge))
+    # A product of large finite vectors may be infinite.
+    slack = np.where(np.isfinite(edge), 1e-9 * np.maximum(1.0, np.abs(edge)), 0.0)
     row, column = np.nonzero(scores >= (edge - slack)[:, None])
     crowded = np.flatnonzero(np.bincount(row, minlength=len(scores)) > 4 * keep)
     for i in crowded:  # very many ties: ids decide between them
