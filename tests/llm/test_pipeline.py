@@ -63,3 +63,16 @@ def test_one_document_of_each_class_stays(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     classes = {r.class_id for r in jaccard_join.join(docs).collect()}
     assert {r.doc_id for r in corpus_pipeline.duplicates(spark, docs, DATA).collect()} == classes
+
+
+def test_columns_that_clash_with_working_names_stay(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(40)
+    names = ("_language", "_leaks", "_node", "_row", "row", "hits", "language", "rows", "_number", "_document")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.col("doc_id") + i)
+    at = docs
+    for _, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, DATA)
+        assert at.columns[: len(docs.columns)] == docs.columns
+    wrong = " or ".join(f"{name} <> doc_id + {i}" for i, name in enumerate(names))
+    assert at.count() > 0 and at.where(wrong).isEmpty()

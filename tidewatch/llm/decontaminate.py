@@ -506,5 +506,6 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark item."""
-    marked = docs.withColumn("_leaks", leaks(docs, benchmark))
-    return marked.where(F.size("_leaks") == 0).drop("_leaks")
+    hits = leaks(docs, benchmark)
+    marked = docs.select(F.struct(*docs.columns).alias("row"), hits.alias("hits"))
+    return marked.where(F.size("hits") == 0).select("row.*")

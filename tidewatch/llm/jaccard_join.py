@@ -318,8 +318,9 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
         .select(F.col("k.first_id").alias("_kept_id"), F.col("k.node").alias("_kept_node")),
         "jaccard_kept",
     )
-    marked = docs.withColumn("_node", node_of(F.col("text")))
-    same = (F.col("_node") == F.col("_kept_node")) & F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    one = marked.join(kept, same).drop("_kept_id", "_kept_node")
-    once = one.groupBy("_node").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return once.unionByName(marked.where(F.col("_node").isNull()).drop("_node"))
+    # The table's columns travel in one struct, so that none clashes with a working column.
+    row = F.struct(*docs.columns).alias("_row")
+    marked = docs.select(row, F.col("doc_id").alias("_id"), node_of(F.col("text")).alias("_node"))
+    same = (F.col("_node") == F.col("_kept_node")) & F.col("_id").eqNullSafe(F.col("_kept_id"))
+    once = marked.join(kept, same).groupBy("_node").agg(F.min("_row").alias("_row"))
+    return once.select("_row.*").unionByName(marked.where(F.col("_node").isNull()).select("_row.*"))
