@@ -21,8 +21,8 @@ from tidewatch.llm.common import rest, table
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     guessed = langid.predict(F.col("text"), langid.fit(docs))
-    marked = docs.withColumn("_language", guessed)
-    return marked.where(~F.col("_language.rejected")).drop("_language")
+    marked = docs.select(F.struct(*docs.columns).alias("row"), guessed.alias("language"))
+    return marked.where(~F.col("language.rejected")).select("row.*")
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
