@@ -6,16 +6,15 @@ that are one word shorter are frequent, or may be.
 
 1. A sample of documents, drawn by hash, is mined with a lowered limit.
 2. A full pass counts every word, and each longer phrase whose two parts are frequent in the
-   sample: the phrases that the sample proposes and their negative border.
+   sample: the phrases that the sample proposes and their negative border. It counts by a hash of
+   the phrase, as the border is many times the phrases that turn out to be frequent. A hash's
+   count is never below that of its phrase, so none is missed.
 3. Where a word or phrase that is frequent in the corpus was not so in the sample (the border
-   fails), phrases with it as a part have not been counted. The set of frequent phrases is
-   enlarged by it, and a further pass counts the phrases that this opens. A pass may open longer
-   ones, so this goes on until no border fails: at most as many passes as a phrase has words.
-
-These passes count by a hash of the phrase, as the border is many times the phrases that turn out
-to be frequent. A hash's count is never below that of its phrase, so none is missed; a
-last pass over all documents then counts the phrases of frequent hashes by their text. The counts
-that are returned are those, and exact.
+   fails), phrases with it as a part have not been counted. A second full pass counts the closure
+   that this opens: each uncounted phrase whose parts are frequent, or themselves opened and so
+   not known yet. With it the set is closed, as every part of an uncounted phrase is known
+   to be infrequent. The same pass counts the phrases of frequent hashes by their text; the
+   counts that are returned are all by text, and exact.
 
 Sets of hashes travel as Bloom filters of fixed size, whatever the corpus. A phrase that a filter
 takes for a member is counted in all documents or in none: a fuller filter costs time, never
@@ -29,7 +28,6 @@ equal in all columns are rows of their own, and count each. Other columns are no
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bytes_of, chunks, rest, segments
+from tidewatch.llm.common import bytes_of, chunks, rest
+from tidewatch.llm.words import hashes_of
 
 #: Every how many documents one is in the sample, and the limit there as a share of the
 #: count to be expected of a phrase that is just frequent.
@@ -102,15 +101,6 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-@cache
-def _seed(lang: str) -> int:
-    return xxhash.xxh32_intdigest(lang)
-
-
-def _word_hash(lang: str, word: str) -> int:
-    return xxhash.xxh64_intdigest(word, seed=_seed(lang))
-
-
 def _phrase_hash(first: np.ndarray, last_word: np.ndarray) -> np.ndarray:
     """The hash of a phrase from that of all its words but the last, and of the last."""
     return _mix(first * np.uint64(0x9E3779B97F4A7C15) + last_word)
@@ -154,57 +144,56 @@ class Block:
             pairs, return_index=True, return_inverse=True, return_counts=True
         )
         lang, number = np.divmod(distinct, max(len(spelled), 1))
-        spelling = spelled.take(pa.array(number)).to_pylist()
-        hashes = [_word_hash(self.names[i], w) for i, w in zip(lang.tolist(), spelling)]
-        self.word_hash = np.array(hashes, np.uint64)
+        data, borders = bytes_of(spelled)
+        spelling = hashes_of(data, borders[:-1], borders[1:]) if len(data) else np.empty(0, np.uint64)
+        seeds = np.array([xxhash.xxh64_intdigest(name) for name in self.names], np.uint64)
+        self.word_hash = _mix(spelling[number] ^ seeds[lang])
 
     def phrases(
-        self, longest: int, now: Filter | None, before: list[Filter]
-    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Words, hash key, first place and number of the distinct phrases to be counted.
+        self, longest: int, now: Filter | None, before: Filter | None
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Words, hash keys, first places, numbers, and which are opened, of distinct phrases.
 
-        Words are, if there is no filter ``before``. A longer phrase is if both its parts are
-        in ``now`` (always, if that is None), and there is none ``before`` that both are
-        in: that phrase has been counted.
+        These are the words and each longer phrase whose parts are both in ``now`` (always, if
+        that is None) or opened themselves. A phrase is opened if it is longer than a word, and
+        its parts are not both in ``before``: then it has not been counted yet.
         """
         gram, hashes, number = self.word, self.word_hash, max(len(self.word_hash), 1)
-        if not before:
-            yield 1, _tagged(hashes, 1), self.first, self.times
+        opened = np.zeros(len(hashes), bool)
+        yield 1, _tagged(hashes, 1), self.first, self.times, opened
         # ``gram`` numbers the phrase at each place, -1 where none is looked at.
         for length in range(2, longest + 1):
             here = np.flatnonzero((self.left >= length) & (gram >= 0))
             here = here[gram[here + 1] >= 0] if len(here) else here
-            keys, following = _tagged(hashes, length - 1), gram[here + 1] if len(here) else here
-            inside = [np.ones(len(here), bool)] if now is None else []
-            for known in ([] if now is None else [now]) + before:
-                member = known.has(keys)
-                inside.append(member[gram[here]] & member[following])
-            old = np.zeros(len(here), bool)
-            for counted_before in inside[1:]:
-                old |= counted_before
-            here, old = here[inside[0]], old[inside[0]]
+            keys = _tagged(hashes, length - 1)
+            maybe = np.ones(len(keys), bool) if now is None else now.has(keys) | opened
+            here = here[maybe[gram[here]] & maybe[gram[here + 1]]] if len(here) else here
             codes = gram[here] * number + self.word[here + length - 1]
             values, at, place, times = np.unique(
                 codes, return_index=True, return_inverse=True, return_counts=True
             )
+            first = here[at]
+            old = np.ones(len(values), bool)
+            if before is not None and len(first):
+                counted = before.has(keys)
+                old = counted[gram[first]] & counted[gram[first + 1]]
             prefix, last = np.divmod(values, number)
-            hashes = _phrase_hash(hashes[prefix], self.word_hash[last])
+            hashes, opened = _phrase_hash(hashes[prefix], self.word_hash[last]), ~old
             gram = np.full(len(gram), -1, np.int64)
             gram[here] = place
-            new = np.flatnonzero(~old[at])
-            yield length, _tagged(hashes[new], length), here[at[new]], times[new]
+            yield length, _tagged(hashes, length), first, times, opened
 
-    def hash_counts(self, longest: int, now: Filter | None, before: list[Filter]) -> pa.RecordBatch:
-        found = list(self.phrases(longest, now, before))
+    def hash_counts(self, longest: int, now: Filter | None) -> pa.RecordBatch:
+        found = list(self.phrases(longest, now, None))
         keys = np.concatenate([f[1] for f in found]).view(np.int64)
         return pa.RecordBatch.from_arrays([keys, np.concatenate([f[3] for f in found])], ["key", "n"])
 
-    def text_counts(self, longest: int, wanted: Filter) -> pa.RecordBatch:
-        """The phrases in ``wanted``; and of each language, with an empty phrase, all its words."""
+    def text_counts(self, longest: int, wanted: Filter, now: Filter, before: Filter) -> pa.RecordBatch:
+        """The phrases in ``wanted`` and those opened; and, with an empty phrase, all a language's words."""
         leads = pa.array([name + "\t" for name in self.names], pa.string())
         texts, numbers = [leads], [np.bincount(self.lang_of[self.text], minlength=len(self.names))]
-        for length, keys, at, times in self.phrases(longest, wanted, []):
-            kept = wanted.has(keys)
+        for length, keys, at, times, opened in self.phrases(longest, now, before):
+            kept = opened | wanted.has(keys)
             at = at[kept]
             spelt = [self.words.take(pa.array(at + k)) for k in range(length)]
             lead = leads.take(pa.array(self.lang_of[self.text[at]]))
@@ -246,27 +235,27 @@ def _counted(docs: DataFrame, schema: str, count: Callable) -> DataFrame:
     return texts.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def hash_counted(
-    docs: DataFrame, longest: int, now: Callable | None = None, before: tuple[Callable, ...] = ()
-) -> DataFrame:
-    """One pass by hash: key, n. Filters are given as what loads them in a task."""
+def hash_counted(docs: DataFrame, longest: int, now: Callable | None = None) -> DataFrame:
+    """One pass by hash: key, n. The filter is given as what loads it in a task."""
 
     def count() -> Callable[[Block], pa.RecordBatch]:
-        filters = now() if now else None, [load() for load in before]
-        return lambda block: block.hash_counts(longest, *filters)
+        known = now() if now else None
+        return lambda block: block.hash_counts(longest, known)
 
     return _counted(docs, HASH_COUNTS, count)
 
 
-def text_counted(docs: DataFrame, longest: int, wanted: Callable) -> DataFrame:
-    """The phrases of ``wanted`` hashes by their text: lang, words, phrase, n.
+def text_counted(
+    docs: DataFrame, longest: int, wanted: Callable, now: Callable, before: Callable
+) -> DataFrame:
+    """Phrases of ``wanted`` hashes, and those opened, by their text: lang, words, phrase, n.
 
     A row of 0 words has all word occurrences of its language.
     """
 
     def count() -> Callable[[Block], pa.RecordBatch]:
-        known = wanted()
-        return lambda block: block.text_counts(longest, known)
+        filters = wanted(), now(), before()
+        return lambda block: block.text_counts(longest, *filters)
 
     phrase = F.substring_index("key", "\t", -1)
     lang = F.expr("substring(key, 1, length(key) - locate('\t', reverse(key)))")
@@ -314,12 +303,12 @@ def frequent(
     min_count: int = 10,
     longest: int = 3,
     sample_every: int = SAMPLE_EVERY,
-    on_pass: Callable[[int], None] | None = None,
+    on_failed: Callable[[int], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words with at least ``min_count`` occurrences, and sizes.
 
     Rows lang, words, phrase, n; and lang, n: the word occurrences of each language.
-    ``on_pass`` is told how many phrases failed before each further pass.
+    ``on_failed`` is told at how many words and phrases the border failed.
     """
     if not 1 <= longest < WORDS_MASK:
         raise ValueError(f"phrases have 1 to {WORDS_MASK - 1} words")
@@ -329,21 +318,14 @@ def frequent(
     enough = F.col("n") >= min_count
     sample = hash_counted(in_sample(docs, sample_every), longest - 1)
     proposed = rest(sample.where(F.col("n") >= lowered).select("key"), "phrases_sample")
-    filters = [filter_of(proposed)]
-    found = newest = rest(hash_counted(docs, longest, filters[0]).where(enough), "phrases_found")
-    for _ in range(2, longest + 1):
-        # The border fails where a frequent phrase is not in the set that was counted with.
-        failed = newest.where(is_part).mapInArrow(_not_in(filters[-1]), HASH_COUNTS).count()
-        if on_pass:
-            on_pass(failed)
-        if failed == 0:
-            break
-        enlarged = found.where(is_part).select("key").unionByName(proposed)
-        filters.append(filter_of(enlarged))
-        opened = hash_counted(docs, longest, filters[-1], tuple(filters[:-1]))
-        newest = rest(opened.where(enough), "phrases_opened")
-        found = found.unionByName(newest)
-    counts = text_counted(docs, longest, filter_of(found))
+    before = filter_of(proposed)
+    found = rest(hash_counted(docs, longest, before).where(enough), "phrases_found")
+    # The border fails where a frequent phrase is not in the set that was counted with.
+    failed = found.where(is_part).mapInArrow(_not_in(before), HASH_COUNTS).count()
+    if on_failed:
+        on_failed(failed)
+    now = filter_of(found.where(is_part).select("key").unionByName(proposed)) if failed else before
+    counts = text_counted(docs, longest, filter_of(found), now, before)
     counts = rest(counts.where((F.col("n") >= min_count) | (F.col("words") == 0)), "phrases_frequent")
     return counts.where("words > 0"), counts.where("words = 0 and n > 0").select("lang", "n")
 

@@ -68,10 +68,11 @@ def words_of(column: pa.Array) -> Words:
     closes[last] = inside[last]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     counts = np.diff(np.searchsorted(starts, borders))
-    return Words(data, borders, starts, ends, counts, _hashes(data, starts, ends))
+    return Words(data, borders, starts, ends, counts, hashes_of(data, starts, ends))
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each stretch ``starts[i]:ends[i]`` of the bytes."""
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     weighted = (data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data))
@@ -97,7 +98,7 @@ def pieces_of(words: Words, longest: int, size: int, step: int) -> Words:
     ends = np.where(long[owner], np.minimum(starts + size, words.ends[owner]), words.ends[owner])
     text = segments(words.counts)
     counts = np.bincount(text[owner], minlength=len(words.counts))
-    return Words(words.data, words.borders, starts, ends, counts, _hashes(words.data, starts, ends))
+    return Words(words.data, words.borders, starts, ends, counts, hashes_of(words.data, starts, ends))
 
 
 def shingles_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
