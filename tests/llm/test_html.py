@@ -1,3 +1,6 @@
+import time
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +99,97 @@ def test_keys_have_one_size_and_tell_paths_apart():
     keys = [key for key, _ in page.containers]
     assert {len(key) for key in keys} == {32} and len(set(keys)) == len(keys)
     assert html_text.text_under(page, "/div.a/b/div/div") == "x" and html_text.depths(page) == [0, 1, 2, 3, 1, 2]
+
+
+def main_text(body):
+    return html_text.text_at(html_text.read(f"<html><body>{body}</body></html>"), None)
+
+
+SHORT = "A first sentence that leads in."
+LONG = "said once more and at some length by the one who is quoted here. " * 12
+
+
+@pytest.mark.parametrize("name", ["form-group", "header", "notice", "related", "social", "banner", "toolbar", "search-results"])
+def test_most_of_a_page_is_content_whatever_its_name(name):
+    assert main_text(f'<nav>menu</nav><div class="{name}"><p>{ARTICLE}</p></div>') == ARTICLE.strip()
+    assert main_text(f'<div class="post"><p>{ARTICLE}</p><div class="{name}"><p>short</p></div></div>') == ARTICLE.strip()
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["ad-container", "comment-body", "sidebar-content", "cookie-text", "footer-wrapper", "advert-body", "promo-story", "adContent"],
+)
+def test_what_is_no_content_by_its_name(name):
+    assert main_text(f'<div class="post"><p>{ARTICLE}</p><div class="{name}"><p>{LONG * 3}</p></div></div>') == ARTICLE.strip()
+    assert main_text(f'<div class="post has-{name}"><p>{ARTICLE}</p></div>') == ARTICLE.strip()
+
+
+def test_names_of_wrappers():
+    around = f'<div class="content-sidebar-wrap"><article class="post no-sidebar comment-open"><p>{ARTICLE}</p></article>'
+    assert main_text(around + '<div class="sidebar">side</div></div>') == ARTICLE.strip()
+    comment = f'<article class="comment"><h1>x</h1><p>{LONG}</p></article>'
+    assert main_text(f'<article><p>{ARTICLE}</p></article><div class="comments">{comment * 9}</div>') == ARTICLE.strip()
+
+
+def test_forms():
+    page = f'<form id="aspnetForm"><input type="hidden"><div class="page"><p>{ARTICLE}</p></div></form>'
+    assert main_text(page) == ARTICLE.strip()
+    mail = "<form><label>Your address</label><input><p>We write once a week.</p></form>"
+    assert main_text(f'<div class="page"><p>{ARTICLE}</p>{mail}</div>') == ARTICLE.strip()
+    assert main_text(mail) == ""
+
+
+def test_a_text_is_read_whole():
+    long, short = LONG.strip(), ARTICLE.strip()
+    assert main_text(f'<div class="s"><p>{SHORT}</p><blockquote><p>{LONG}</p></blockquote><p>end</p></div>') == f"{SHORT} {long} end"
+    assert main_text(f'<div class="s"><section class="a">{LONG}</section><section class="b">{ARTICLE}</section></div>') == f"{long} {short}"
+    assert main_text(f'<div class="s"><p>{ARTICLE}</p><div class="more">{LONG}</div></div>') == f"{short} {long}"
+    head = "<header><h1>Head</h1><p>The standfirst.</p><div>share this</div></header>"
+    assert main_text(f"<article>{head}<p>{ARTICLE}</p></article><footer>f</footer>") == f"Head The standfirst. {short}"
+    assert main_text(f"<article><details><summary>more</summary><p>{LONG}</p></details><p>{ARTICLE}</p></article>") == f"more {long} {short}"
+
+
+@pytest.mark.parametrize("empty", ["<!-->", "<!--->", "<!---->"])
+def test_empty_comments(empty):
+    assert main_text(f"<p>one{empty}</p><p>two</p><!-- > no --><p>three") == "one two three"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "x", "<i>" * 100_000 + "x", "<i>" * 50_000 + "<p>x" * 50_000, "<b>" * 50_000 + "x</q>" * 50_000,
+     "<form>" * 50_000 + "x", "<div class=menu>" * 50_000 + "x", "<li>" * 50_000 + "<p>x" * 50_000, "<div><p>x" * 50_000 + "</div>" * 50_000],
+)
+def test_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.text_at(html_text.read(page), None)
+    assert time.process_time() - began < 20  # a quadratic reader takes many minutes
+
+
+class Plain(HTMLParser):
+    """Another reader: what stands in article elements, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.parts = False, []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        self.handle_data(" " if tag in html_text.BLOCKS else "")
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "article"
+        self.handle_data(" " if tag in html_text.BLOCKS else "")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.parts.append(data)
+
+
+def test_against_another_reader(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {(r.page_id, r.url): r.text for r in html_extract.extract(pages).collect()}
+    for row in pages.collect():
+        plain = Plain()
+        plain.feed(row.html or "")
+        plain.close()
+        assert got[row.page_id, row.url] == " ".join("".join(plain.parts).split())

@@ -1,7 +1,7 @@
 """Extract main texts by the paths on which a host's pages agree.
 
-First pass: each page's containers are scored by their text outside links, and
-those near the best vote for their path (tags and classes from the root, figures
+First pass: each page's containers are scored by their text outside links, and the
+best path and the one above it get votes (a path is tags and classes from the root, figures
 made alike, as a hash of one size). Votes are added per host and path, before the shuffle as far as
 possible, and a host's paths with at least ``MIN_SHARE`` of its leading path's
 votes are its consensus, best first. Second pass: each page is read again and
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm import html_text
 from tidewatch.llm.common import rest, text_udf
 
-#: A container votes if it has this share of the best one's score.
+#: A path gets a vote if its score is this; the best one of a page has 1, the one above it half.
 VOTING_SHARE = 0.5
 #: Of the leading path's votes; bounds a host's consensus to a handful of paths.
 MIN_SHARE = 0.05
@@ -41,12 +41,14 @@ def _votes(pages: pa.Array) -> pa.Array:
     for raw in pages.to_pylist():
         page = html_text.read(raw)
         found = html_text.scores(page)
-        best = max(found)
-        votes: dict[tuple[str, int], float] = {}
-        for (path, _), depth, score in zip(page.containers, html_text.depths(page), found, strict=True):
-            if best > 0 and score >= VOTING_SHARE * best:
-                votes[path, depth] = max(votes.get((path, depth), 0.0), score / best)
-        rows.append([{"path": p, "depth": d, "vote": v} for (p, d), v in votes.items()])
+        depth_of = {path: depth for (path, _), depth in zip(page.containers, html_text.depths(page), strict=True)}
+        rows.append(
+            [
+                {"path": path, "depth": depth_of[path], "vote": vote}
+                for path, vote in found.items()
+                if vote >= VOTING_SHARE
+            ]
+        )
     item = pa.struct([("path", pa.string()), ("depth", pa.int32()), ("vote", pa.float64())])
     return pa.array(rows, pa.list_(item))
 

@@ -1,8 +1,9 @@
 """Blocks of text of an HTML page, with the containers they stand in.
 
-A lenient reader: unknown or unclosed tags never fail, and each character is looked at a
-bounded number of times. What is no content by its tag, role or class
-is left out on the way.
+A lenient reader: unknown or unclosed tags never fail, and the work is linear in the page, however
+deep its elements are. What is no content by its tag (menus, scripts, controls) is left out on the
+way. What a name in class, id or role makes doubtful, and forms, are judged when the page is read,
+by what they hold (see ``_judge``).
 """
 
 from __future__ import annotations
@@ -10,13 +11,15 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 #: Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = RAW | frozenset(
-    "head nav header footer aside form button select option dialog menu svg math object audio video canvas".split()
+    "head nav header footer aside button select option dialog menu svg math object audio video canvas".split()
 )
 CONTAINERS = frozenset("html body main article section div td th center details figure blockquote".split())
 BLOCKS = CONTAINERS | frozenset(
@@ -35,20 +38,37 @@ CLOSED_BY = {
     "th": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}),
     "option": frozenset({"option"}),
 }
-#: Words in class, id or role that mark what is no content.
+CLOSES = {name: [own for own, ends in CLOSED_BY.items() if name in ends] for name in BLOCKS | CLOSED_BY.keys()}
+#: What an element that ends others does not reach beyond.
+BARRIERS = CONTAINERS | frozenset("ul ol dl table".split())
+#: Words in class, id or role of what is no content, whatever its size.
 NO_CONTENT = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
-    "navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead comment comments disqus "
-    "respond cookie cookies consent notice notices alert popup modal overlay dialog share sharing social related "
-    "recommended newsletter subscribe subscription signup login search form widget toolbar pagination pager "
-    "contentinfo complementary hidden".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation "
+    "menu breadcrumb breadcrumbs sidebar footer comment comments disqus respond cookie cookies consent popup modal "
+    "share sharing newsletter subscribe subscription signup login pagination pager contentinfo complementary "
+    "hidden".split()
 )
-CONTENT = frozenset("content article main post entry story body text page wrapper container layout has with no".split())
+#: Likewise, of what is no content unless most of a page's text stands in it.
+DOUBTFUL = frozenset(
+    "banner aside header masthead notice notices alert overlay dialog social related recommended search form widget "
+    "toolbar".split()
+)
+COMMENTS = frozenset("comment comments disqus respond".split())
+#: A word behind one of these tells of the page, not of the element.
+NEGATING = frozenset("has with no without".split())
+#: Of the page's text outside links, what a doubtful element must hold to be content, and how much at least.
+MOST = 0.5
+MIN_PROSE = 200
+PARTS = frozenset("details figure blockquote".split())
+#: Of the text of the path above, what a path must hold to be the better one; 0.6 for other elements.
+SHARE = {"article": 0.4, "main": 0.4, "section": 0.9}
+OWN_PROSE = 0.05
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>]*+")
 #: The end of a tag, or what begins a value: a quote (group 1) or the unquoted value itself.
 _TAG_STOP = re.compile(r""">|=\s*+(?:(["'])|[^\s>]*+)""")
+_EMPTY_COMMENT = re.compile(r"<!---?>")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -63,28 +83,72 @@ def key_of(path: str) -> str:
 
 @dataclass
 class Page:
-    """``containers[i]`` is (key of its path, parent); ``blocks`` has (text, link characters, container)."""
+    """``containers[i]`` is (key of its path, parent), ``names[i]`` its element.
+
+    ``blocks`` has (text, link characters, container).
+    """
 
     containers: list[tuple[str, int]] = field(default_factory=lambda: [(key_of(""), -1)])
+    names: list[str] = field(default_factory=lambda: [""])
     blocks: list[tuple[str, int, int]] = field(default_factory=list)
 
 
+@dataclass
+class _Doubt:
+    """An element to be judged by what it holds; ``within`` is the doubt around it."""
+
+    within: int
+    certain: bool  # by its name it is no content
+    comments: bool = False
+    has_heading: bool = False  # a main element, or a heading of the first rank
+    has_article: bool = False
+    prose: int = 0
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element, with what holds for all text in it."""
+
+    name: str
+    container: int = 0
+    dropped: bool = False
+    doubt: int = -1
+    in_article: bool = False
+    in_header: bool = False  # of an article, outside its headings and paragraphs
+    in_link: bool = False
+
+
+def _prose(text: str, links: int) -> int:
+    return max(0, len(text) - 2 * links)
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw)}
 
 
 def _is_dropped(name: str, given: dict[str, str], in_article: bool) -> bool:
     if name == "header" and in_article:
-        return False  # the article's own; its headings are read below
+        return False  # the article's own; its headings and paragraphs are read
     if name in DROPPED or "hidden" in given or given.get("aria-hidden") == "true":
         return True
-    if _HIDDEN.search(given.get("style", "")):
-        return True
-    if name in ("html", "body", "main", "article"):
-        return False
-    marks = (given.get(k, "") for k in ("class", "id", "role"))
-    found = {w.lower() for mark in marks for w in _WORD.findall(mark)}
-    return bool(found & NO_CONTENT) and not found & CONTENT
+    return bool(_HIDDEN.search(given.get("style", "")))
+
+
+def _doubt(name: str, given: dict[str, str], within: int) -> _Doubt | None:
+    """The doubt that an element's name, class, id and role cast on it, if any."""
+    if name in ("html", "body", "main"):
+        return None
+    found = set()
+    for token in " ".join(given.get(k, "") for k in ("class", "id", "role")).split():
+        words = [w.lower() for w in _WORD.findall(token)]
+        if name == "article" and len(words) > 1:
+            continue  # such as an article that is open to comments
+        found.update(w for before, w in pairwise(["", *words]) if before not in NEGATING)
+    if found & NO_CONTENT:
+        return _Doubt(within, True, bool(found & COMMENTS))
+    if found & DOUBTFUL or name == "form":
+        return _Doubt(within, False)
+    return None
 
 
 def _step(name: str, given: dict[str, str]) -> str:
@@ -97,30 +161,30 @@ class _Reader:
     def __init__(self) -> None:
         self.page = Page()
         self.hashes = [_path_hash()]  # of each container's path, to go on from
-        self.stack: list[tuple[str, int, bool]] = []  # name, container, dropped
+        self.doubts: list[_Doubt] = []
+        self.block_doubts: list[int] = []
+        self.stack = [_Open("")]
+        self.places: dict[str, list[int]] = defaultdict(list)  # of each name, where it is open
+        self.barriers, self.containers, self.blocks = [-1], [-1], [-1]  # where such elements are open
         self.parts: list[str] = []
         self.link_chars = 0
 
-    def top(self) -> tuple[int, bool]:
-        return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (0, False)
-
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.page.blocks.append((text, min(self.link_chars, len(text)), self.top()[0]))
+                top = self.stack[-1]
+                self.page.blocks.append((text, min(self.link_chars, len(text)), top.container))
+                self.block_doubts.append(top.doubt)
         self.parts, self.link_chars = [], 0
 
     def text(self, raw: str) -> None:
-        if not raw or self.top()[1]:
-            return
-        if any(n == "header" for n, _, _ in self.stack) and not any(
-            n in HEADINGS for n, _, _ in self.stack
-        ):
+        top = self.stack[-1]
+        if not raw or top.dropped or top.in_header:
             return
         decoded = html.unescape(raw) if "&" in raw else raw
         self.parts.append(decoded)
-        if any(n == "a" for n, _, _ in self.stack):
+        if top.in_link:
             self.link_chars += len(decoded)
 
     def open(self, name: str, raw: str) -> None:
@@ -129,43 +193,100 @@ class _Reader:
                 self.parts.append(" ")
                 return
             self.flush()
-            self.close_for(name)
-        elif name in CLOSED_BY:
+        if name in CLOSES:
             self.close_for(name)
         if name in VOID:
             return
-        container, dropped = self.top()
+        top = self.stack[-1]
         given = _attributes(raw) if raw else {}
-        if not dropped:
-            in_article = any(n in ("article", "main") for n, _, _ in self.stack)
-            dropped = _is_dropped(name, given, in_article)
-        if name in CONTAINERS and not dropped:
-            path = self.hashes[container].copy()
-            path.update(f"/{_step(name, given)}".encode("utf-8", "surrogatepass"))
-            self.hashes.append(path)
-            self.page.containers.append((path.hexdigest(), container))
-            container = len(self.page.containers) - 1
-        self.stack.append((name, container, dropped))
+        own = _Open(name, top.container, top.dropped, top.doubt, top.in_article, top.in_header, top.in_link)
+        own.dropped = top.dropped or _is_dropped(name, given, top.in_article)
+        own.in_article = top.in_article or name in ("article", "main")
+        own.in_header = name == "header" or (top.in_header and name != "p" and name not in HEADINGS)
+        own.in_link = top.in_link or name == "a"
+        if not own.dropped:
+            if doubt := _doubt(name, given, top.doubt):
+                self.doubts.append(doubt)
+                own.doubt = len(self.doubts) - 1
+            if own.doubt >= 0:
+                self.doubts[own.doubt].has_heading |= name in ("h1", "main")
+                self.doubts[own.doubt].has_article |= name == "article"
+            if name in CONTAINERS:
+                own.container = self.contain(name, given, top.container)
+        self.push(own)
+
+    def contain(self, name: str, given: dict[str, str], parent: int) -> int:
+        path = self.hashes[parent].copy()
+        path.update(f"/{_step(name, given)}".encode("utf-8", "surrogatepass"))
+        self.hashes.append(path)
+        self.page.containers.append((path.hexdigest(), parent))
+        self.page.names.append(name)
+        return len(self.page.containers) - 1
+
+    def kinds(self, name: str) -> list[list[int]]:
+        sets = ((BARRIERS, self.barriers), (CONTAINERS, self.containers), (BLOCKS, self.blocks))
+        return [self.places[name], *[places for names, places in sets if name in names]]
+
+    def push(self, own: _Open) -> None:
+        for places in self.kinds(own.name):
+            places.append(len(self.stack))
+        self.stack.append(own)
+
+    def cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            for places in self.kinds(self.stack.pop().name):
+                places.pop()
 
     def close_for(self, name: str) -> None:
         """End what cannot hold an element of this name, up to its container."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            own = self.stack[i][0]
-            if name in CLOSED_BY.get(own, ()):
-                del self.stack[i:]
-                return
-            if own in CONTAINERS or own in ("ul", "ol", "dl", "table"):
-                return
+        open_at = (self.places[own][-1] for own in CLOSES[name] if self.places[own])
+        at = max(open_at, default=-1)
+        if at >= 0 and at >= self.barriers[-1]:
+            self.cut(at)
 
     def close(self, name: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == name:
-                if any(n in BLOCKS for n, _, _ in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in CONTAINERS and name not in CONTAINERS and name not in BLOCKS:
-                return  # an inline end tag ends nothing outside its container
+        if not (name in self.places and self.places[name]):
+            return
+        at = self.places[name][-1]
+        if self.containers[-1] > at and name not in CONTAINERS and name not in BLOCKS:
+            return  # an inline end tag ends nothing outside its container
+        if self.blocks[-1] >= at:
+            self.flush()
+        self.cut(at)
+
+    def finish(self) -> Page:
+        self.flush()
+        if self.doubts:
+            kept = _judge(self.doubts, self.page.blocks, self.block_doubts)
+            blocks = zip(self.page.blocks, self.block_doubts, strict=True)
+            self.page.blocks = [block for block, doubt in blocks if doubt < 0 or kept[doubt]]
+        return self.page
+
+
+def _judge(doubts: list[_Doubt], blocks: list[tuple[str, int, int]], block_doubts: list[int]) -> list[bool]:
+    """Of each doubt, whether its element is content after all.
+
+    It is if it holds the main element or a first heading, or if most of the page's text outside links
+    stands in it. For an element whose name is certain the text must also stand in an article, and
+    comments do not become content by their amount. What stands in a dropped element goes with it.
+    """
+    total = 0
+    for (text, links, _), doubt in zip(blocks, block_doubts, strict=True):
+        total += _prose(text, links)
+        if doubt >= 0:
+            doubts[doubt].prose += _prose(text, links)
+    for own in reversed(doubts):  # what stands within another follows it
+        if own.within >= 0:
+            around = doubts[own.within]
+            around.prose += own.prose
+            around.has_heading |= own.has_heading
+            around.has_article |= own.has_article
+    kept: list[bool] = []
+    for own in doubts:
+        large = own.prose >= max(MOST * total, MIN_PROSE)
+        content = not own.comments and (own.has_heading or (large and (own.has_article or not own.certain)))
+        kept.append(content and (own.within < 0 or kept[own.within]))
+    return kept
 
 
 def _tag_end(page: str, at: int, no_quote: set[str]) -> int:
@@ -197,6 +318,9 @@ def read(page: str) -> Page:
             reader.text(page[at:])
             break
         reader.text(page[at:start])
+        if empty := _EMPTY_COMMENT.match(page, start):
+            at = empty.end()
+            continue
         if page.startswith("<!--", start):
             end = page.find("-->", start + 4)
             at = size if end < 0 else end + 3
@@ -225,20 +349,55 @@ def read(page: str) -> Page:
             aligned = lowered if len(lowered) == size else page
             close = aligned.find(f"</{tag}", at)
             at = size if close < 0 else close
-    reader.flush()
-    return reader.page
+    return reader.finish()
+
 
+def scores(page: Page) -> dict[str, float]:
+    """Of each path that may be the page's main one: 1 for the best, and half for each step above it.
 
-def scores(page: Page) -> list[float]:
-    """Of each container: its own text outside links, and half its children's scores."""
-    found = [0.0] * len(page.containers)
+    The best path is looked for from the root down. A step goes to the path that holds the
+    ``SHARE`` of the text outside links that its element needs. It is not taken from an article, nor
+    from a path with ``OWN_PROSE`` of its text beside its containers (but for an article in it).
+    Quotations, figures and details are parts of a text and never paths of their own.
+    """
+    prose: dict[str, int] = {}
+    own_prose: dict[str, int] = defaultdict(int)
+    element: dict[str, str] = {}
+    inner: dict[str, list[str]] = defaultdict(list)
+    of_path = []  # of each container, the path that its text counts for
+    for (key, parent), name in zip(page.containers, page.names, strict=True):
+        above = of_path[parent] if parent >= 0 else ""
+        if parent >= 0 and (name in PARTS or element[above] in ("article", *PARTS)):
+            of_path.append(above)
+            continue
+        if key not in element:
+            element[key], prose[key] = name, 0
+            if parent >= 0:
+                inner[above].append(key)
+        of_path.append(key)
     for text, links, container in page.blocks:
-        found[container] += max(0, len(text) - 2 * links)
-    for i in range(len(page.containers) - 1, 0, -1):  # children stand behind parents
-        parent = page.containers[i][1]
-        if parent >= 0:
-            found[parent] += found[i] / 2
-    return found
+        own_prose[of_path[container]] += _prose(text, links)
+    order = list(element)
+    above_of = {key: above for above, keys in inner.items() for key in keys}
+    for key in reversed(order):  # inner paths stand behind outer ones
+        prose[key] += own_prose[key]
+        if key in above_of:
+            prose[above_of[key]] += prose[key]
+    chain = [order[0]]
+    while step := _step_down(chain[-1], inner, prose, own_prose, element):
+        chain.append(step)
+    return {key: 0.5**i for i, key in enumerate(reversed(chain))} if page.blocks else {}
+
+
+def _step_down(at, inner, prose, own_prose, element) -> str | None:
+    if element[at] == "article" or not prose[at] or not inner[at]:
+        return None
+    best = max(inner[at], key=lambda key: prose[key])  # the first of equals
+    if prose[best] < SHARE.get(element[best], 0.6) * prose[at]:
+        return None
+    if own_prose[at] >= OWN_PROSE * prose[at] and element[best] not in ("article", "main"):
+        return None
+    return best
 
 
 def depths(page: Page) -> list[int]:
@@ -258,9 +417,8 @@ def text_at(page: Page, key: str | None) -> str:
     """Likewise, by the path's key."""
     if key is None:
         found = scores(page)
-        wanted = {max(range(len(found)), key=lambda i: (found[i], -i))} if page.blocks else set()
-    else:
-        wanted = {i for i, (own, _) in enumerate(page.containers) if own == key}
+        key = max(found, key=found.__getitem__) if found else None
+    wanted = {i for i, (own, _) in enumerate(page.containers) if own == key}
     inside = [False] * len(page.containers)
     for i, (_, parent) in enumerate(page.containers):
         inside[i] = i in wanted or (parent >= 0 and inside[parent])
