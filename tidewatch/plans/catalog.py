@@ -586,6 +586,25 @@ def stream_rapid_fire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("transaction_id", "user_id", *flags, "is_fraud", "fraud_reason")
 
 
+@query
+def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the scoring stream, merged with the corrections that a stream beside it made."""
+    out = work_dir(spark, "stream_corrections")
+    raw = _in_steps(spark, sf_dir, out)
+    _run_scoring(raw, out)
+    config = StreamConfig(output_path=out)
+    pipeline.start_corrections(raw, TABLE_RULES, config, available_now=True).awaitTermination()
+    results = reports.corrected_results(spark, out)
+    flags = ["fraud_high_value", "fraud_rapid_fire", "fraud_location_anomaly"]
+    return results.select("transaction_id", "user_id", *flags, "is_fraud", "fraud_reason")
+
+
+@query
+def rapid_fire_burst_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row with each hot window around it, from counts by pane."""
+    return rapid_fire.burst_rows(events.transactions(spark, sf_dir), TABLE_RULES)
+
+
 # --- reports ---------------------------------------------------------------
 
 

@@ -359,6 +359,17 @@ group by user_id, window_start, window_end having count(*) > {TABLE_RULES.rapid_
         _CLOSED,
         """select transaction_id, user_id, fraud_high_value, fraud_rapid_fire,
   fraud_location_anomaly, is_fraud, fraud_reason from scored""",
+    ),
+    "stream_corrections": _select(
+        _CLOSED,
+        """select transaction_id, user_id, fraud_high_value, fraud_rapid_fire,
+  fraud_location_anomaly, is_fraud, fraud_reason from scored""",
+    ),
+    "rapid_fire_burst_rows": _select(
+        f"{_TXNS},{_WINDOWS}",
+        """select t.transaction_id, t.user_id, t.event_time, h.window_start, h.window_end, h.txn_count
+from txns t join hot h
+  on h.user_id = t.user_id and t.event_time >= h.window_start and t.event_time < h.window_end""",
     ),
     "report_kpis": _select(
         _TWO,

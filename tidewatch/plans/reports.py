@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import RuleConfig
 from tidewatch.functions.messages import parse_event_time
-from tidewatch.operators.rapid_fire import stamp_bursts
-from tidewatch.sources.tables import load_bursts, load_results
+from tidewatch.operators.rapid_fire import correct, stamp_bursts
+from tidewatch.sources.tables import load_bursts, load_corrections, load_results
 
 # The columns of two reports.
 LATEST_COLUMNS = ("transaction_id", "user_id", "amount", "city", "fraud_reason", "timestamp")
@@ -109,6 +109,16 @@ def stored_results(
     return stamp_bursts(results, load_bursts(spark, output_path), config or RuleConfig())
 
 
+def corrected_results(spark: SparkSession, output_path: str) -> DataFrame:
+    """Clean rows and alerts below ``output_path``, merged with the corrections made since.
+
+    As ``stored_results``, for a correction stream in place of a burst stream. The merge goes by
+    row, so it does not ask for the rule's window.
+    """
+    results = union_results(*load_results(spark, output_path))
+    return correct(results, load_corrections(spark, output_path))
+
+
 def refresh(
     spark: SparkSession, output_path: str, config: RuleConfig | None = None
 ) -> dict[str, DataFrame]:

@@ -84,6 +84,17 @@ BURST_SCHEMA = T.StructType(
 )
 
 
+# Rows that lie in a burst, as the correction stream stores them.
+CORRECTION_SCHEMA = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        *BURST_SCHEMA.fields[1:],
+    ]
+)
+
+
 def stored_columns(df: DataFrame) -> DataFrame:
     """``df`` in the stored layout: all columns, in order, NULL where it has none."""
     own = set(df.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.schema import BURST_SCHEMA, LATE_SCHEMA, RESULT_SCHEMA
+from tidewatch.schema import BURST_SCHEMA, CORRECTION_SCHEMA, LATE_SCHEMA, RESULT_SCHEMA
 
 
 def read_parquet_dir(
@@ -51,6 +51,11 @@ def load_bursts(spark: SparkSession, output_path: str) -> DataFrame:
     return _read_if_there(spark, f"{output_path}/rapid_fire_alerts", BURST_SCHEMA)
 
 
+def load_corrections(spark: SparkSession, output_path: str) -> DataFrame:
+    """The rows in bursts that the correction stream has committed so far."""
+    return _read_if_there(spark, f"{output_path}/corrections", CORRECTION_SCHEMA)
+
+
 def load_late(spark: SparkSession, output_path: str) -> DataFrame:
     """The rows that came behind the watermark of an ordered stream."""
     return _read_if_there(spark, f"{output_path}/late_rows", LATE_SCHEMA)

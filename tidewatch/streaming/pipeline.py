@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.config import RuleConfig, StreamConfig
 from tidewatch.functions.messages import parse_transactions
-from tidewatch.operators.rapid_fire import hot_windows
+from tidewatch.operators.rapid_fire import burst_rows, hot_windows
 from tidewatch.operators.validate import valid_rows, with_reject_reason
 from tidewatch.plans.scoring import apply_rules
 from tidewatch.schema import REJECT_SCHEMA, SCORED_SCHEMA
@@ -180,3 +180,30 @@ def start_rapid_fire(
     if early:
         return writer.outputMode("update").foreachBatch(write).start()
     return writer.outputMode("append").format("parquet").option("path", folder).start()
+
+
+def start_corrections(
+    messages: DataFrame,
+    rules: RuleConfig,
+    stream: StreamConfig,
+    *,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Write the rows of bursts to ``corrections``, as soon as a burst's window has closed.
+
+    The scoring stream stores a row before it can know of a burst around it, and a burst may lie
+    in several of its batches. This query names the rows that such a burst takes in;
+    ``reports.corrected_results`` merges them into the stored rows. State is bounded by the
+    watermark: open panes, open windows, and the rows that these can still take in.
+    """
+    sound = valid_rows(parse_transactions(project_records(messages)), rules.max_ahead_seconds)
+    return (
+        burst_rows(sound.withWatermark("event_time", stream.watermark), rules)
+        .writeStream.queryName(f"corrections {stream.output_path}")
+        .outputMode("append")
+        .format("parquet")
+        .option("path", f"{stream.output_path}/corrections")
+        .option("checkpointLocation", f"{stream.checkpoint_base}/corrections")
+        .trigger(**_trigger(stream, available_now))
+        .start()
+    )
