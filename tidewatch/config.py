@@ -75,6 +75,9 @@ class StreamConfig:
 
     With ``ordered``, rows wait for the watermark and are scored in time order, in panes of
     ``pane_seconds`` (see ``streaming.release``); without, as they come.
+
+    With ``partial_reports``, each batch writes its share of the reports beside its rows (see
+    ``plans.partials``).
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -89,6 +92,7 @@ class StreamConfig:
     state_ttl_seconds: int | None = None
     ordered: bool = False
     pane_seconds: int = 30
+    partial_reports: bool = False
 
     @property
     def checkpoint_base(self) -> str:

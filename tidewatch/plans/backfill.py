@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import MAX_AHEAD_SECONDS, RuleConfig
 from tidewatch.functions.messages import parse_transactions
 from tidewatch.operators.validate import with_reject_reason
+from tidewatch.plans import partials
 from tidewatch.plans.scoring import score_transactions
 from tidewatch.schema import REJECT_SCHEMA, stored_columns
 from tidewatch.session import remove
@@ -55,13 +56,22 @@ def score_landed(
     return rest(stored_columns(scored), f"{_staging(output_path, batch_id)}/scored")
 
 
-def backfill(messages: DataFrame, config: RuleConfig, output_path: str, batch_id: int) -> None:
-    """Write the clean, alert, CSV and reject tables of one bulk input."""
+def backfill(
+    messages: DataFrame,
+    config: RuleConfig,
+    output_path: str,
+    batch_id: int,
+    *,
+    partial_reports: bool = False,
+) -> None:
+    """Write the clean, alert, CSV and reject tables of one bulk input; its partial sums if asked to."""
     landed = land_messages(messages, output_path, batch_id, config.max_ahead_seconds)
     scored = score_landed(landed, config, output_path, batch_id)
     tables.write_clean(scored, output_path, batch_id)
     tables.write_alerts(scored, output_path, batch_id)
     tables.write_alerts_csv(scored, output_path, batch_id)
+    if partial_reports:
+        partials.write(scored, output_path, batch_id)
     now = F.lit(datetime.now(timezone.utc))
     rejects = landed.filter(F.col("reject_reason").isNotNull()).withColumn("processed_at", now)
     tables.write_rejects(rejects.select(*REJECT_SCHEMA.fieldNames()), output_path, batch_id)

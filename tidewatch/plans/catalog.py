@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tidewatch.config import RULES, RuleConfig, StreamConfig
 from tidewatch.functions import flags, messages
 from tidewatch.functions.geo import haversine_km
 from tidewatch.operators import rapid_fire, routing, rules, validate
-from tidewatch.plans import reports, scoring
+from tidewatch.plans import partials, reports, scoring
 from tidewatch.plans.backfill import backfill, land_messages, score_landed
 from tidewatch.schema import SCORED_SCHEMA
 from tidewatch.session import remove, streaming_session, work_dir
@@ -631,6 +632,34 @@ def report_volume_by_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(reports.volume_by_minute(_scored(spark, sf_dir)))
 
 
+@query
+def stream_partial_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports as a refresh merges them from the partial sums of a stream's batches.
+
+    One row per figure: the report, what the figure is of, and the figure.
+    """
+    out = work_dir(spark, "stream_partial_reports")
+    raw = _in_steps(spark, sf_dir, out)
+    config = StreamConfig(output_path=out, partial_reports=True)
+    pipeline.start_scoring(raw, DEFAULT_SET, config, available_now=True).awaitTermination()
+    found = partials.refresh(spark, out)
+
+    def figures(report: str, key: Column, value: str) -> DataFrame:
+        of, figure = key.cast("string"), F.round(F.col(value).cast("double"), 6)
+        return found[report].select(F.lit(report).alias("report"), of.alias("of"), figure.alias("figure"))
+
+    minute = F.concat_ws(" ", F.date_format("minute", "yyyy-MM-dd HH:mm"), F.col("is_fraud").cast("string"))
+    cell = F.concat_ws(" ", F.col("south").cast("int").cast("string"), F.col("west").cast("int").cast("string"))
+    parts = [figures("kpis", F.lit(c), c) for c in found["kpis"].columns]
+    parts += [
+        figures("reason_counts", F.col("reason"), "alerts"),
+        figures("volume_by_minute", minute, "rows"),
+        figures("geo_grid", cell, "alerts"),
+        figures("latest_alerts", F.col("transaction_id"), "amount"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def report_geo_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.geo_points(_scored(spark, sf_dir))

@@ -398,6 +398,28 @@ from scored group by 1, 2 order by 1, 2""",
         _THREE,
         """select cast(floor(latitude) as double) as south, cast(floor(longitude) as double) as west,
   count(*) as alerts, round(sum(amount), 2) as amount from scored where is_fraud group by 1, 2""",
+    ),
+    "stream_partial_reports": _select(
+        _TWO,
+        """select 'kpis' as report, 'total' as of, cast(count(*) as double) as figure from scored
+union all
+select 'kpis', 'alerts', cast(count(*) filter (where is_fraud) as double) from scored
+union all
+select 'kpis', 'alert_rate', round(cast(count(*) filter (where is_fraud) as double)
+  / cast(greatest(count(*), 1) as double) * 100, 6) from scored
+union all
+select 'kpis', 'avg_alert_amount', round(avg(amount) filter (where is_fraud), 6) from scored
+union all
+select 'reason_counts', fraud_reason, cast(count(*) as double) from scored where is_fraud group by 2
+union all
+select 'volume_by_minute', concat(strftime(event_time, '%Y-%m-%d %H:%M'), ' ', cast(is_fraud as varchar)),
+  cast(count(*) as double) from scored group by 2
+union all
+select 'geo_grid', concat(cast(floor(latitude) as int), ' ', cast(floor(longitude) as int)),
+  cast(count(*) as double) from scored where is_fraud group by 2
+union all
+select * from (select 'latest_alerts', transaction_id, round(amount, 6) from scored where is_fraud
+  order by event_time desc, transaction_id limit 20)""",
     ),
     "report_geo_points": _select(
         _THREE,

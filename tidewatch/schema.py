@@ -95,6 +95,33 @@ CORRECTION_SCHEMA = T.StructType(
 )
 
 
+# Partial sums of the reports, and each batch's newest alerts.
+COUNTS_SCHEMA = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("is_fraud", T.BooleanType()),
+        T.StructField("fraud_reason", T.StringType()),
+        T.StructField("south", T.LongType()),
+        T.StructField("west", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("amounts", T.LongType()),
+        T.StructField("amount", T.DoubleType()),
+    ]
+)
+NEWEST_SCHEMA = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("city", T.StringType()),
+        T.StructField("fraud_reason", T.StringType()),
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("is_fraud", T.BooleanType()),
+    ]
+)
+
+
 def stored_columns(df: DataFrame) -> DataFrame:
     """``df`` in the stored layout: all columns, in order, NULL where it has none."""
     own = set(df.columns)

@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.schema import BURST_SCHEMA, CORRECTION_SCHEMA, LATE_SCHEMA, RESULT_SCHEMA
+from tidewatch.schema import (
+    BURST_SCHEMA,
+    CORRECTION_SCHEMA,
+    COUNTS_SCHEMA,
+    LATE_SCHEMA,
+    NEWEST_SCHEMA,
+    RESULT_SCHEMA,
+)
 
 
 def read_parquet_dir(
@@ -56,6 +63,14 @@ def load_corrections(spark: SparkSession, output_path: str) -> DataFrame:
     return _read_if_there(spark, f"{output_path}/corrections", CORRECTION_SCHEMA)
 
 
+def load_partials(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame]:
+    """The partial sums of the reports, and the newest alerts of each batch."""
+    return (
+        _read_if_there(spark, f"{output_path}/report_counts", COUNTS_SCHEMA),
+        _read_if_there(spark, f"{output_path}/report_newest", NEWEST_SCHEMA),
+    )
+
+
 def load_late(spark: SparkSession, output_path: str) -> DataFrame:
     """The rows that came behind the watermark of an ordered stream."""
     return _read_if_there(spark, f"{output_path}/late_rows", LATE_SCHEMA)

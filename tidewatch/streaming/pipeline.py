@@ -14,6 +14,7 @@ from tidewatch.config import RuleConfig, StreamConfig
 from tidewatch.functions.messages import parse_transactions
 from tidewatch.operators.rapid_fire import burst_rows, hot_windows
 from tidewatch.operators.validate import valid_rows, with_reject_reason
+from tidewatch.plans import partials
 from tidewatch.plans.scoring import apply_rules
 from tidewatch.schema import REJECT_SCHEMA, SCORED_SCHEMA
 from tidewatch.sinks import tables
@@ -68,6 +69,7 @@ def process_batch(
     rules: RuleConfig,
     output_path: str,
     on_metrics: Callable[[tables.BatchMetrics], None] | None = None,
+    partial_reports: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The callback for one micro-batch: score it once, write all tables from that.
 
@@ -98,6 +100,8 @@ def process_batch(
             tables.write_alerts(rows, output_path, batch_id, alerts)
             tables.write_alerts_csv(rows, output_path, batch_id, alerts)
             tables.write_rejects(rejects, output_path, batch_id, count["rejects"])
+            if partial_reports:
+                partials.write(rows, output_path, batch_id)
             metrics = tables.BatchMetrics(batch_id, **count.asDict())
             log.info("%s", metrics)
             if on_metrics:
@@ -134,7 +138,7 @@ def start_scoring(
     return (
         parse_stream(messages, rules, stream, known)
         .writeStream.queryName(f"scoring {stream.output_path}")
-        .foreachBatch(process_batch(rules, stream.output_path, on_metrics))
+        .foreachBatch(process_batch(rules, stream.output_path, on_metrics, stream.partial_reports))
         .option("checkpointLocation", f"{stream.checkpoint_base}/main")
         .trigger(**_trigger(stream, available_now))
         .start()
