@@ -77,7 +77,8 @@ class StreamConfig:
     ``pane_seconds`` (see ``streaming.release``); without, as they come.
 
     With ``partial_reports``, each batch writes its share of the reports beside its rows (see
-    ``plans.partials``).
+    ``plans.partials``). With ``batch_records``, a batch is recorded with its counts when all its
+    tables are written, for readers that want whole batches (see ``sources.tables.load_recorded``).
     """
 
     bootstrap_servers: str = "localhost:9092"
@@ -93,6 +94,7 @@ class StreamConfig:
     ordered: bool = False
     pane_seconds: int = 30
     partial_reports: bool = False
+    batch_records: bool = False
 
     @property
     def checkpoint_base(self) -> str:

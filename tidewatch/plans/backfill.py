@@ -63,8 +63,12 @@ def backfill(
     batch_id: int,
     *,
     partial_reports: bool = False,
+    batch_records: bool = False,
 ) -> None:
-    """Write the clean, alert, CSV and reject tables of one bulk input; its partial sums if asked to."""
+    """Write the clean, alert, CSV and reject tables of one bulk input; if asked to, its partial sums and record."""
+    spark = messages.sparkSession
+    if batch_records:
+        tables.open_batch(spark, output_path, batch_id)
     landed = land_messages(messages, output_path, batch_id, config.max_ahead_seconds)
     scored = score_landed(landed, config, output_path, batch_id)
     tables.write_clean(scored, output_path, batch_id)
@@ -75,4 +79,9 @@ def backfill(
     now = F.lit(datetime.now(timezone.utc))
     rejects = landed.filter(F.col("reject_reason").isNotNull()).withColumn("processed_at", now)
     tables.write_rejects(rejects.select(*REJECT_SCHEMA.fieldNames()), output_path, batch_id)
-    remove(messages.sparkSession, _staging(output_path, batch_id))
+    if batch_records:
+        counts = tables.batch_metrics(scored).first()
+        lost = landed.filter(F.col("reject_reason").isNotNull()).count()
+        metrics = tables.BatchMetrics(batch_id, counts["total"], counts["alerts"], lost)
+        tables.record_batch(spark, metrics, output_path)
+    remove(spark, _staging(output_path, batch_id))

@@ -32,8 +32,10 @@ from tidewatch.sources.messages import file_stream, project_records
 from tidewatch.sources.progress import offset_log
 from tidewatch.sources.tables import (
     last_rows,
+    load_batches,
     load_bursts,
     load_late,
+    load_recorded,
     load_results,
     read_parquet_dir,
 )
@@ -602,6 +604,18 @@ def stream_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("transaction_id", "user_id", *flags, "is_fraud", "fraud_reason")
 
 
+@query
+def stream_batch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts recorded with each batch, and the rows of the tables that a reader of whole batches sees."""
+    out = work_dir(spark, "stream_batch_records")
+    config = StreamConfig(output_path=out, batch_records=True)
+    raw = _in_steps(spark, sf_dir, out)
+    pipeline.start_scoring(raw, DEFAULT_SET, config, available_now=True).awaitTermination()
+    rows = reports.union_results(*load_recorded(spark, out)).groupBy("batch_id").agg(F.count("*").alias("rows"))
+    told = load_batches(spark, out).join(rows, "batch_id", "left")
+    return told.select("batch_id", "total", "alerts", "rejects", F.round("alert_rate", 6).alias("alert_rate"), "rows")
+
+
 @query
 def stream_offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the checkpoint says of each batch of the scoring stream, beside the rows stored by it."""

@@ -364,6 +364,20 @@ group by user_id, window_start, window_end having count(*) > {TABLE_RULES.rapid_
         _CLOSED,
         """select transaction_id, user_id, fraud_high_value, fraud_rapid_fire,
   fraud_location_anomaly, is_fraud, fraud_reason from scored""",
+    ),
+    "stream_batch_records": _select(
+        f"""{_TWO},
+span as (
+  select min(epoch_us(ts)) as first, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 as length from events
+),
+stepped as (
+  select *, cast(floor((epoch_us(event_time) - first) * {STEPS} / length) as bigint) as batch_id
+  from scored, span
+)""",
+        """select batch_id, count(*) as total, count(*) filter (where is_fraud) as alerts,
+  cast(0 as bigint) as rejects,
+  round(cast(count(*) filter (where is_fraud) as double) / cast(count(*) as double) * 100, 6) as alert_rate,
+  count(*) as rows from stepped group by batch_id""",
     ),
     "stream_offset_audit": f"""with span as (
   select min(epoch_us(ts)) as first, max(epoch_us(ts)) - min(epoch_us(ts)) + 1 as length from events

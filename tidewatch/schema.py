@@ -122,6 +122,20 @@ NEWEST_SCHEMA = T.StructType(
 )
 
 
+# One row per batch whose tables are all written.
+BATCH_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("total", T.LongType()),
+        T.StructField("alerts", T.LongType()),
+        T.StructField("rejects", T.LongType()),
+        T.StructField("out_of_order", T.LongType()),
+        T.StructField("alert_rate", T.DoubleType()),
+        T.StructField("recorded_at", T.TimestampType()),
+    ]
+)
+
+
 def stored_columns(df: DataFrame) -> DataFrame:
     """``df`` in the stored layout: all columns, in order, NULL where it has none."""
     own = set(df.columns)

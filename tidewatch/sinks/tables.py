@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.routing import alert_rows, clean_rows
-from tidewatch.schema import ALERT_CSV_SCHEMA, LATE_SCHEMA, stored_columns
+from tidewatch.schema import ALERT_CSV_SCHEMA, BATCH_SCHEMA, LATE_SCHEMA, stored_columns
+from tidewatch.session import remove
 
 ROWS_PER_FILE = 1_000_000
 CSV_WRITE = {
@@ -68,6 +70,19 @@ def write_batch(df: DataFrame, output_path: str, table: str, batch_id: int) -> N
     _write_parquet(df, _batch_folder(output_path, table, batch_id))
 
 
+def open_batch(spark: SparkSession, output_path: str, batch_id: int) -> None:
+    """Before a batch's tables are written: it is not recorded, or, if it is replayed, no more."""
+    remove(spark, _batch_folder(output_path, "batches", batch_id))
+
+
+def record_batch(spark: SparkSession, metrics: BatchMetrics, output_path: str) -> None:
+    """After all tables of a batch are written: its counts, as the sign that it is whole."""
+    counts = (metrics.total, metrics.alerts, metrics.rejects, metrics.out_of_order)
+    row = (metrics.batch_id, *counts, metrics.rate, datetime.now(timezone.utc))
+    record = spark.createDataFrame([row], BATCH_SCHEMA).drop("batch_id").coalesce(1)
+    write_batch(record, output_path, "batches", metrics.batch_id)
+
+
 def write_clean(
     scored: DataFrame, output_path: str, batch_id: int, rows: int | None = None
 ) -> None:

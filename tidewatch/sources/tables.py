@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.schema import (
+    BATCH_SCHEMA,
     BURST_SCHEMA,
     CORRECTION_SCHEMA,
     COUNTS_SCHEMA,
@@ -53,6 +54,26 @@ def load_results(spark: SparkSession, output_path: str) -> tuple[DataFrame, Data
     )
 
 
+def load_batches(spark: SparkSession, output_path: str) -> DataFrame:
+    """The batches whose tables are all written, with their counts."""
+    return _read_if_there(spark, f"{output_path}/batches", BATCH_SCHEMA)
+
+
+def load_recorded(spark: SparkSession, output_path: str) -> tuple[DataFrame, DataFrame]:
+    """The clean and the alert table as ``load_results`` has them, of recorded batches alone.
+
+    So a batch is seen in both tables or in neither; if it is replayed while it is read, the read
+    fails, as its files go. The batches are taken as recorded now. The rows of others, mostly
+    the one being written, are read and left out. It takes a stream with
+    ``StreamConfig.batch_records``, or a backfill that records.
+    """
+    # Listed before the tables, so that a batch recorded meanwhile is in neither.
+    batches = load_batches(spark, output_path).select("batch_id")
+    clean, alerts = load_results(spark, output_path)
+    whole = (table.join(batches, "batch_id", "left_semi") for table in (clean, alerts))
+    return tuple(table.select(*RESULT_SCHEMA.fieldNames()) for table in whole)
+
+
 def load_bursts(spark: SparkSession, output_path: str) -> DataFrame:
     """The closed hot windows that the burst stream has committed so far."""
     return _read_if_there(spark, f"{output_path}/rapid_fire_alerts", BURST_SCHEMA)

@@ -69,7 +69,9 @@ def process_batch(
     rules: RuleConfig,
     output_path: str,
     on_metrics: Callable[[tables.BatchMetrics], None] | None = None,
+    *,
     partial_reports: bool = False,
+    batch_records: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The callback for one micro-batch: score it once, write all tables from that.
 
@@ -91,6 +93,8 @@ def process_batch(
             ).first()
             if count["total"] + count["rejects"] == 0:
                 return
+            if batch_records:
+                tables.open_batch(scored.sparkSession, output_path, batch_id)
             rows = scored.filter(sound).drop("raw_message", "reject_reason")
             if "late_by" in rows.columns:
                 tables.write_late(rows, output_path, batch_id)
@@ -103,6 +107,8 @@ def process_batch(
             if partial_reports:
                 partials.write(rows, output_path, batch_id)
             metrics = tables.BatchMetrics(batch_id, **count.asDict())
+            if batch_records:
+                tables.record_batch(scored.sparkSession, metrics, output_path)
             log.info("%s", metrics)
             if on_metrics:
                 on_metrics(metrics)
@@ -138,7 +144,15 @@ def start_scoring(
     return (
         parse_stream(messages, rules, stream, known)
         .writeStream.queryName(f"scoring {stream.output_path}")
-        .foreachBatch(process_batch(rules, stream.output_path, on_metrics, stream.partial_reports))
+        .foreachBatch(
+            process_batch(
+                rules,
+                stream.output_path,
+                on_metrics,
+                partial_reports=stream.partial_reports,
+                batch_records=stream.batch_records,
+            )
+        )
         .option("checkpointLocation", f"{stream.checkpoint_base}/main")
         .trigger(**_trigger(stream, available_now))
         .start()
