@@ -100,6 +100,20 @@ def test_a_full_filter_costs_time_only(spark, monkeypatch):
     assert result(frame(spark, rows)) == plain(rows)
 
 
+def test_a_filter_that_takes_an_opened_phrase_for_a_member_loses_none():
+    """A phrase was not counted if a part was not, though a filter says that the part was."""
+    block = collocations.Block(pa.array(["w b c"]), ["en"])
+    missing = block.word_hash[block.word[0]]
+
+    class AllButOneWord:
+        def has(self, hashes):
+            return hashes != collocations._tagged(missing, 1)
+
+    everything = collocations.Filter(np.full(1, ~np.uint64(0)))
+    opened = {k: dict(zip(at.tolist(), new.tolist())) for k, _, at, _, new in block.phrases(3, everything, AllButOneWord())}
+    assert opened == {1: {0: False, 1: False, 2: False}, 2: {0: True, 1: False}, 3: {0: True}}
+
+
 def test_blocks_and_partitions_do_not_matter(spark, monkeypatch):
     rows = invented(11)
     monkeypatch.setattr(collocations, "BLOCK_BYTES", 300)

@@ -156,7 +156,8 @@ class Block:
 
         These are the words and each longer phrase whose parts are both in ``now`` (always, if
         that is None) or opened themselves. A phrase is opened if it is longer than a word, and
-        its parts are not both in ``before``: then it has not been counted yet.
+        its parts are not both in ``before``, or one is opened: then it has not been counted yet.
+        A filter may take an opened part for a member, so being in ``before`` is not enough.
         """
         gram, hashes, number = self.word, self.word_hash, max(len(self.word_hash), 1)
         opened = np.zeros(len(hashes), bool)
@@ -175,7 +176,7 @@ class Block:
             first = here[at]
             old = np.ones(len(values), bool)
             if before is not None and len(first):
-                counted = before.has(keys)
+                counted = before.has(keys) & ~opened
                 old = counted[gram[first]] & counted[gram[first + 1]]
             prefix, last = np.divmod(values, number)
             hashes, opened = _phrase_hash(hashes[prefix], self.word_hash[last]), ~old
