@@ -374,10 +374,16 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STEPS, FILES_PER_STEP = 5, 2
+#: A step keeps its few files, by which a micro-batch is cut; many row groups let many tasks read them.
+ROW_GROUP_BYTES = 1 << 20
 #: These events reach the stream in its last step, long after their time.
 LATE_EVENTS = "event_id % 50 = 7"
 
 
+def _write_step(part: DataFrame, path: str, files: int = FILES_PER_STEP) -> None:
+    part.repartition(files).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+
+
 def _in_steps(spark: SparkSession, sf_dir: str, out: str, late: bool = False) -> DataFrame:
     """The table as a stream of messages that comes in steps, each a micro-batch.
 
@@ -392,8 +398,7 @@ def _in_steps(spark: SparkSession, sf_dir: str, out: str, late: bool = False) ->
     if late:
         step = F.when(F.expr(LATE_EVENTS), F.lit(STEPS - 1)).otherwise(step)
     for i in range(STEPS):
-        part = table.filter(step == i).repartition(FILES_PER_STEP)
-        part.write.parquet(f"{out}/inbox/step-{i}")
+        _write_step(table.filter(step == i), f"{out}/inbox/step-{i}")
     stream = file_stream(
         streaming_session(spark), f"{out}/inbox/*", events.EVENTS_SCHEMA, "parquet", FILES_PER_STEP
     )
@@ -429,7 +434,7 @@ def _out_of_order(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
     )
     parts = [table.filter(step == i) for i in range(STEPS)] + [clock]
     for i, part in enumerate(parts):
-        part.repartition(FILES_PER_STEP if i < STEPS else 1).write.parquet(f"{out}/inbox/step-{i}")
+        _write_step(part, f"{out}/inbox/step-{i}", FILES_PER_STEP if i < STEPS else 1)
     stream = file_stream(
         streaming_session(spark), f"{out}/inbox/*", events.EVENTS_SCHEMA, "parquet", FILES_PER_STEP
     )

@@ -32,6 +32,8 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # A micro-batch is small in bytes and long in work: a large file is read by as many tasks as there are.
+    session.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
     # Frozen in the checkpoint of a stateful query, so take the caller's value.
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return session
