@@ -34,24 +34,21 @@ def with_seeds(
     sound = sightings(checked.filter(F.col("reject_reason").isNull()))
     newest = sound.mapInPandas(newest_per_user, sound.schema)
     users = newest.groupBy("user_id")
-    if known is not None:
+    if ttl_seconds is None:
         seeds = users.transformWithState(
-            LastSeen(),
+            LastSeen(resumed=known is not None),
             LAST_SEEN,
             outputMode="Append",
             timeMode="None",
-            initialState=sightings(known).groupBy("user_id"),
+            initialState=None if known is None else sightings(known).groupBy("user_id"),
         )
     else:
-        timeout = GroupStateTimeout.NoTimeout
-        if ttl_seconds is not None:
-            timeout = GroupStateTimeout.ProcessingTimeTimeout
         seeds = users.applyInPandasWithState(
             tracker(ttl_seconds),
             outputStructType=LAST_SEEN,
             stateStructType=STATE,
             outputMode="append",
-            timeoutConf=timeout,
+            timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
         )
     seeds = seeds.withColumn("event_time", F.timestamp_micros("event_us")).drop("event_us")
     return checked.withColumn("is_seed", F.lit(False)).unionByName(
