@@ -32,7 +32,11 @@ RELEASED = "row string, prev_lat double, prev_lon double, out_of_order boolean,
 
 
 class OrderedUser(StatefulProcessor):
-    """Holds a user's rows until the watermark reaches the end of their pane."""
+    """Holds a user's rows until the watermark reaches the end of their pane.
+
+    A timer is set for the earliest pane that waits, not for each: when it goes off, all panes
+    that the watermark has passed are released, and one is set for the earliest of the rest.
+    """
 
     def __init__(self, pane_seconds: int):
         self.pane_ms = pane_seconds * 1000
@@ -52,18 +56,17 @@ class OrderedUser(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Keep the rows, or pass them on as late where their pane has been released."""
         watermark = timerValues.getCurrentWatermarkInMs()
-        kept, ends = [], set()
+        kept, first = [], None
         for row in rows:
             end = self._pane_end(row["event_us"])
             if end <= watermark:
                 yield _released(row["row"], None, True, watermark)
             else:
                 kept.append((*(row[f] for f in FIELDS), row["row"]))
-                ends.add(end)
+                first = end if first is None else min(first, end)
         if kept:
             self.waiting.appendList(kept)
-        for end in ends:
-            self.handle.registerTimer(end)
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Release the rows of all panes that the watermark has passed."""
@@ -75,9 +78,11 @@ class OrderedUser(StatefulProcessor):
             return
         if rest:
             self.waiting.put(rest)
+            self.handle.registerTimer(min(self._pane_end(row[0]) for row in rest))
         else:
             self.waiting.clear()
-        last = tuple(self.last.get()) if self.last.exists() else None
+        last = self.last.get()  # None if there is none
+        last = None if last is None else tuple(last)
         for *seen, row in sorted(ready, key=lambda r: in_order(r[:-1])):
             behind = last is not None and in_order(seen) < in_order(last)
             yield _released(row, None if behind else last, behind, None)
