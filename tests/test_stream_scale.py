@@ -2,11 +2,16 @@
 
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from tidewatch.config import RuleConfig
 from tidewatch.plans import catalog
 from tidewatch.session import streaming_session
-from tidewatch.streaming.last_seen import LastSeen
+from tidewatch.streaming import last_seen
+from tidewatch.streaming.last_seen import FIELDS, LastSeen, LastSeenGroup, newest_per_user
+from tidewatch.streaming.location import _group_states, locate
 from tidewatch.streaming.release import OrderedUser
 
 
@@ -83,3 +88,96 @@ def test_copies_of_the_last_row_across_batches(resumed, latitude):
     (before,) = user.handleInputRows(("u",), iter([copy]), None)
     assert (before.transaction_id, before.latitude) == ("a", 1.0)
     assert user.last.get()[2] == latitude
+
+
+def seen(user, second, name, latitude=1.0):
+    return {"user_id": user, **{f: row(second, name)[f] for f in FIELDS}, "latitude": latitude}
+
+
+class Counted(Value):
+    reads = writes = 0
+
+    def get(self):
+        self.reads += 1
+        return super().get()
+
+    def update(self, value):
+        self.writes += 1
+        super().update(value)
+
+
+def test_a_group_of_users_is_read_and_written_once():
+    group = LastSeenGroup()
+    group.last = Counted()
+    users = [f"u{i}" for i in range(50)]
+    assert not list(group.handleInputRows((0,), iter([seen(u, 5, "a", None) for u in users]), None))
+    assert (group.last.reads, group.last.writes) == (1, 1)
+    later = [seen(u, second, "b") for u in users for second in (4, 6)] + [seen("new", 1, "c")]
+    before = {r.user_id: (r.event_us, r.transaction_id, r.latitude) for r in group.handleInputRows((0,), iter(later), None)}
+    assert before == {u: (5_000_000, "a", None) for u in users}
+    assert (group.last.reads, group.last.writes) == (2, 2)
+    kept = {u: (time, name) for u, time, name, *_ in zip(*group.last.value)}
+    assert kept == {u: (6_000_000, "b") for u in users} | {"new": (1_000_000, "c")}
+    # A row from before changes nothing, so nothing is written.
+    (old,) = group.handleInputRows((0,), iter([seen("u7", 2, "z")]), None)
+    assert (old.transaction_id, group.last.writes) == ("b", 2)
+
+
+@pytest.mark.parametrize(("resumed", "latitude"), [(False, 1.0), (True, 5.0)])
+def test_copies_of_the_last_row_in_a_group(resumed, latitude):
+    group = LastSeenGroup(resumed)
+    group.last = Value()
+    list(group.handleInputRows((0,), iter([seen("u", 5, "a"), seen("v", 9, "b")]), None))
+    list(group.handleInputRows((0,), iter([seen("u", 5, "a", 5.0)]), None))
+    assert {u: place for u, _, _, place, _ in zip(*group.last.value)} == {"u": latitude, "v": 1.0}
+
+
+def test_users_known_from_before_as_groups(spark):
+    rows = [(f"u{i}", i, f"t{i}", None if i == 3 else float(i), 2.0) for i in range(40)]
+    known = spark.createDataFrame(rows, "user_id string, s long, transaction_id string, latitude double, longitude double")
+    states = _group_states(known.withColumn("event_time", F.timestamp_seconds("s")).drop("s")).collect()
+    found = []
+    for state in states:
+        group = LastSeenGroup(resumed=True)
+        group.last = Value()
+        group.handleInitialState((state["_group"],), state, None)
+        found += zip(*group.last.value)
+    assert sorted(found) == sorted((u, s * 1_000_000, *rest) for u, s, *rest in rows)
+
+
+@pytest.mark.parametrize("held", [7, 40, 1000])
+def test_many_chunks_of_the_same_users_become_one_row_each(monkeypatch, held):
+    monkeypatch.setattr(last_seen, "HELD_ROWS", held)
+    rows = pd.DataFrame([seen(f"u{i % 9}", i * 37 % 101, f"t{i}") for i in range(90)])
+    parts = list(newest_per_user(rows.iloc[i : i + 5] for i in range(0, 90, 5)))
+    expected = rows.sort_values(FIELDS).drop_duplicates("user_id", keep="last")
+    found = pd.concat(parts).sort_values(FIELDS).drop_duplicates("user_id", keep="last")
+    assert found[["user_id", *FIELDS]].values.tolist() == expected[["user_id", *FIELDS]].values.tolist()
+    if held > 18:  # the users are less than half of what is held
+        assert len(parts) == 1 and len(parts[0]) == 9
+
+
+BATCH = "transaction_id string, user_id string, second long, latitude double, longitude double, reject_reason string, is_seed boolean"
+
+
+@pytest.mark.parametrize("segment_rows", [None, 2])
+def test_late_rows_take_the_pass_of_the_others(spark, segment_rows):
+    rows = [("s", "u", 100, 9.0, 9.0, None, True), ("x", "w", 7, 1.0, 1.0, "missing_user_id", False)]
+    rows += [(f"t{i}", "u", second, float(i), 0.0, None, False) for i, second in enumerate((10, 20, 100, 110, 120))]
+    rows += [(f"v{i}", "v", i, float(i), 0.0, None, False) for i in range(3)]
+    batch = spark.createDataFrame(rows, BATCH).withColumn("event_time", F.timestamp_seconds("second")).drop("second")
+    located = locate(batch, RuleConfig(segment_rows=segment_rows))
+    found = {r.transaction_id: (r.prev_lat, r.out_of_order) for r in located.collect()}
+    assert found == {
+        "t0": (None, True),
+        "t1": (None, True),
+        "t2": (9.0, False),  # equal in time to the seed, and of a larger id
+        "t3": (2.0, False),
+        "t4": (3.0, False),
+        "v0": (None, False),
+        "v1": (0.0, False),
+        "v2": (1.0, False),
+        "x": (None, False),
+    }
+    if segment_rows is None:
+        assert located._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

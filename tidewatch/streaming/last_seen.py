@@ -17,6 +17,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STATE = "event_us bigint, transaction_id string, latitude double, longitude double"
 LAST_SEEN = f"user_id string, {STATE}"
 FIELDS = ["event_us", "transaction_id", "latitude", "longitude"]
+USER = "user_id"
+#: The last rows of a group of users, one list for each column of ``LAST_SEEN``.
+GROUP_STATE = ", ".join(f"{name}s array<{kind}>" for name, kind in (c.split() for c in LAST_SEEN.split(", ")))
 
 
 def sightings(rows: DataFrame, *more: Column) -> DataFrame:
@@ -26,17 +29,35 @@ def sightings(rows: DataFrame, *more: Column) -> DataFrame:
     return rows.select("user_id", micros, "transaction_id", "latitude", "longitude", *more)
 
 
+#: So many rows are held before they are reduced; a task's users are held on while they are half as many.
+HELD_ROWS = 200_000
+
+
 def newest_per_user(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The last row in order of each user in each chunk: all that the state needs of it.
+    """The last row in order of each user in the chunks: all that the state needs of them.
 
-    Runs before the rows are shuffled, so a user with very many rows in a batch
-    reaches its state call as one row per chunk.
+    Runs before the rows are shuffled and after, so a user with very many rows in a batch
+    reaches its state call as one row, or a few where a task has more users than it holds.
     """
+    held, rows = [], 0
     for chunk in chunks:
-        newest = chunk.groupby("user_id")["event_us"].transform("max")
-        latest = chunk[chunk["event_us"] == newest]
-        ordered = latest.sort_values(FIELDS, kind="stable", na_position="first")
-        yield ordered.drop_duplicates("user_id", keep="last")
+        held.append(chunk)
+        rows += len(chunk)
+        if rows >= HELD_ROWS:
+            newest = _last_of_each(held)
+            held, rows = [newest], len(newest)
+            if 2 * rows > HELD_ROWS:
+                yield newest
+                held, rows = [], 0
+    if held:
+        yield _last_of_each(held)
+
+
+def _last_of_each(chunks: list[pd.DataFrame]) -> pd.DataFrame:
+    rows = pd.concat(chunks, ignore_index=True) if len(chunks) > 1 else chunks[0]
+    newest = rows.groupby("user_id")["event_us"].transform("max")
+    latest = rows[rows["event_us"] == newest]
+    return latest.sort_values(FIELDS, kind="stable", na_position="first").drop_duplicates("user_id", keep="last")
 
 
 def _newest(chunk: pd.DataFrame) -> tuple:
@@ -110,6 +131,43 @@ class LastSeen(StatefulProcessor):
         return in_order(newest) > in_order(before) if self.resumed else newest[:2] > before[:2]
 
 
+class LastSeenGroup(LastSeen):
+    """``LastSeen`` for a group of users, whose last rows are one value in the state, as columns.
+
+    A call to the state costs as much as many rows, and so does a row in it: so a group is read
+    once and, if a user in it moved on, written once, however many of its users a micro-batch has.
+    """
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", GROUP_STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        users = zip(*(initialState[f"{c}s"] for c in (USER, *FIELDS)))
+        self._keep({user: tuple(seen) for user, *seen in users})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        """Yield where the group's users in this micro-batch were before it; remember where they are now."""
+        newest: dict = {}
+        for row in rows:
+            user, *seen = (row[c] for c in (USER, *FIELDS))
+            if user not in newest or in_order(seen) > in_order(newest[user]):
+                newest[user] = tuple(seen)
+        kept = self.last.get()  # None if there is none
+        known = {} if kept is None else {user: tuple(seen) for user, *seen in zip(*kept)}
+        moved = False
+        for user, seen in newest.items():
+            before = known.get(user)
+            if before is not None:
+                yield Row(user_id=user, **dict(zip(FIELDS, before)))
+            if before is None or self._later(seen, before):
+                known[user], moved = seen, True
+        if moved:
+            self._keep(known)
+
+    def _keep(self, known: dict) -> None:
+        self.last.update(tuple(map(list, zip(*((user, *seen) for user, seen in known.items())))))
+
+
 def in_order(seen: Sequence) -> tuple:
     """As ``FIELDS`` are sorted, missing coordinates first."""
     event_us, transaction_id, *place = seen

@@ -1,6 +1,6 @@
 """The previous location of each row of a stream.
 
-The state store holds one small row per user: where they were last seen. Per
+The state store holds where each user was last seen, users in groups. Per
 micro-batch it hands out a *seed* for each known user in it. Everything else is
 done on the batch with the operators of the batch engine, so users with very
 many rows are split over tasks here as well.
@@ -8,14 +8,30 @@ many rows are split over tasks here as well.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidewatch.config import RuleConfig
 from tidewatch.operators.history import PREVIOUS_LOCATION, add_history, heavy_users
 from tidewatch.operators.skew import left_join_on_key
-from tidewatch.streaming.last_seen import LAST_SEEN, STATE, LastSeen, newest_per_user, sightings, tracker
+from tidewatch.streaming.last_seen import FIELDS, LAST_SEEN, STATE, LastSeenGroup, newest_per_user, sightings, tracker
+
+#: Users without a time to live are kept in so many groups; fixed for the life of a checkpoint.
+USER_GROUPS = 4096
+
+
+def _in_groups(seen: DataFrame) -> DataFrame:
+    group = F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)).cast("int")
+    return seen.withColumn("_group", group)
+
+
+def _group_states(known: DataFrame) -> DataFrame:
+    """Rows of users known from before as the state has them: a row per group, a list per column."""
+    columns = ("user_id", *FIELDS)
+    rows = F.collect_list(F.struct(*columns)).alias("_rows")
+    groups = _in_groups(sightings(known)).groupBy("_group").agg(rows)
+    return groups.select("_group", *(F.col(f"_rows.{c}").alias(f"{c}s") for c in columns))
 
 
 def with_seeds(
@@ -33,17 +49,18 @@ def with_seeds(
         raise ValueError("users known from before are kept; state_ttl_seconds must be None")
     sound = sightings(checked.filter(F.col("reject_reason").isNull()))
     newest = sound.mapInPandas(newest_per_user, sound.schema)
-    users = newest.groupBy("user_id")
     if ttl_seconds is None:
-        seeds = users.transformWithState(
-            LastSeen(resumed=known is not None),
+        # Chunks of many users are hardly fewer rows than they were, so they are reduced once more where they meet.
+        met = _in_groups(newest).repartition("_group")
+        seeds = met.mapInPandas(newest_per_user, met.schema).groupBy("_group").transformWithState(
+            LastSeenGroup(resumed=known is not None),
             LAST_SEEN,
             outputMode="Append",
             timeMode="None",
-            initialState=None if known is None else sightings(known).groupBy("user_id"),
+            initialState=None if known is None else _group_states(known).groupBy("_group"),
         )
     else:
-        seeds = users.applyInPandasWithState(
+        seeds = newest.groupBy("user_id").applyInPandasWithState(
             tracker(ttl_seconds),
             outputStructType=LAST_SEEN,
             stateStructType=STATE,
@@ -76,24 +93,26 @@ def locate(batch: DataFrame, config: RuleConfig) -> DataFrame:
     seeded = left_join_on_key(sound, seeds, "user_id", heavy).withColumn(
         "out_of_order", F.col("_seed_time").isNotNull() & late
     )
-    in_order = add_history(
-        seeded.filter(~F.col("out_of_order")),
+    # All late rows of a user lie before all others, so none stands between two of these: the rows
+    # take one pass, and the first of the others, after a late row or none, follows on the seed.
+    located = add_history(
+        seeded,
         config,
         heavy,
-        previous={**PREVIOUS_LOCATION, "_prev_id": "transaction_id"},
+        previous={**PREVIOUS_LOCATION, "_prev_time": "event_time", "_prev_id": "transaction_id"},
     )
-    first = F.col("_prev_id").isNull()
-    located = in_order.withColumns(
-        {
-            "prev_lat": F.when(first, F.col("_seed_lat")).otherwise(F.col("prev_lat")),
-            "prev_lon": F.when(first, F.col("_seed_lon")).otherwise(F.col("prev_lon")),
-        }
-    ).drop("_prev_id")
+    after_late = F.struct("_prev_time", "_prev_id") < F.struct("_seed_time", "_seed_id")
+    first = F.col("_prev_id").isNull() | (F.col("_seed_time").isNotNull() & after_late)
+
+    def place(seed: str, previous: str) -> Column:
+        return F.when(~F.col("out_of_order"), F.when(first, F.col(seed)).otherwise(F.col(previous)))
+
+    located = located.withColumns(
+        {"prev_lat": place("_seed_lat", "prev_lat"), "prev_lon": place("_seed_lon", "prev_lon")}
+    ).drop("_prev_time", "_prev_id")
     unlocated = rows.filter(F.col("reject_reason").isNotNull()).withColumn(
         "out_of_order", F.lit(False)
     )
-    return (
-        located.unionByName(seeded.filter("out_of_order"), allowMissingColumns=True)
-        .drop("_seed_time", "_seed_id", "_seed_lat", "_seed_lon")
-        .unionByName(unlocated, allowMissingColumns=True)
+    return located.drop("_seed_time", "_seed_id", "_seed_lat", "_seed_lon").unionByName(
+        unlocated, allowMissingColumns=True
     )
