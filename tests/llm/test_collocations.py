@@ -138,6 +138,23 @@ def test_large_counts_stay_exact(spark):
     assert row.score == 1_000_000 * a * a // (left * right)
 
 
+def test_phrases_that_are_no_part_of_others_are_not_spread(spark, monkeypatch):
+    words = [f"w{i}" for i in range(6)]
+    pairs = [(w, v) for w in words for v in words]
+    rows = [("en", 1, w, 100) for w in words] + [("en", 2, f"{w} {v}", 20) for w, v in pairs]
+    rows += [("en", 3, "w0 w1 w2", 12), ("de", 1, "w0", 50)]
+    found = spark.createDataFrame(rows, "lang string, words int, phrase string, n long")
+    known = []
+    with_counts = collocations._with_counts
+    monkeypatch.setattr(
+        collocations, "_with_counts", lambda rows, part, some, name: known.append(some) or with_counts(rows, part, some, name)
+    )
+    scores = {r.phrase: (r.l, r.r, r.score) for r in collocations.scored(found).collect()}
+    assert scores == {f"{w} {v}": (100, 100, 40_000) for w, v in pairs} | {"w0 w1 w2": (100, 20, 72_000)}
+    for some in known:
+        assert {(r.lang, r.phrase) for r in some.collect()} == {("en", p) for p in [*words, "w0 w1", "w1 w2"]}
+
+
 def test_ties_go_to_the_first_cut_and_the_smaller_phrase(spark):
     rows = [("en", "b c. b c. a b. a b. x y z. x y z.")] * 5
     assert result(frame(spark, rows)) == plain(rows)

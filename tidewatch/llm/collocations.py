@@ -339,6 +339,12 @@ def _words(first: Column, last: Column) -> Column:
     return F.array_join(F.slice(F.split("phrase", " "), first, last - first + 1), " ")
 
 
+def _parts_of(cuts: DataFrame, found: DataFrame) -> DataFrame:
+    """The phrases in ``found`` that are a part of others: words mostly, as few phrases are in a longer one."""
+    used = cuts.select(F.col("lang").alias("_lang"), F.explode(F.array("_left", "_right")).alias("_part")).distinct()
+    return found.join(used, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_part")), "left_semi")
+
+
 def _with_counts(rows: DataFrame, part: str, found: DataFrame, name: str) -> DataFrame:
     """Add the count of the phrase in column ``part``, which is frequent as the whole is.
 
@@ -364,7 +370,8 @@ def scored(found: DataFrame) -> DataFrame:
     cuts = cuts.withColumns(
         {"_left": _words(F.lit(1), F.col("k")), "_right": _words(F.col("k") + 1, F.col("words"))}
     )
-    counted = _with_counts(_with_counts(cuts, "_left", found, "l"), "_right", found, "r")
+    parts = _parts_of(cuts, found)
+    counted = _with_counts(_with_counts(cuts, "_left", parts, "l"), "_right", parts, "r")
     score = F.expr(
         "cast(1000000 as decimal(7,0)) * cast(a as decimal(16,0)) * cast(a as decimal(16,0))"
         " div (cast(l as decimal(16,0)) * cast(r as decimal(16,0)))"
