@@ -1,18 +1,20 @@
 """What a stream's work grows with: tasks that read a step, calls to the state per user."""
 
+import random
 from types import SimpleNamespace
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.config import RuleConfig
 from tidewatch.plans import catalog
 from tidewatch.session import streaming_session
-from tidewatch.streaming import last_seen
+from tidewatch.streaming import last_seen, release
 from tidewatch.streaming.last_seen import FIELDS, LastSeen, LastSeenGroup, newest_per_user
 from tidewatch.streaming.location import _group_states, locate
-from tidewatch.streaming.release import OrderedUser
+from tidewatch.streaming.release import OrderedGroup, OrderedUser, in_time_order
 
 
 def test_a_step_has_few_files_and_is_read_by_many_tasks(spark, tmp_path):
@@ -181,3 +183,119 @@ def test_late_rows_take_the_pass_of_the_others(spark, segment_rows):
     }
     if segment_rows is None:
         assert located._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def ordered_group(pane_seconds=60):
+    group, timers = OrderedGroup(pane_seconds), set()
+    group.handle = SimpleNamespace(registerTimer=timers.add)
+    group.waiting, group.due, group.last = Tables(), Due(), Counted()
+    return group, timers
+
+
+class Due(Value):
+    def clear(self):
+        self.value = None
+
+
+class Tables(Rows):
+    reads = writes = 0
+
+    def get(self):
+        self.reads += 1
+        return super().get()
+
+    def appendValue(self, value):
+        self.writes += 1
+        self.append(value)
+
+
+WAITING = pa.schema([("user_id", "string"), ("event_time", "int64"), ("transaction_id", "string")])
+WAITING = WAITING.append(pa.field("latitude", "float64")).append(pa.field("longitude", "float64"))
+
+
+def waiting_table(rows):
+    named = [{**r, "event_time": r["event_us"]} for r in rows]
+    return {"rows": release._packed(pa.Table.from_pylist(named, WAITING))}
+
+
+def left(packed):
+    """Rows as they leave a group, as ``OrderedUser`` has them."""
+    for table in packed:
+        for r in release._unpacked(table.rows).to_pylist():
+            yield (r["transaction_id"], *(r[c] for c in ("prev_lat", "prev_lon", "out_of_order", "watermark_ms")))
+
+
+def fire(processor, timers, watermark):
+    """As Spark does: each timer that the watermark has passed, earliest first."""
+    out = []
+    for timer in sorted(t for t in timers if t <= watermark):
+        out += processor.handleExpiredTimer((0,), at(watermark), None)
+        timers.discard(timer)
+    return out
+
+
+@pytest.mark.parametrize("packed_rows", [1, 7, 2000])
+def test_a_group_of_users_releases_what_each_of_them_would(monkeypatch, packed_rows):
+    monkeypatch.setattr(release, "PACKED_ROWS", packed_rows)
+    draw = random.Random(3)
+    users = [f"u{i}" for i in range(12)]
+    known = {u: seen(u, draw.randint(0, 400), "k", draw.choice([None, 3.0])) for u in users[:5]}
+    group, timers = ordered_group()
+    group.handleInitialState((0,), {f"{c}s": [k[c] for k in known.values()] for c in ("user_id", *FIELDS)}, None)
+    alone = {u: ordered_user() for u in users}
+    for u, row_ in known.items():
+        alone[u][0].handleInitialState((u,), row_, None)
+    found, expected, count = [], [], 0
+    for watermark in (0, 0, 200_000, 500_000, 500_000, 900_000, 10_000_000):
+        rows = []
+        for _ in range(60 if watermark < 10_000_000 else 0):
+            second, count = max(0, watermark // 1000 + draw.randint(-150, 500)), count + 1
+            # Some are equal in time, some in id too, some have no place.
+            name = f"t{count}" if draw.random() < 0.7 else "t"
+            place = draw.choice([None, 0.0, float(count)])
+            rows.append(seen(draw.choice(users), second // 20 * 20, name, place) | {"longitude": draw.choice([None, 2.0])})
+        tables = [waiting_table(rows[i : i + 25]) for i in range(0, len(rows), 25)]
+        found += left(group.handleInputRows((0,), iter(tables), at(watermark))) if rows else []
+        found += left(fire(group, timers, watermark))
+        for u, (user, own) in alone.items():
+            named = [r | {"row": r["transaction_id"]} for r in rows if r["user_id"] == u]
+            expected += map(tuple, user.handleInputRows((u,), iter(named), at(watermark))) if named else []
+            expected += map(tuple, fire(user, own, watermark))
+    assert len(found) == count == 360 and any(r[3] and r[4] is None for r in found)
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert not group.waiting and group.due.value is None
+
+
+def test_the_rows_of_a_group_cost_few_calls_to_the_state():
+    group, timers = ordered_group()
+    rows = [seen(f"u{i % 300}", i, f"t{i}") for i in range(1500)]
+    assert not list(group.handleInputRows((0,), iter([waiting_table(rows)]), at(0)))
+    assert (group.waiting.writes, timers) == (1, {60_000})
+    released = fire(group, timers, 1_200_000)
+    assert len(list(left(released))) == 1200 and timers == {1_260_000}
+    assert (len(released), group.waiting.reads, group.waiting.writes) == (1, 1, 2)
+    assert (group.last.reads, group.last.writes) == (1, 1)
+    # A timer whose rows have been released reads nothing.
+    assert not list(group.handleExpiredTimer((0,), at(1_200_000), None)) and group.waiting.reads == 1
+
+
+@pytest.mark.parametrize("held_bytes", [1, 32 << 20])
+def test_rows_are_packed_by_group_whole(monkeypatch, held_bytes):
+    monkeypatch.setattr(release, "HELD_BYTES", held_bytes)
+    monkeypatch.setattr(release, "PACKED_ROWS", 30)
+    rows = pa.table({"a": range(1000), "b": [None if i % 3 else f"é{i}" for i in range(1000)], "_group": pa.array([i * 7 % 13 for i in range(1000)], "int32")})
+    packed = pa.Table.from_batches(release._pack(iter(rows.to_batches(max_chunksize=64)))).to_pylist()
+    tables = [(p["_group"], release._unpacked(p["rows"])) for p in packed]
+    assert max(len(t) for _, t in tables) <= 30
+    back = [(r["a"], r["b"], group) for group, t in tables for r in t.to_pylist()]
+    assert sorted(back, key=lambda r: r[0]) == [tuple(r.values()) for r in rows.to_pylist()]
+
+
+def test_rows_that_wait_do_not_travel_as_text(spark):
+    rows = spark.readStream.format("rate").load().selectExpr(
+        "cast(value as string) as user_id", "timestamp as event_time", "cast(value as string) as transaction_id", "1d as latitude", "2d as longitude"
+    )
+    ordered = in_time_order(rows, "1 minute", 60)
+    assert ordered.columns == [*rows.columns, "prev_lat", "prev_lon", "out_of_order", "late_by"]
+    assert ordered.schema["event_time"].dataType == rows.schema["event_time"].dataType
+    assert "json" not in ordered._jdf.queryExecution().analyzed().toString()

@@ -21,17 +21,17 @@ from tidewatch.streaming.last_seen import FIELDS, LAST_SEEN, STATE, LastSeenGrou
 USER_GROUPS = 4096
 
 
-def _in_groups(seen: DataFrame) -> DataFrame:
-    group = F.pmod(F.xxhash64("user_id"), F.lit(USER_GROUPS)).cast("int")
+def _in_groups(seen: DataFrame, groups: int = USER_GROUPS) -> DataFrame:
+    group = F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")
     return seen.withColumn("_group", group)
 
 
-def _group_states(known: DataFrame) -> DataFrame:
+def _group_states(known: DataFrame, groups: int = USER_GROUPS) -> DataFrame:
     """Rows of users known from before as the state has them: a row per group, a list per column."""
     columns = ("user_id", *FIELDS)
     rows = F.collect_list(F.struct(*columns)).alias("_rows")
-    groups = _in_groups(sightings(known)).groupBy("_group").agg(rows)
-    return groups.select("_group", *(F.col(f"_rows.{c}").alias(f"{c}s") for c in columns))
+    states = _in_groups(sightings(known), groups).groupBy("_group").agg(rows)
+    return states.select("_group", *(F.col(f"_rows.{c}").alias(f"{c}s") for c in columns))
 
 
 def with_seeds(
