@@ -80,7 +80,8 @@ def process_batch(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if "is_seed" in batch.columns:  # else it is read once, for the scored rows
+            batch = batch.persist()
         scored = score_batch(batch, rules).persist()
         try:
             sound = F.col("reject_reason").isNull()

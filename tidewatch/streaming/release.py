@@ -132,9 +132,6 @@ class OrderedGroup(OrderedUser):
         known = {name: initialState[f"{name}s"] for name in LAST_ROWS.names}
         self.last.update((_packed(pa.table(known, schema=LAST_ROWS)),))
 
-    def _pane_ends(self, rows: pa.Table) -> np.ndarray:
-        return self._pane_end(rows["event_time"].to_numpy())
-
     def _wake(self, pane_end: int) -> None:
         """Have the group called when the watermark passes the pane, unless it is called earlier."""
         due = self.due.get()
@@ -145,19 +142,14 @@ class OrderedGroup(OrderedUser):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         """Keep the rows, or pass them on as late where their pane has been released."""
         watermark = timerValues.getCurrentWatermarkInMs()
-        first = None
+        kept, first = [], None
         for row in rows:
-            table, packed = _unpacked(row["rows"]), row["rows"]
-            ends = self._pane_ends(table)
-            late = ends <= watermark
-            if late.any():
-                yield from _leaving(table.filter(late), None, np.ones(late.sum(), bool), watermark)
-                if late.all():
-                    continue
-                packed, ends = _packed(table.filter(~late)), ends[~late]
-            self.waiting.appendValue((packed,))
-            first = int(ends.min()) if first is None else min(first, int(ends.min()))
-        if first is not None:
+            late, rest, first = self._parted(row["rows"], watermark, first)
+            if late is not None:
+                yield from _leaving(late, None, np.ones(len(late), bool), watermark)
+            kept += rest
+        if kept:
+            self.waiting.appendList(kept)  # in one call: each call's cost grows with the list
             self._wake(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -166,17 +158,34 @@ class OrderedGroup(OrderedUser):
         due = self.due.get()
         if due is None or due[0] > watermark:  # an earlier timer has released this one's rows
             return
-        waiting = pa.concat_tables([_unpacked(packed) for (packed,) in self.waiting.get()])
-        ends = self._pane_ends(waiting)
-        ready = ends <= watermark
-        self.waiting.clear()
+        ready, rest, first = [], [], None
+        for (packed,) in self.waiting.get():
+            passed, left, first = self._parted(packed, watermark, first)
+            ready += [] if passed is None else [passed]
+            rest += left
         self.due.clear()
-        if not ready.all():
-            for table in _pieces(waiting.filter(~ready)):
-                self.waiting.appendValue((_packed(table),))
-            self._wake(int(ends[~ready].min()))
-            waiting = waiting.filter(ready)
-        yield from self._with_places(waiting)
+        if rest:
+            self.waiting.put(rest)
+            self._wake(first)
+        else:
+            self.waiting.clear()
+        yield from self._with_places(pa.concat_tables(ready))
+
+    def _parted(
+        self, packed: bytes, watermark: int, first: int | None
+    ) -> tuple[pa.Table | None, list[tuple], int | None]:
+        """The rows whose pane the watermark has passed, and the others as the state has them; the
+        earliest pane end among the others and ``first``."""
+        rows = _unpacked(packed)
+        ends = self._pane_end(rows["event_time"].to_numpy())
+        passed = ends <= watermark
+        if passed.all():
+            return rows, [], first
+        left = int(ends[~passed].min())
+        first = left if first is None else min(first, left)
+        if not passed.any():
+            return None, [(packed,)], first
+        return rows.filter(passed), [(_packed(rows.filter(~passed)),)], first
 
     def _with_places(self, rows: pa.Table) -> Iterator[Row]:
         """The rows with their users' places before them; each user's last row is remembered."""
